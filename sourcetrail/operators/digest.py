@@ -18,11 +18,6 @@ from pyspark.sql import types as T
 GATHER_LIMIT = 50_000
 
 
-def joined_digest(items: Column, separator: str) -> Column:
-    """Digest of an array already at hand in the row."""
-    return F.sha2(F.array_join(F.array_sort(items), separator), 256)
-
-
 def _chunker(keys: list[str], separator: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = 0
@@ -88,6 +83,17 @@ def sorted_chunks(items: DataFrame, keys: list[str], separator: str) -> DataFram
     )
 
 
+def streamed_digest(items: DataFrame, keys: list[str], separator: str, frame: DataFrame) -> DataFrame:
+    """The digest for groups of any length.  ``items`` has the keys and ``item``."""
+    ordered = (
+        _null_safe(sorted_chunks(items, keys, separator), frame.select(*keys, "prefix", "suffix"), keys, "inner")
+        .repartition(*keys)
+        .sortWithinPartitions(*keys, "first_item", "number")
+    )
+    schema = T.StructType([items.schema[k] for k in keys] + [T.StructField("digest", T.StringType())])
+    return ordered.mapInPandas(_hasher(keys, separator), schema)
+
+
 def ordered_digest(
     items: DataFrame,
     keys: list[str],
@@ -98,24 +104,21 @@ def ordered_digest(
 ) -> DataFrame:
     """``sha256(prefix + separator.join(sorted(items)) + suffix)`` for every row of ``frame``.
 
-    ``frame`` has the keys, unique, with the string columns ``prefix`` and ``suffix``; a key without
-    items gets the digest of its prefix and suffix.  Keys may be strings, dates or NULL."""
-    items = items.select(*keys, item.alias("item")).where(F.col("item").isNotNull())
-    sizes = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_items"))
-    large = sizes.where(F.col("n_items") > limit).select(*keys)
-
-    short = _null_safe(items, large, keys, "left_anti")
-    texts = short.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list("item")), separator).alias("text"))
-    short_frame = _null_safe(_null_safe(frame, large, keys, "left_anti"), texts, keys, "left")
-    gathered = short_frame.select(
-        *keys, F.sha2(F.concat("prefix", F.coalesce("text", F.lit("")), "suffix"), 256).alias("digest")
+    ``frame`` has the keys, unique and not NULL, with ``prefix``, ``suffix`` and ``n_items``, the
+    number of items of the key; a key without items gets the digest of prefix and suffix alone.  Both
+    frames are read more than once, so pass written tables where they are costly.  With no large
+    group, adaptive execution finds the right side of the joins empty and drops the second branch."""
+    items = items.select(*keys, item.alias("item"))
+    large = frame.where(F.col("n_items") > limit)
+    texts = (
+        items.join(large.select(*keys), keys, "left_anti")
+        .groupBy(*keys)
+        .agg(F.array_join(F.array_sort(F.collect_list("item")), separator).alias("text"))
     )
-
-    chunks = sorted_chunks(_null_safe(items, large, keys, "left_semi"), keys, separator)
-    ordered = (
-        _null_safe(chunks, frame.select(*keys, "prefix", "suffix"), keys, "inner")
-        .repartition(*keys)
-        .sortWithinPartitions(*keys, "first_item", "number")
+    gathered = (
+        frame.where(F.col("n_items") <= limit)
+        .join(texts, keys, "left")
+        .select(*keys, F.sha2(F.concat("prefix", F.coalesce("text", F.lit("")), "suffix"), 256).alias("digest"))
     )
-    schema = T.StructType([items.schema[k] for k in keys] + [T.StructField("digest", T.StringType())])
-    return gathered.unionByName(ordered.mapInPandas(_hasher(keys, separator), schema))
+    streamed = streamed_digest(items.join(large.select(*keys), keys, "left_semi"), keys, separator, large)
+    return gathered.unionByName(streamed)

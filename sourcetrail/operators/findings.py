@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from sourcetrail import contract as K
 from sourcetrail.operators import evidence as E
-from sourcetrail.operators.digest import joined_digest, ordered_digest
+from sourcetrail.operators.digest import streamed_digest
 from sourcetrail.operators.quality import expect, finding_rules
+from sourcetrail.session import materialize
 
 KEY = ["finding_type", "finding_subtype", "case_id", "test_code", "exam_date"]
 SHAPE = [*KEY, "summary", "evidence", "n_evidence", "chunk_no", "n_chunks"]
@@ -177,11 +178,9 @@ def with_finding_ids(rows: DataFrame) -> DataFrame:
 
 def with_chunked_ids(rows: DataFrame) -> DataFrame:
     """Finding id of findings whose evidence is spread over several rows."""
-    pointers = rows.select(*KEY, F.explode(F.transform("evidence", pointer)).alias("pointer"))
-    frame = (
-        rows.select(*KEY).distinct().withColumns({"prefix": _id_prefix(), "suffix": F.lit("")})
-    )
-    ids = ordered_digest(pointers, KEY, F.col("pointer"), ",", frame).withColumnRenamed("digest", "finding_id")
+    pointers = rows.select(*KEY, F.explode(F.transform("evidence", pointer)).alias("item"))
+    frame = rows.select(*KEY).distinct().withColumns({"prefix": _id_prefix(), "suffix": F.lit("")})
+    ids = streamed_digest(pointers, KEY, ",", frame).withColumnRenamed("digest", "finding_id")
     return rows.join(ids, KEY)
 
 
@@ -194,9 +193,11 @@ def findings(
     chunk: int = E.CHUNK_ROWS,
 ) -> DataFrame:
     """All findings.  A finding with more than ``chunk`` evidence entries comes as several rows
-    that share its id and split its evidence (``chunk_no`` of at most ``n_chunks``)."""
+    that share its id and split its evidence (``chunk_no`` of at most ``n_chunks``).
+
+    The grouped findings are written once, because the two ways to their ids both read them."""
     dated = E.per_date(measurements)
-    grouped = grouped_findings(measurements, dated, terms, threshold_pct, chunk)
+    grouped = materialize(grouped_findings(measurements, dated, terms, threshold_pct, chunk), "grouped-findings")
     whole = range_findings(measurements).unionByName(gap_findings(gaps))
     whole = whole.unionByName(grouped.where(F.col("n_chunks") == 1))
     rows = with_finding_ids(whole).unionByName(with_chunked_ids(grouped.where(F.col("n_chunks") > 1)))

@@ -8,22 +8,27 @@ from pyspark.sql import functions as F
 from sourcetrail import contract as K
 from sourcetrail.operators.digest import GATHER_LIMIT, ordered_digest
 from sourcetrail.operators.quality import expect, payload_rules
+from sourcetrail.session import materialize
 
 WORKFLOW_VERSION = "review-wf-1.0.0"
 
 
-def _bare_frame(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.select(*keys).distinct().withColumns({"prefix": F.lit(""), "suffix": F.lit("")})
+def _frame(counted: DataFrame, n_items: str) -> DataFrame:
+    return counted.select("case_id", F.col(n_items).alias("n_items"), F.lit("").alias("prefix"), F.lit("").alias("suffix"))
 
 
 def document_set(documents: DataFrame, limit: int = GATHER_LIMIT) -> DataFrame:
     """Per case: number of documents and the hash of the set of their content hashes.
 
     Reads two columns; the content itself stays on disk."""
-    counted = documents.groupBy("case_id").agg(F.count(F.lit(1)).alias("n_documents"))
-    contents = documents.select("case_id", "input_hash").distinct()
-    digest = ordered_digest(contents, ["case_id"], F.col("input_hash"), ",", _bare_frame(counted, ["case_id"]), limit)
-    return counted.join(digest.withColumnRenamed("digest", "input_hash"), "case_id")
+    contents = materialize(
+        documents.groupBy("case_id", "input_hash").agg(F.count(F.lit(1)).alias("n_copies")), "document-hashes"
+    )
+    counted = contents.groupBy("case_id").agg(
+        F.sum("n_copies").alias("n_documents"), F.count(F.lit(1)).alias("n_contents")
+    )
+    digest = ordered_digest(contents, ["case_id"], F.col("input_hash"), ",", _frame(counted, "n_contents"), limit)
+    return counted.join(digest.withColumnRenamed("digest", "input_hash"), "case_id").drop("n_contents")
 
 
 def analysis_json(terms: K.Terms = K.DEFAULT_TERMS) -> Column:
@@ -63,9 +68,10 @@ def analysis_summary(queue: DataFrame, terms: K.Terms = K.DEFAULT_TERMS, limit:
         F.count_if(F.col(terms.field("status")) == "PENDING").alias("n_pending_classifier"),
         F.count_if(F.col("needs_review_final") & F.col("reviewer_action").isNull()).alias("n_pending_human"),
         F.count_if(F.col("reviewer_action") == "CORRECT").alias("n_corrected"),
+        F.count("reviewer_action").alias("n_decided"),
         F.array_join(F.array_sort(F.collect_set(terms.field("model"))), ",").alias("models"),
     )
-    digest = ordered_digest(queue, ["case_id"], analysis_json(terms), "\n", _bare_frame(counted, ["case_id"]), limit)
+    digest = ordered_digest(queue, ["case_id"], analysis_json(terms), "\n", _frame(counted, "n_findings"), limit)
     return counted.join(digest.withColumnRenamed("digest", "analysis_hash"), "case_id")
 
 
@@ -97,7 +103,7 @@ def attestation_payload(
     def stated(column: str, default: str) -> Column:
         return F.coalesce(F.nullif(F.col(column), F.lit("")), F.lit(default))
 
-    counts = ["n_findings", "n_pending_classifier", "n_pending_human", "n_corrected"]
+    counts = ["n_findings", "n_pending_classifier", "n_pending_human", "n_corrected", "n_decided"]
     no_findings = F.sha2(F.lit(""), 256)
     base = assembled.select(
         "review_id",
@@ -118,7 +124,13 @@ def attestation_payload(
         F.coalesce("reviewer_tech_id", F.lit("")),
         F.coalesce(F.unix_micros("signoff_at").cast("string"), F.lit("")),
     )
-    frame = base.select("case_id", F.concat("analysis_hash", F.lit("|")).alias("prefix"), signed.alias("suffix"))
+    base = materialize(base, "payload-base")
+    frame = base.select(
+        "case_id",
+        F.col("n_decided").alias("n_items"),
+        F.concat("analysis_hash", F.lit("|")).alias("prefix"),
+        signed.alias("suffix"),
+    )
     decided = queue.where(F.col("reviewer_action").isNotNull())
     reviewed_hash = ordered_digest(decided, ["case_id"], decision_json(), "\n", frame, limit)
     payload = base.join(reviewed_hash.withColumnRenamed("digest", "reviewed_hash"), "case_id").select(

@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from sourcetrail import contract as K
+from sourcetrail.session import materialize
 from sourcetrail.operators import classify, evidence, extract, findings, integrity, queue
 
 FIXTURES = Path(__file__).resolve().parents[1] / "FIXTURES.md"
@@ -119,16 +120,16 @@ def run_review(spark, files: CaseFiles) -> dict:
         [(f"CASE-{c.upper()}", f"rev-{c}-0001", c, STAMP, None) for c in letters],
         "case_id string, review_id string, scenario string, created_at timestamp, manual_review_seconds_baseline int",
     )
-    measured = extract.extract_measurements(pages).cache()
+    measured = materialize(extract.extract_measurements(pages), "measured")
     gaps = evidence.all_gaps(measured, pages, files.terms)
-    found = findings.findings(measured, gaps, cases, files.terms).cache()
+    found = materialize(findings.findings(measured, gaps, cases, files.terms), "found")
     heads = findings.finding_heads(found)
     answers = classify.stand_in_answers(classify.context_text())
     decisions = classify.decision_records(
         heads, answers, files.model, files.version, integrity.WORKFLOW_VERSION, F.lit(STAMP), files.terms
     )
     reviewed = spark.createDataFrame([], K.REVIEW_DECISIONS_FEED)
-    queued = queue.review_queue(heads, decisions, reviewed, files.terms).cache()
+    queued = materialize(queue.review_queue(heads, decisions, reviewed, files.terms), "queue")
     payload = integrity.attestation_payload(cases, documents, queued, measured, reviewed, files.terms)
     return dict(pages=pages, documents=documents, cases=cases, measured=measured, gaps=gaps, found=found,
                 heads=heads, decisions=decisions, reviewed=reviewed, queue=queued, payload=payload)
