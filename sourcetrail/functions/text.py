@@ -22,6 +22,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def fixed(value: Column) -> Column:
+    """Generator that yields the value once.  Select it to have the value computed exactly once per
+    row: filters and projections above it see a column and cannot repeat the expression."""
+    return F.explode(F.array(value))
+
+
 def _accent_tables() -> tuple[str, str]:
     plain, accented = [], []
     blocks = [range(0x00A0, 0x0250), range(0x1E00, 0x1F00)]
@@ -123,6 +129,20 @@ def rewrite_matches(text: Column, pattern: str, change: Callable[[Column], Colum
     return let(text, rebuilt)
 
 
+GROUP_MARK = "\x01"
+
+
+def match_groups(text: Column, pattern: str, count: int) -> Column:
+    """The groups of an anchored pattern as an array, NULL where the text does not match.
+
+    One evaluation of the pattern writes all groups next to each other with a mark between them;
+    a text that holds the mark itself is read group by group."""
+    marked = F.regexp_replace(text, pattern, GROUP_MARK.join(f"${i}" for i in range(1, count + 1)))
+    quick = let(F.split(marked, GROUP_MARK, -1), lambda parts: F.when(F.size(parts) == count, parts))
+    single = F.array(*[F.regexp_extract(text, pattern, i) for i in range(1, count + 1)])
+    return F.when(F.contains(text, F.lit(GROUP_MARK)), F.when(text.rlike(pattern), single)).otherwise(quick)
+
+
 def hide_characters(match: Column) -> Column:
     return F.regexp_replace(match, K.HIDDEN_CHARACTER, "*")
 

@@ -144,38 +144,34 @@ def extract_measurements(pages: DataFrame, synonyms: dict[str, str] | None = Non
         )
     )
     source = F.col("source_text")
-    groups = lines.withColumns(
-        {
-            "__strict": F.regexp_extract(source, K.RESULT_LINE, 1),
-            "__value": F.regexp_extract(source, K.RESULT_LINE, 2),
-            "__unit": F.regexp_extract(source, K.RESULT_LINE, 3),
-            "__low": F.regexp_extract(source, K.RESULT_LINE, 4),
-            "__high": F.regexp_extract(source, K.RESULT_LINE, 5),
-            "__loose": F.regexp_extract(source, K.LOOSE_LINE, 1),
-            "__rest": F.regexp_extract(source, K.LOOSE_LINE, 2),
-        }
+    strict, loose = F.col("__strict"), F.col("__loose")
+    matched = (
+        lines.select("*", X.fixed(X.match_groups(source, K.RESULT_LINE, 5)).alias("__strict"))
+        .select("*", X.fixed(F.when(strict.isNull(), X.match_groups(source, K.LOOSE_LINE, 2))).alias("__loose"))
+        .where(strict.isNotNull() | loose.isNotNull())
     )
-    strict = F.col("__strict") != ""
-    named = groups.where(strict | (F.col("__loose") != "")).select(
-        "*",
-        strict.alias("__is_strict"),
-        X.strip(F.when(strict, F.col("__strict")).otherwise(F.col("__loose"))).alias("test_name_raw"),
-        F.when(strict, F.col("__value")).otherwise(F.col("__rest")).alias("value_raw"),
-    )
-    code, known = test_code_of(F.col("test_name_raw"), synonyms)
-    token = X.fold_case(F.col("value_raw"))
+    value_raw = F.coalesce(strict[1], loose[1])
+    token = X.fold_case(value_raw)
     status = (
-        F.when(~F.col("__is_strict"), "AMBIGUOUS")
+        F.when(strict.isNull(), "AMBIGUOUS")
         .when(token.isin(K.ILLEGIBLE_TOKENS), "ILLEGIBLE")
         .when(token.isin(K.MISSING_TOKENS), "MISSING")
         .otherwise("OK")
     )
-    coded = named.withColumns({"test_code": code, "test_known": known, "value_status": status}).where(
-        (F.col("__is_strict") | F.col("test_known")) & ~X.fold_case(F.col("test_name_raw")).isin(K.NON_RESULT_NAMES)
+    named = matched.select(
+        "*",
+        X.fixed(X.strip(F.coalesce(strict[0], loose[0]))).alias("test_name_raw"),
+    ).select("*", value_raw.alias("value_raw"), status.alias("value_status"))
+    code, known = test_code_of(F.col("test_name_raw"), synonyms)
+    coded = named.select(
+        "*", X.fixed(F.struct(code.alias("test_code"), known.alias("test_known"))).alias("__test")
+    ).where(
+        (strict.isNotNull() | F.col("__test.test_known"))
+        & ~X.fold_case(F.col("test_name_raw")).isin(K.NON_RESULT_NAMES)
     )
 
-    def only_strict(value: Column) -> Column:
-        return F.when(F.col("__is_strict"), value)
+    def group(number: int) -> Column:
+        return _none_if_empty(strict[number])
 
     return coded.select(
         *place,
@@ -186,14 +182,14 @@ def extract_measurements(pages: DataFrame, synonyms: dict[str, str] | None = Non
         X.calendar_date(F.regexp_extract("date_source_text", K.DATE_LINE, 1)).alias("exam_date"),
         "date_source_text",
         "test_name_raw",
-        "test_code",
-        "test_known",
+        "__test.test_code",
+        "__test.test_known",
         "value_raw",
         F.when(F.col("value_status") == "OK", X.decimal_comma(F.col("value_raw"))).alias("value"),
         "value_status",
-        only_strict(_none_if_empty(F.col("__unit"))).alias("unit"),
-        only_strict(X.decimal_comma(_none_if_empty(F.col("__low")))).alias("ref_low"),
-        only_strict(X.decimal_comma(_none_if_empty(F.col("__high")))).alias("ref_high"),
+        group(2).alias("unit"),
+        X.decimal_comma(group(3)).alias("ref_low"),
+        X.decimal_comma(group(4)).alias("ref_high"),
         F.lit(K.EXTRACTOR_VERSION).alias("extractor_version"),
         measurement_id().alias("measurement_id"),
         F.current_timestamp().alias("processed_at"),
