@@ -33,12 +33,11 @@ def document_pages(
 
     The whole document is blanked when none of its pages carries the declaration."""
     hide = mask or (lambda text: text)
-    prepared = documents.withColumn("__pages", pages).withColumn(
-        "__error", F.lit(None).cast("string") if error is None else error
-    )
-    prepared = prepared.withColumn(
-        "synthetic_declared", F.coalesce(F.exists("__pages", lambda page: X.declares(page, marker)), F.lit(False))
+    prepared = documents.select(
+        "*", X.fixed(pages).alias("__pages"), (F.lit(None).cast("string") if error is None else error).alias("__error")
     )
+    declared = F.coalesce(F.exists("__pages", lambda page: X.declares(page, marker)), F.lit(False))
+    prepared = prepared.select("*", X.fixed(declared).alias("synthetic_declared"))
     kept = [c for c in documents.columns if c not in ("content", "text")]
     fanned = prepared.select(
         *kept,
@@ -51,7 +50,9 @@ def document_pages(
         "parse_error",
         "synthetic_declared",
         (F.col("__position") + 1).cast("int").alias("page_num"),
-        F.when(F.col("synthetic_declared") & F.col("__position").isNotNull(), hide(F.col("__page"))).alias("page_text"),
+        X.fixed(
+            F.when(F.col("synthetic_declared") & F.col("__position").isNotNull(), hide(F.col("__page")))
+        ).alias("page_text"),
     ).select(
         *kept,
         "parse_error",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sourcetrail import contract as K
 from sourcetrail.operators import classify, evidence, findings
 from sourcetrail.operators.evidence import evidence_struct  # noqa: F401  (re-exported for the registry)
-from sourcetrail.session import materialize
+from sourcetrail.session import materialize, spread
 
 MODEL = "stand-in"
 QUESTIONS = "questions-v1"
@@ -24,6 +24,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
+    """A table of long texts, spread over the cores where it has few splits."""
+    return spread(table(spark, folder, name))
+
+
 def case_of(user: Column) -> Column:
     return F.concat(F.lit("C"), user.cast("string"))
 
@@ -102,7 +107,7 @@ def case_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder).select(
         F.col("source").alias("case_id"),
         F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("document_id"),
         "lang",
@@ -141,7 +146,7 @@ def result_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("\n\n "), result,
         F.lit("\nObservação: sem jejum\nDocumento sintético.\n"),
     )
-    return table(spark, folder, "events").select(
+    return spread(table(spark, folder, "events")).select(
         case_of(F.col("user_id")).alias("case_id"),
         F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("document_id"),
         F.col("ts").alias("ingested_at"),

@@ -565,7 +565,10 @@ ORACLES: dict[str, str] = {
         ELSE 'UNK_' || replace(upper(p_name), ' ', '_') || '_A_' || p_type END AS test_code,
         p_name = 'red widget' AND p_type = 'ECONOMY' AS test_known FROM part""",
     "extract_measurements": RESULTS,
-    "evidence_check": "SELECT CAST(0 AS BIGINT) AS n_misplaced",
+    "evidence_check": with_ctes(
+        ["sheets"],
+        "SELECT 'C' || user_id AS case_id, count(*) AS n_measurements, CAST(0 AS BIGINT) AS n_misplaced FROM sheets GROUP BY 1",
+    ),
     "review_queue": with_ctes(["queue"], "SELECT * EXCLUDE (summary, n_evidence, evidence, forced, lifted) FROM queue"),
     "classify_findings": with_ctes(
         ["answers"],
@@ -632,7 +635,7 @@ ORACLES: dict[str, str] = {
           SELECT doc_id, n, line, regexp_extract_all(line, '(?i)tionment|mention|ention ') AS claims,
             string_split_regex(line, '(?i)tionment|mention|ention ') AS pieces
           FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents))))
-      WHERE NOT regexp_matches(substring(line, 1, CAST(start AS BIGINT)), '\bnon\b|\bun\b|\bthe\b')""",
+      WHERE NOT regexp_matches(substring(line, 1, CAST(start AS BIGINT)), ' (?:non|un|the) ')""",
     "residual_identifiers": " UNION ALL ".join(
         f"SELECT 'text' AS column_name, '{kind}' AS kind, count(*) FILTER (regexp_matches(text, {q(pattern)})) AS n_texts FROM documents"
         for kind, pattern in [("cpf", CPF), ("email", EMAIL), ("us_phone", D.US_PHONE)]

@@ -252,14 +252,14 @@ def unseen_contents(spark, folder):
 
 @query
 def line_offsets(spark, folder):
-    lines = extract.page_lines(D.table(spark, folder, "documents").select("doc_id", "text"), "text")
+    lines = extract.page_lines(D.texts(spark, folder).select("doc_id", "text"), "text")
     return lines.select("doc_id", "line_no", "char_start", "char_end", F.md5("line").alias("line_md5"))
 
 
 @query
 def mask_identifiers(spark, folder):
     patterns = {**K.INLINE_IDENTIFIERS, "us_phone": D.US_PHONE}
-    documents = D.table(spark, folder, "documents")
+    documents = D.texts(spark, folder)
     masked = documents.select(
         "doc_id", F.length("text").alias("n_before"), X.mask_identifiers(F.col("text"), None, patterns).alias("masked")
     )
@@ -307,12 +307,16 @@ def extract_measurements(spark, folder):
 
 @query
 def evidence_check(spark, folder):
-    """How many extracted measurements lead back to their text."""
+    """Per case: how many measurements were extracted, and how many do not lead back to their text."""
     documents = D.result_pages(spark, folder)
     pages = materialize(extract.document_pages(documents, F.array("text")), "pages")
-    measured = extract.extract_measurements(pages)
-    bad = extract.misplaced_evidence(measured, pages)
-    return bad.agg(F.count(F.lit(1)).alias("n_misplaced"))
+    measured = materialize(extract.extract_measurements(pages), "extracted")
+    bad = extract.misplaced_evidence(measured, pages).select("case_id", F.lit(1).alias("misplaced"))
+    every = measured.select("case_id", F.lit(0).alias("misplaced"))
+    # each misplaced row appears in both branches
+    return every.unionByName(bad).groupBy("case_id").agg(
+        F.count_if(F.col("misplaced") == 0).alias("n_measurements"), F.sum("misplaced").alias("n_misplaced")
+    )
 
 
 # --- review ------------------------------------------------------------------------------------------
@@ -521,20 +525,20 @@ def policy_masked_documents(spark, folder):
 @query
 def secret_scan(spark, folder):
     patterns = {**K.SECRET_PATTERNS, "token_literal": r"token\s*=\s*\"[0-9a-f]{16,}"}
-    return scans.secret_scan(D.table(spark, folder, "documents"), ["doc_id"], "text", patterns)
+    return scans.secret_scan(D.texts(spark, folder), ["doc_id"], "text", patterns)
 
 
 @query
 def claim_scan(spark, folder):
     return scans.claim_scan(
-        D.table(spark, folder, "documents"), ["doc_id"], "text", claim=r"(?i)tionment|mention|ention ", negation=r"\bnon\b|\bun\b|\bthe\b"
+        D.texts(spark, folder), ["doc_id"], "text", claim=r"(?i)tionment|mention|ention ", negation=r" (?:non|un|the) "
     )
 
 
 @query
 def residual_identifiers(spark, folder):
     patterns = {"cpf": K.INLINE_IDENTIFIERS["cpf"], "email": K.INLINE_IDENTIFIERS["email"], "us_phone": D.US_PHONE}
-    return scans.residual_identifiers(D.table(spark, folder, "documents"), ["text"], patterns)
+    return scans.residual_identifiers(D.texts(spark, folder), ["text"], patterns)
 
 
 # --- serving -----------------------------------------------------------------------------------------

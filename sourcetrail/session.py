@@ -53,3 +53,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = run_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for work that is heavy per row when the input has fewer splits than cores.
+
+    Few splits mean little data, so the exchange is small; a large input is left as it is."""
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
