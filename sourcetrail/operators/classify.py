@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sourcetrail import contract as K
+from sourcetrail.functions.text import fixed, let
 from sourcetrail.operators.cdc import answers_complete
 
 FIELDS = {"needs_review": "yes_no", "priority": "choice", "is_clear": "yes_no"}
@@ -56,22 +57,24 @@ def stand_in_answers(context: Column) -> dict[str, Column]:
     }
 
 
-def _as_value(reply: Column) -> Column:
-    """The value inside a reply: bare, under output, or one level deeper."""
-    inner = F.coalesce(F.get_json_object(reply, "$.output"), reply)
-    nested = [F.get_json_object(inner, f"$.{name}") for name in ("answer", "value", "choice")]
-    unquoted = F.regexp_extract(inner, r'^\s*"(.*)"\s*$', 1)
-    return F.coalesce(*nested, F.when(unquoted != "", unquoted), inner)
+def _token(reply: Column) -> Column:
+    """The answer inside a reply in lower case: bare, under output, or one level deeper."""
+
+    def unwrapped(inner: Column) -> Column:
+        nested = [F.get_json_object(inner, f"$.{name}") for name in ("answer", "value", "choice")]
+        bare = F.regexp_replace(inner, r'^\s*"(.+)"\s*$', "$1")
+        return F.lower(F.trim(F.when(F.startswith(F.ltrim(inner), F.lit("{")), F.coalesce(*nested, inner)).otherwise(bare)))
+
+    return let(F.coalesce(F.get_json_object(reply, "$.output"), reply), unwrapped)
 
 
 def yes_no(reply: Column) -> Column:
-    token = F.lower(F.trim(_as_value(reply)))
-    return F.when(token.isin(K.YES_TOKENS), True).when(token.isin(K.NO_TOKENS), False)
+    return let(_token(reply), lambda t: F.when(t.isin(K.YES_TOKENS), True).when(t.isin(K.NO_TOKENS), False))
 
 
 def choice(reply: Column) -> Column:
-    token = F.replace(F.lower(F.trim(_as_value(reply))), F.lit("é"), F.lit("e"))
-    return F.when(token.isin(K.PRIORITIES), token)
+    plain = F.replace(_token(reply), F.lit("é"), F.lit("e"))
+    return let(plain, lambda t: F.when(t.isin(K.PRIORITIES), t))
 
 
 def decision_records(
@@ -88,7 +91,8 @@ def decision_records(
     read = {"yes_no": yes_no, "choice": choice}
     t = terms.field
     asked = due.withColumn("__context", context_text()).withColumns({f"__{k}": r for k, r in replies.items()})
-    answered = asked.withColumns({name: read[kind](F.col(f"__{name}")) for name, kind in FIELDS.items()})
+    answers = F.struct(*[read[kind](F.col(f"__{name}")).alias(name) for name, kind in FIELDS.items()])
+    answered = asked.select("*", fixed(answers).alias("__answers")).select("*", "__answers.*")
     raw = F.to_json(
         F.struct(*[F.substring(f"__{name}", 1, K.RAW_ANSWER_CHARS).alias(name) for name in sorted(FIELDS)])
     )

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sourcetrail import contract as K
+from sourcetrail.functions import text as X
 from sourcetrail.operators import classify, evidence, findings
-from sourcetrail.operators.evidence import evidence_struct  # noqa: F401  (re-exported for the registry)
 from sourcetrail.session import materialize, spread
 
 MODEL = "stand-in"
@@ -38,7 +38,10 @@ def review_of(user: Column) -> Column:
 
 
 def measurements(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    events = spread(table(spark, folder, "events")).select(
+        "event_id", "ts", "user_id", "event_type", "value",
+        X.fixed(F.get_json_object("props", "$.k").cast("int")).alias("k"),
+    )
     k, event = F.col("k"), F.col("event_id")
     status = (
         F.when(k % 23 == 0, "ILLEGIBLE").when(k % 23 == 1, "MISSING").when(k % 23 == 2, "AMBIGUOUS").otherwise("OK")
