@@ -113,7 +113,7 @@ def ordered_digest(
     texts = (
         items.join(large.select(*keys), keys, "left_anti")
         .groupBy(*keys)
-        .agg(F.array_join(F.array_sort(F.collect_list("item")), separator).alias("text"))
+        .agg(F.array_join(F.sort_array(F.collect_list("item")), separator).alias("text"))
     )
     gathered = (
         frame.where(F.col("n_items") <= limit)

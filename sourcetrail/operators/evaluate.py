@@ -70,7 +70,7 @@ def found_ids(heads: DataFrame, chunk: int = CHUNK_IDS) -> DataFrame:
     n_chunks = F.ceil(F.col("n_findings") / chunk).cast("int")
     placed = heads.join(renamed, on).withColumn("chunk_no", F.pmod(F.xxhash64("finding_id"), n_chunks).cast("int"))
     return placed.groupBy(*KEY, "n_findings", "chunk_no").agg(
-        F.array_sort(F.collect_list("finding_id")).alias("finding_ids")
+        F.sort_array(F.collect_list("finding_id")).alias("finding_ids")
     )
 
 

@@ -86,24 +86,23 @@ def conflicts(dated: DataFrame) -> DataFrame:
     return dated.where(F.col("n_versions") > 1).select(*GROUP, "test_name_raw", "n_versions", "n_evidence")
 
 
-def temporal_comparison(dated: DataFrame) -> DataFrame:
-    """Each unambiguous date against the one before it."""
-    series = Window.partitionBy("case_id", "test_code").orderBy("exam_date")
-    pairs = (
-        dated.where(F.col("n_versions") == 1)
-        .withColumns(
-            {
-                "previous_date": F.lag("exam_date").over(series),
-                "previous_value": F.lag("value").over(series),
-                "previous_unit": F.lag("unit").over(series),
-                "previous_evidence": F.lag("n_evidence").over(series),
-            }
-        )
-        .where(F.col("previous_date").isNotNull())
+def paired(dated: DataFrame) -> DataFrame:
+    """Every date next to the unambiguous date before it, with the change between the two.
+
+    Dates with one version and dates with several form separate series, so one window pass serves
+    both the comparison and the conflicts; only the first kind of series has a meaning as a sequence."""
+    series = Window.partitionBy("case_id", "test_code", F.col("n_versions") == 1).orderBy("exam_date")
+    rows = dated.withColumns(
+        {
+            "previous_date": F.lag("exam_date").over(series),
+            "previous_value": F.lag("value").over(series),
+            "previous_unit": F.lag("unit").over(series),
+            "previous_evidence": F.lag("n_evidence").over(series),
+        }
     )
     same_unit = unit_key(F.col("previous_unit")) == unit_key(F.col("unit"))
     change = F.col("value") - F.col("previous_value")
-    pairs = pairs.withColumns(
+    rows = rows.withColumns(
         {
             "same_unit": same_unit,
             "delta_abs": F.when(same_unit, F.round(change, 4)),
@@ -120,56 +119,74 @@ def temporal_comparison(dated: DataFrame) -> DataFrame:
         .when(F.col("delta_pct") > 0, "UP")
         .otherwise("DOWN")
     )
-    return pairs.select(
-        "case_id",
-        "test_code",
-        "test_name_raw",
-        "previous_date",
-        "exam_date",
-        F.datediff("exam_date", "previous_date").alias("days_between"),
-        "previous_value",
-        "value",
-        "previous_unit",
-        "unit",
-        "delta_abs",
-        "delta_pct",
-        direction.alias("direction"),
-        (F.col("n_evidence") + F.col("previous_evidence")).alias("n_evidence"),
+    return rows.withColumn("direction", direction)
+
+
+def has_predecessor() -> Column:
+    return (F.col("n_versions") == 1) & F.col("previous_date").isNotNull()
+
+
+def temporal_comparison(dated: DataFrame) -> DataFrame:
+    """Each unambiguous date against the one before it."""
+    return (
+        paired(dated)
+        .where(has_predecessor())
+        .select(
+            "case_id",
+            "test_code",
+            "test_name_raw",
+            "previous_date",
+            "exam_date",
+            F.datediff("exam_date", "previous_date").alias("days_between"),
+            "previous_value",
+            "value",
+            "previous_unit",
+            "unit",
+            "delta_abs",
+            "delta_pct",
+            "direction",
+            (F.col("n_evidence") + F.col("previous_evidence")).alias("n_evidence"),
+        )
     )
 
 
-def attach_evidence(groups: DataFrame, dates: Column, measurements: DataFrame, chunk: int = CHUNK_ROWS) -> DataFrame:
+def attach_evidence(
+    groups: DataFrame, keys: list[str], dates: Column, measurements: DataFrame, chunk: int = CHUNK_ROWS
+) -> DataFrame:
     """Evidence of every group, collected into arrays of about ``chunk`` entries.
 
-    ``groups`` has the grouping columns and ``n_evidence``; ``dates`` lists the dates whose measurements
-    count.  A group with up to ``chunk`` entries is one row.  A larger one gives several rows, told
-    apart by ``chunk_no``: measurements fall into chunks by a hash of their place, so no task ever
-    holds a whole large group.  ``sources`` also keeps the stated value and unit of every entry."""
-    wanted = groups.withColumns(
-        {"n_chunks": F.ceil(F.col("n_evidence") / chunk).cast("int"), "__date": F.explode(dates)}
+    ``groups`` has the unique ``keys``, ``n_evidence`` and further columns, which are carried along;
+    ``dates`` lists the dates whose measurements count.  A group with up to ``chunk`` entries is one
+    row.  A larger one gives several rows, told apart by ``chunk_no``: measurements fall into chunks by
+    a hash of their place, so no task ever holds a whole large group.  ``sources`` also keeps the
+    stated value and unit of every entry."""
+    carried = [c for c in groups.columns if c not in keys]
+    wanted = groups.select(
+        *keys,
+        F.struct(*carried).alias("__carried"),
+        F.ceil(F.col("n_evidence") / chunk).cast("int").alias("n_chunks"),
+        F.explode(dates).alias("__date"),
     )
-    rows = usable(measurements).select(
-        F.col("case_id"),
-        F.col("test_code"),
-        F.col("exam_date").alias("__date"),
+    entry = F.struct(
+        F.col("exam_date").alias("date"),
         *K.EVIDENCE_FIELDS,
-        F.col("value_raw").alias("__value_raw"),
-        F.col("unit").alias("__unit"),
+        "value_raw",
+        "unit",
     )
-    entry = F.struct(
-        F.col("__date").alias("date"),
-        *[F.col(name) for name in K.EVIDENCE_FIELDS],
-        F.col("__value_raw").alias("value_raw"),
-        F.col("__unit").alias("unit"),
+    rows = usable(measurements).select(
+        "case_id",
+        "test_code",
+        F.col("exam_date").alias("__date"),
+        entry.alias("__entry"),
+        F.xxhash64("document_id", "page_num", "line_no", "char_start").alias("__place"),
     )
-    place = F.xxhash64("document_id", "page_num", "line_no", "char_start")
-    joined = wanted.join(rows, ["case_id", "test_code", "__date"])
-    kept = [*groups.columns, "n_chunks"]
-    collected = joined.groupBy(*kept, F.pmod(place, F.col("n_chunks")).cast("int").alias("chunk_no")).agg(
-        F.array_sort(F.collect_list(entry)).alias("sources")
+    collected = (
+        wanted.join(rows, ["case_id", "test_code", "__date"])
+        .groupBy(*keys, "n_chunks", F.pmod("__place", "n_chunks").cast("int").alias("chunk_no"))
+        .agg(F.first("__carried").alias("__carried"), F.sort_array(F.collect_list("__entry")).alias("sources"))
     )
     pointers = F.transform("sources", lambda s: F.struct(*[s[name].alias(name) for name in K.EVIDENCE_FIELDS]))
-    return collected.withColumn("evidence", pointers)
+    return collected.select(*keys, "__carried.*", "n_chunks", "chunk_no", "sources", pointers.alias("evidence"))
 
 
 def conflict_versions(attached: DataFrame) -> DataFrame:

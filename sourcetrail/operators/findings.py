@@ -62,9 +62,13 @@ def gap_findings(gaps: DataFrame) -> DataFrame:
     )
 
 
-def flagged_variations(comparison: DataFrame, threshold_pct: float = K.VARIATION_PCT) -> DataFrame:
+def _notable(threshold_pct: float) -> Column:
     large = F.abs("delta_pct") >= F.lit(float(threshold_pct))
-    return comparison.where((F.col("direction") == "UNIT_CHANGED") | large)
+    return (F.col("direction") == "UNIT_CHANGED") | large
+
+
+def flagged_variations(comparison: DataFrame, threshold_pct: float = K.VARIATION_PCT) -> DataFrame:
+    return comparison.where(_notable(threshold_pct))
 
 
 def _variation_text() -> Column:
@@ -121,37 +125,28 @@ def grouped_findings(
     chunk: int = E.CHUNK_ROWS,
 ) -> DataFrame:
     """Variations and conflicts together: both fetch their evidence in the same join."""
-    none = {name: F.lit(None).cast(kind) for name, kind in [("date", "date"), ("num", "double"), ("text", "string")]}
-    variation = flagged_variations(E.temporal_comparison(dated), threshold_pct).select(
-        F.lit("TEMPORAL_VARIATION").alias("finding_type"),
-        F.col("direction").alias("finding_subtype"),
+    conflict = F.col("n_versions") > 1
+    varied = E.has_predecessor() & _notable(threshold_pct)
+    flagged = E.paired(dated).where(conflict | varied)
+    groups = flagged.select(
+        F.when(conflict, "CONFLICT").otherwise("TEMPORAL_VARIATION").alias("finding_type"),
+        F.when(conflict, "DIVERGENT_VALUES").otherwise(F.col("direction")).alias("finding_subtype"),
         *E.GROUP,
         "test_name_raw",
-        "n_evidence",
-        F.lit(None).cast("long").alias("n_versions"),
-        "previous_date",
+        "n_versions",
+        # the earlier date is evidence of a variation, never of a conflict
+        F.when(~conflict, F.col("previous_date")).alias("previous_date"),
         "previous_value",
         "value",
         "previous_unit",
         "unit",
         "delta_pct",
-    )
-    conflict = E.conflicts(dated).select(
-        F.lit("CONFLICT").alias("finding_type"),
-        F.lit("DIVERGENT_VALUES").alias("finding_subtype"),
-        *E.GROUP,
-        "test_name_raw",
-        "n_evidence",
-        "n_versions",
-        none["date"].alias("previous_date"),
-        none["num"].alias("previous_value"),
-        none["num"].alias("value"),
-        none["text"].alias("previous_unit"),
-        none["text"].alias("unit"),
-        none["num"].alias("delta_pct"),
+        F.when(conflict, F.col("n_evidence"))
+        .otherwise(F.col("n_evidence") + F.col("previous_evidence"))
+        .alias("n_evidence"),
     )
     dates = F.array_compact(F.array("previous_date", "exam_date"))
-    attached = E.conflict_versions(E.attach_evidence(variation.unionByName(conflict), dates, measurements, chunk))
+    attached = E.conflict_versions(E.attach_evidence(groups, KEY, dates, measurements, chunk))
     summary = F.when(F.col("finding_type") == "CONFLICT", _conflict_text(terms)).otherwise(_variation_text())
     return attached.withColumn("summary", summary).select(*SHAPE)
 
@@ -172,7 +167,7 @@ def _id_prefix() -> Column:
 
 def with_finding_ids(rows: DataFrame) -> DataFrame:
     """Finding id of rows whose whole evidence is in the row."""
-    pointers = F.array_join(F.array_sort(F.transform("evidence", pointer)), ",")
+    pointers = F.array_join(F.sort_array(F.transform("evidence", pointer)), ",")
     return rows.withColumn("finding_id", F.sha2(F.concat(_id_prefix(), pointers), 256))
 
 

@@ -69,7 +69,7 @@ def analysis_summary(queue: DataFrame, terms: K.Terms = K.DEFAULT_TERMS, limit:
         F.count_if(F.col("needs_review_final") & F.col("reviewer_action").isNull()).alias("n_pending_human"),
         F.count_if(F.col("reviewer_action") == "CORRECT").alias("n_corrected"),
         F.count("reviewer_action").alias("n_decided"),
-        F.array_join(F.array_sort(F.collect_set(terms.field("model"))), ",").alias("models"),
+        F.array_join(F.sort_array(F.collect_set(terms.field("model"))), ",").alias("models"),
     )
     digest = ordered_digest(queue, ["case_id"], analysis_json(terms), "\n", _frame(counted, "n_findings"), limit)
     return counted.join(digest.withColumnRenamed("digest", "analysis_hash"), "case_id")
@@ -87,7 +87,7 @@ def attestation_payload(
 ) -> DataFrame:
     """The technical record of a review: hashes, versions, target status.  No document content."""
     extractors = measurements.groupBy("case_id").agg(
-        F.array_join(F.array_sort(F.collect_set("extractor_version")), ",").alias("extractors")
+        F.array_join(F.sort_array(F.collect_set("extractor_version")), ",").alias("extractors")
     )
     signoff = reviewed.where((F.col("scope") == "REVIEW") & (F.col("action") == "SIGNOFF")).select(
         "review_id", "reviewer_tech_id", F.col("decided_at").alias("signoff_at")

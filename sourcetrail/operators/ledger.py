@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sourcetrail import contract as K
+from sourcetrail.functions.text import fixed, let
 
 # (field, bytes) in storage order
 LAYOUT = [
@@ -51,33 +52,37 @@ def _little_endian_long(part: Column) -> Column:
     return F.conv(swapped, 16, -10).cast("long")
 
 
-def decode_record(data: Column) -> Column:
-    """Struct of the record's fields plus ``error``; every field is NULL where the record is broken."""
+def _read_fields(data: Column) -> Column:
     parts = _slices(data)
-    status_code = F.conv(F.hex(parts["status"]), 16, 10).cast("int")
-    named = F.element_at(F.array(*[F.lit(s) for s in K.LEDGER_STATUS]), status_code + 1)
-    status = F.when(status_code < len(K.LEDGER_STATUS), named).otherwise(
-        F.concat(F.lit("UNKNOWN_"), status_code.cast("string"))
+    code = F.conv(F.hex(parts["status"]), 16, 10).cast("int")
+    hashes = ("review_id_hash", "input_hash", "analysis_hash", "reviewed_hash")
+    return F.struct(
+        F.coalesce(F.octet_length(data), F.lit(0)).alias("length"),
+        *[_hash(parts[name]).alias(name) for name in hashes],
+        _padded_text(parts["workflow_version"]).alias("workflow_version"),
+        _padded_text(parts["model_version"]).alias("model_version"),
+        F.coalesce(
+            F.get(F.array(*[F.lit(s) for s in K.LEDGER_STATUS]), code),
+            F.concat(F.lit("UNKNOWN_"), code.cast("string")),
+        ).alias("status"),
+        _little_endian_long(parts["attested_at"]).alias("attested_at"),
     )
-    workflow, model = _padded_text(parts["workflow_version"]), _padded_text(parts["model_version"])
-    length = F.coalesce(F.octet_length(data), F.lit(0))
-    error = F.when(
-        length < RECORD_BYTES,
-        F.format_string(f"record has %d bytes, expected at least {RECORD_BYTES}", length),
-    ).when(workflow.isNull() | model.isNull(), F.lit("version text is not UTF-8"))
-    sound = error.isNull()
 
-    def kept(value: Column) -> Column:
-        return F.when(sound, value)
 
-    return F.struct(
-        *[kept(_hash(parts[h])).alias(h) for h in ("review_id_hash", "input_hash", "analysis_hash", "reviewed_hash")],
-        kept(workflow).alias("workflow_version"),
-        kept(model).alias("model_version"),
-        kept(status).alias("status"),
-        kept(_little_endian_long(parts["attested_at"])).alias("attested_at"),
-        error.alias("error"),
-    )
+def decode_record(data: Column) -> Column:
+    """Struct of the record's fields plus ``error``; every field is NULL where the record is broken."""
+    shown = ["review_id_hash", "input_hash", "analysis_hash", "reviewed_hash", "workflow_version", "model_version",
+             "status", "attested_at"]
+
+    def judged(read: Column) -> Column:
+        too_short = read["length"] < RECORD_BYTES
+        no_text = read["workflow_version"].isNull() | read["model_version"].isNull()
+        error = F.when(
+            too_short, F.format_string(f"record has %d bytes, expected at least {RECORD_BYTES}", read["length"])
+        ).when(no_text, F.lit("version text is not UTF-8"))
+        return F.struct(*[F.when(~(too_short | no_text), read[n]).alias(n) for n in shown], error.alias("error"))
+
+    return let(_read_fields(data), judged)
 
 
 def due_for_verification(attestations: DataFrame, verifications: DataFrame) -> DataFrame:
@@ -106,7 +111,7 @@ def verify(
     ``accounts``: pda_address, owner, data, slot; NULL data means the address holds no account.
     ``due`` also says whether the transaction is confirmed, in ``tx_confirmed``."""
     snapshot = accounts.select("pda_address", "owner", "data", "slot")
-    read = due.join(snapshot, "pda_address", "left").withColumn("__record", decode_record(F.col("data")))
+    read = due.join(snapshot, "pda_address", "left").select("*", fixed(decode_record(F.col("data"))).alias("__record"))
     wrong_owner = F.lit(False) if not program_id else F.col("owner") != program_id
     error = (
         F.when(F.col("data").isNull(), "PDA não encontrada")

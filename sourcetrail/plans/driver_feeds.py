@@ -5,6 +5,8 @@ texts, ``orders`` the transaction receipts.  All of it is plain projection of wh
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,11 +163,16 @@ def gaps(measured: DataFrame) -> DataFrame:
     return evidence.measurement_gaps(measured)
 
 
-def written_findings(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Findings and their heads, written once."""
-    measured = measurements(spark, folder)
+def written_measurements(spark: SparkSession, folder: str) -> DataFrame:
+    """Measurements as a table: several steps read it, each only the columns it needs."""
+    return materialize(measurements(spark, folder), "measurements")
+
+
+def written_findings(spark: SparkSession, folder: str) -> SimpleNamespace:
+    """Measurements, finding rows and finding heads, written once."""
+    measured = written_measurements(spark, folder)
     rows = materialize(findings.findings(measured, gaps(measured), cases(spark, folder)), "findings")
-    return rows, findings.finding_heads(rows)
+    return SimpleNamespace(measured=measured, rows=rows, heads=findings.finding_heads(rows))
 
 
 def classifier_decisions(heads: DataFrame) -> DataFrame:
@@ -253,9 +260,8 @@ def receipts(spark: SparkSession, folder: str, payload: DataFrame) -> tuple[Data
     return attestations, verifications
 
 
-def expected_list(spark: SparkSession, folder: str) -> DataFrame:
+def expected_list(measured: DataFrame) -> DataFrame:
     """Keys an annotator would list: a high reading on a day, with the last page it is on."""
-    measured = measurements(spark, folder)
     high = (F.col("value") > 90) & F.col("exam_date").isNotNull()
     return (
         measured.where(high)

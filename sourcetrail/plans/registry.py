@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from sourcetrail.operators import (
 )
 from sourcetrail.plans import driver_feeds as D
 from sourcetrail.plans import serve
-from sourcetrail.session import adapt, materialize, run_folder
+from sourcetrail.session import adapt, materialize, run_folder, spread
 from sourcetrail.sources import feeds
 from sourcetrail.streaming import latest_state
 
@@ -46,7 +47,7 @@ def listed(column: str) -> Column:
 
 
 def pointers(column: str = "evidence") -> Column:
-    return F.array_join(F.array_sort(F.transform(column, findings.pointer)), ",").alias(column)
+    return F.array_join(F.sort_array(F.transform(column, findings.pointer)), ",").alias(column)
 
 
 # --- evidence ----------------------------------------------------------------------------------------
@@ -66,7 +67,7 @@ def temporal_comparison(spark, folder):
 def conflicts(spark, folder):
     measured = D.measurements(spark, folder)
     attached = evidence.attach_evidence(
-        evidence.conflicts(evidence.per_date(measured)), F.array("exam_date"), measured
+        evidence.conflicts(evidence.per_date(measured)), evidence.GROUP, F.array("exam_date"), measured
     )
     stated = F.transform(
         "versions",
@@ -74,7 +75,7 @@ def conflicts(spark, folder):
     )
     return evidence.conflict_versions(attached).select(
         *evidence.GROUP, "test_name_raw", "n_versions", "n_evidence", "chunk_no",
-        F.array_join(F.array_sort(stated), ",").alias("versions"), pointers(),
+        F.array_join(F.sort_array(stated), ",").alias("versions"), pointers(),
     )
 
 
@@ -104,14 +105,14 @@ def out_of_range(spark, folder):
 
 @query
 def findings_all(spark, folder):
-    measured = D.measurements(spark, folder)
+    measured = D.written_measurements(spark, folder)
     found = findings.findings(measured, D.gaps(measured), D.cases(spark, folder))
     return found.select("finding_id", "review_id", *findings.KEY, "summary", "n_evidence", "chunk_no", pointers())
 
 
 @query
 def finding_evidence(spark, folder):
-    measured = D.measurements(spark, folder)
+    measured = D.written_measurements(spark, folder)
     return findings.evidence_rows(findings.findings(measured, D.gaps(measured)))
 
 
@@ -322,44 +323,43 @@ def evidence_check(spark, folder):
 # --- review ------------------------------------------------------------------------------------------
 
 
-def queue_of(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(finding rows, queue, reviewer decisions), the queue written once."""
-    rows, heads = D.written_findings(spark, folder)
-    reviewed = D.review_decisions(heads, D.cases(spark, folder))
-    queued = queue.review_queue(heads, D.classifier_decisions(heads), reviewed)
-    return rows, materialize(queued, "queue"), reviewed
+def with_queue(spark, folder) -> SimpleNamespace:
+    """The tables of a review up to its queue, each written once like the tables of a pipeline."""
+    r = D.written_findings(spark, folder)
+    r.cases = D.cases(spark, folder)
+    r.reviewed = D.review_decisions(r.heads, r.cases)
+    r.queue = materialize(queue.review_queue(r.heads, D.classifier_decisions(r.heads), r.reviewed), "queue")
+    return r
 
 
-def payload_of(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rows, queued, reviewed = queue_of(spark, folder)
-    payload = integrity.attestation_payload(
-        D.cases(spark, folder), D.case_documents(spark, folder), queued, D.measurements(spark, folder), reviewed
-    )
-    return rows, queued, materialize(payload, "payload")
+def with_payload(spark, folder) -> SimpleNamespace:
+    r = with_queue(spark, folder)
+    documents = D.case_documents(spark, folder)
+    payload = integrity.attestation_payload(r.cases, documents, r.queue, r.measured, r.reviewed)
+    r.payload = materialize(payload, "payload")
+    return r
 
 
-def status_of(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rows, queued, payload = payload_of(spark, folder)
-    attestations, verifications = D.receipts(spark, folder, payload)
-    return rows, queued, integrity.review_status(D.cases(spark, folder), payload, attestations, verifications)
+def with_status(spark, folder) -> SimpleNamespace:
+    r = with_payload(spark, folder)
+    r.status = integrity.review_status(r.cases, r.payload, *D.receipts(spark, folder, r.payload))
+    return r
 
 
-def outcomes_of(spark, folder, rows: DataFrame) -> DataFrame:
-    return evaluate.expected_vs_found(D.expected_list(spark, folder), rows, findings.finding_heads(rows))
+def outcomes_of(r: SimpleNamespace) -> DataFrame:
+    return evaluate.expected_vs_found(D.expected_list(r.measured), r.rows, r.heads)
 
 
 @query
 def review_queue(spark, folder):
-    _, queued, _ = queue_of(spark, folder)
-    return queued.drop("summary", "n_evidence", "n_chunks").withColumns(
+    return with_queue(spark, folder).queue.drop("summary", "n_evidence", "n_chunks").withColumns(
         {"review_reasons": listed("review_reasons"), "safety_flags": listed("safety_flags")}
     )
 
 
 @query
 def classify_findings(spark, folder):
-    _, heads = D.written_findings(spark, folder)
-    return D.classifier_decisions(heads).select(
+    return D.classifier_decisions(D.written_findings(spark, folder).heads).select(
         "finding_id", "needs_review", "priority", "is_clear", "classifier_request_hash", "classifier_raw_answers",
         "classifier_response_valid",
     )
@@ -367,8 +367,8 @@ def classify_findings(spark, folder):
 
 @query
 def due_for_classification(spark, folder):
-    _, queued, status = status_of(spark, folder)
-    return classify.due_for_classification(queued, status, "questions-v2").select("finding_id", "review_id")
+    r = with_status(spark, folder)
+    return classify.due_for_classification(r.queue, r.status, "questions-v2").select("finding_id", "review_id")
 
 
 @query
@@ -400,39 +400,34 @@ def document_set(spark, folder):
 
 @query
 def attestation_payload(spark, folder):
-    return payload_of(spark, folder)[2]
+    return with_payload(spark, folder).payload
 
 
 @query
 def review_status(spark, folder):
-    return status_of(spark, folder)[2]
+    return with_status(spark, folder).status
 
 
 @query
 def expected_vs_found(spark, folder):
-    rows, _ = D.written_findings(spark, folder)
-    return outcomes_of(spark, folder, rows)
+    return outcomes_of(D.written_findings(spark, folder))
 
 
 @query
 def outcome_histogram(spark, folder):
-    rows, _ = D.written_findings(spark, folder)
-    return evaluate.outcome_histogram(outcomes_of(spark, folder, rows))
+    return evaluate.outcome_histogram(outcomes_of(D.written_findings(spark, folder)))
 
 
 @query
 def found_ids(spark, folder):
-    _, heads = D.written_findings(spark, folder)
-    return evaluate.found_ids(heads).withColumn("finding_ids", listed("finding_ids"))
+    return evaluate.found_ids(D.written_findings(spark, folder).heads).withColumn("finding_ids", listed("finding_ids"))
 
 
 @query
 def review_metrics(spark, folder):
-    rows, queued, status = status_of(spark, folder)
-    pages = D.measurements(spark, folder).select("case_id", "document_id", "page_num").distinct()
-    return evaluate.review_metrics(
-        status, D.cases(spark, folder), pages, D.measurements(spark, folder), queued, outcomes_of(spark, folder, rows)
-    )
+    r = with_status(spark, folder)
+    pages = r.measured.select("case_id", "document_id", "page_num").distinct()
+    return evaluate.review_metrics(r.status, r.cases, pages, r.measured, r.queue, outcomes_of(r))
 
 
 # --- ledger ------------------------------------------------------------------------------------------
@@ -461,12 +456,12 @@ def ledger_accounts(spark, folder) -> DataFrame:
         F.unhex(F.lit("FF")),
     )
     cut = F.when(F.col("o_totalprice") < 20000, F.substring(record, 1, 100)).otherwise(record)
-    return D.table(spark, folder, "orders").select(
+    return spread(D.table(spark, folder, "orders")).select(
         F.concat(F.lit("rev-"), key).alias("review_id"),
         F.concat(F.lit("pda-"), key).alias("pda_address"),
         F.concat(F.lit("tx-"), key).alias("tx_signature"),
         F.when(F.col("o_orderstatus") == "P", "other").otherwise("program").alias("owner"),
-        F.when(F.col("o_orderpriority") != "5-LOW", cut).alias("data"),
+        X.fixed(F.when(F.col("o_orderpriority") != "5-LOW", cut)).alias("data"),
         F.lit(7).cast("long").alias("slot"),
         (F.col("o_orderstatus") == "F").alias("tx_confirmed"),
         "o_orderkey",
@@ -546,12 +541,12 @@ def residual_identifiers(spark, folder):
 
 @query
 def serve_case_list(spark, folder):
-    return serve.case_list(status_of(spark, folder)[2])
+    return serve.case_list(with_status(spark, folder).status)
 
 
 @query
 def serve_queue(spark, folder):
-    shown = serve.case_queue(queue_of(spark, folder)[1])
+    shown = serve.case_queue(with_queue(spark, folder).queue)
     return shown.withColumns(
         {"review_reasons": listed("review_reasons"), "safety_flags": listed("safety_flags")}
     )
@@ -581,7 +576,7 @@ def serve_comparison(spark, folder):
 
 @query
 def serve_payload(spark, folder):
-    return serve.review_payload(payload_of(spark, folder)[2])
+    return serve.review_payload(with_payload(spark, folder).payload)
 
 
 @query

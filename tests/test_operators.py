@@ -179,7 +179,7 @@ def test_directions(spark):
 def test_large_groups_are_split_and_whole(spark):
     m = feed(spark, [("HOT", 1, float(i % 3), "g") for i in range(2500)] + [("K", 1, 1.0, "g"), ("K", 1, 2.0, "g")])
     groups = evidence.conflicts(evidence.per_date(m))
-    rows = evidence.attach_evidence(groups, F.array("exam_date"), m, chunk=100).collect()
+    rows = evidence.attach_evidence(groups, evidence.GROUP, F.array("exam_date"), m, chunk=100).collect()
     hot = [r for r in rows if r.test_code == "HOT"]
     assert len(hot) > 10 and max(len(r.evidence) for r in hot) < 250
     assert len({e.document_id for r in hot for e in r.evidence}) == sum(len(r.evidence) for r in hot) == 2500
