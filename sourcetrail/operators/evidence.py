@@ -40,7 +40,11 @@ def timeline(measurements: DataFrame) -> DataFrame:
     dates = measurements.select("case_id", "exam_date").distinct()
     position = F.dense_rank().over(Window.partitionBy("case_id").orderBy(F.col("exam_date").asc_nulls_first()))
     ranked = dates.withColumn("timeline_position", position).where(F.col("exam_date").isNotNull())
-    return measurements.join(ranked, ["case_id", "exam_date"], "left").select(
+    # undated rows find no partner: they are dealt out by their id instead of meeting in one task
+    spread = F.when(F.col("exam_date").isNull(), F.xxhash64("measurement_id")).otherwise(F.lit(0).cast("long"))
+    keyed = measurements.withColumn("__spread", spread)
+    ranked = ranked.withColumn("__spread", F.lit(0).cast("long"))
+    return keyed.join(ranked, ["case_id", "exam_date", "__spread"], "left").select(
         "case_id",
         "exam_date",
         "timeline_position",

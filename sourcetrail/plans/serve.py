@@ -1,4 +1,7 @@
-"""Queries a portal asks, with named parameters.  Without a parameter they cover all cases."""
+"""Queries a portal asks, with named parameters.  Without a parameter they cover all cases.
+
+Every order ends in an id: rows that tie in the wanted order can then still be sorted apart, so no
+range of the sort has to take all rows of one value."""
 
 from __future__ import annotations
 
@@ -20,7 +23,7 @@ def bound(df: DataFrame, **params) -> DataFrame:
 def case_list(status: DataFrame) -> DataFrame:
     shown = ["case_id", "review_id", "scenario", "review_state", "onchain_status", "is_finalized", "n_documents",
              "n_findings", "n_pending_human", "tx_signature", "submitted_at", "verified_at"]
-    return status.orderBy(F.desc("created_at")).select(*shown)
+    return status.orderBy(F.desc("created_at"), "case_id").select(*shown)
 
 
 def case_queue(queue: DataFrame, case_id: str | None = None, terms: K.Terms = K.DEFAULT_TERMS) -> DataFrame:
@@ -29,7 +32,7 @@ def case_queue(queue: DataFrame, case_id: str | None = None, terms: K.Terms = K.
              t("needs_review"), t("priority"), t("is_clear"), t("model"), t("prompt_version"), "needs_review_final",
              "review_reasons", "priority_final", "priority_reason", "safety_flags", "finding_state",
              "reviewer_action", "corrected_value", "corrected_unit"]
-    return bound(queue, case_id=case_id).orderBy("priority_rank", "finding_type", "exam_date").select(*shown)
+    return bound(queue, case_id=case_id).orderBy("priority_rank", "finding_type", "exam_date", "finding_id").select(*shown)
 
 
 def finding_sources(rows: DataFrame, finding_id: str | None = None) -> DataFrame:
@@ -43,14 +46,14 @@ def page_text(pages: DataFrame, document_id: str | None = None, page_num: int |
 def case_timeline(timeline: DataFrame, case_id: str | None = None) -> DataFrame:
     shown = ["exam_date", "timeline_position", "test_code", "test_name_raw", "value_raw", "unit", "value_status",
              "document_id", "page_num", "source_text"]
-    ordered: list[Column] = [F.col("exam_date").asc_nulls_last(), F.col("test_code")]
+    ordered: list[Column] = [F.col("exam_date").asc_nulls_last(), F.col("test_code"), F.col("measurement_id")]
     return bound(timeline, case_id=case_id).orderBy(*ordered).select(*shown)
 
 
 def case_comparison(comparison: DataFrame, case_id: str | None = None) -> DataFrame:
     shown = ["test_code", "test_name_raw", "previous_date", "exam_date", "previous_value", "value", "unit",
              "delta_abs", "delta_pct", "direction"]
-    return bound(comparison, case_id=case_id).orderBy("test_code", "exam_date").select(*shown)
+    return bound(comparison, case_id=case_id).orderBy("test_code", "exam_date", "case_id").select(*shown)
 
 
 def review_payload(payload: DataFrame, review_id: str | None = None) -> DataFrame:
