@@ -115,8 +115,12 @@ def line_table(text: Column) -> Column:
     )
 
 
-def rewrite_matches(text: Column, pattern: str, change: Callable[[Column], Column]) -> Column:
-    """Replace every match by ``change(match)``; everything between matches is kept as it is."""
+def rewrite_matches(
+    text: Column, pattern: str, change: Callable[[Column], Column], needs: str | None = None
+) -> Column:
+    """Replace every match by ``change(match)``; everything between matches is kept as it is.
+
+    ``needs`` is a character every match contains: a text without it is passed through unread."""
 
     def rebuilt(bound: Column) -> Column:
         between = F.split(bound, pattern, -1)
@@ -124,7 +128,10 @@ def rewrite_matches(text: Column, pattern: str, change: Callable[[Column], Colum
         joined = F.array_join(
             F.zip_with(between, hits, lambda kept, hit: F.concat(kept, F.coalesce(change(hit), F.lit("")))), ""
         )
-        return F.when(bound.rlike(pattern), joined).otherwise(bound)
+        present = bound.rlike(pattern)
+        if needs:
+            present = F.contains(bound, F.lit(needs)) & present
+        return F.when(present, joined).otherwise(bound)
 
     return let(text, rebuilt)
 
@@ -162,9 +169,11 @@ def mask_identifiers(
                 F.regexp_extract(hit, labelled, 1),
                 F.regexp_replace(F.regexp_extract(hit, labelled, 2), r"(?U)\S", "*"),
             ),
+            needs=":",
         )
-    for pattern in (K.INLINE_IDENTIFIERS if inline is None else inline).values():
-        out = rewrite_matches(out, pattern, hide_characters)
+    for kind, pattern in (K.INLINE_IDENTIFIERS if inline is None else inline).items():
+        needs = K.INLINE_NEEDS[kind] if K.INLINE_IDENTIFIERS.get(kind) == pattern else None
+        out = rewrite_matches(out, pattern, hide_characters, needs)
     return out
 
 
