@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sourcetrail.llm.repeats import without_repeats
 from sourcetrail.llm.set_join import jaccard_classes
 from sourcetrail.llm.tables import table
 
@@ -15,7 +17,21 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents", "doc_id", "text"), k=3, percent=90)
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the strings of 400 bytes that occur again."""
+    cut = without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), min_length=400)
+    removed = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["begin"])
+    return cut.select(
+        "doc_id",
+        (F.octet_length("kept_bytes") + removed).alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("removed_spans").cast("long").alias("n_spans"),
+        F.sha2("kept_bytes", 256).alias("kept_sha256"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
 }
 LLM_ORACLES: dict[str, str] = {}
