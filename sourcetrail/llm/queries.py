@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sourcetrail.llm.repeats import without_repeats
+from sourcetrail.llm import toxicity
 from sourcetrail.llm.set_join import jaccard_classes
-from sourcetrail.llm.tables import table
+from sourcetrail.llm.tables import crc_mod, table
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +31,31 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rows that are kept from fitting, by their id.
+TOXICITY_FOLDS, TOXICITY_HELD_OUT, TOXIC_FROM = 4, 2, 0.3
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Fitted on the given documents and labels without the held-out rows."""
+    learn = crc_mod("doc_id", TOXICITY_FOLDS) != TOXICITY_HELD_OUT
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").where(learn)
+    return toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic").where(learn))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    scored = toxicity.with_scores(table(spark, sf_dir, "documents", "doc_id", "text"), toxicity_model(spark, sf_dir))
+    return scored.select(
+        "doc_id",
+        F.coalesce(crc_mod("doc_id", TOXICITY_FOLDS) == TOXICITY_HELD_OUT, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op5_toxicity": op5_toxicity,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
 }
 LLM_ORACLES: dict[str, str] = {}
