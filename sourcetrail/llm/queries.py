@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sourcetrail.llm.packing import pack
 from sourcetrail.llm.repeats import without_repeats
 from sourcetrail.llm import toxicity
 from sourcetrail.llm.set_join import jaccard_classes
@@ -18,6 +19,16 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents", "doc_id", "text"), k=3, percent=90)
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    packed = pack(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the strings of 400 bytes that occur again."""
     cut = without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), min_length=400)
@@ -54,6 +65,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op5_toxicity": op5_toxicity,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
