@@ -11,9 +11,10 @@ most a + b - 2 o elements are in one of them only.
   not make a long list by itself, unlike a list per shingle.  Light sets that a heavy one can reach are listed too.
 * **The boundary** is the first size at which listing subsets costs more than keeping and scanning slices.
 
-Lists are then scanned in rounds.  A round compares the members of a list with one centre of the list, verifies these
-pairs on the whole sets, and merges components; lists within one component are left out from then on.  What remains
-after the rounds is compared pair by pair across components, so no link is lost and a group of many near copies costs a
+Lists are then scanned in rounds.  A parity sketch of 1,024 bits stands beside each entry and rules most pairs out at
+once (it can only ever rule out pairs that differ in too many elements).  A round compares the members of a list with one centre of the list, verifies these
+pairs on the whole sets, and labels what they connect; lists with one label are left out from then on.  What remains
+after the rounds is compared pair by pair across labels, so no link is lost and a group of many near copies costs a
 few comparisons per member, not all pairs.
 """
 
@@ -21,13 +22,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 from math import comb
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sourcetrail.llm.components import components
@@ -40,7 +42,9 @@ LIST_COST = 4.0
 #: Classes of sizes in the inverted lists: the largest size of a class by its smallest.
 CLASS_RATIO = 1.5
 #: Rounds against a centre before the remaining pairs are compared one by one.
-ROUNDS = 2
+ROUNDS = 1
+#: Words of 64 bits of a set's parity sketch.
+SKETCH = 16
 
 
 def overlap(a: int, b: int, percent: int) -> int:
@@ -169,6 +173,13 @@ def _profiles(k: int, percent: int):
     return run
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of elements in each of 64 * SKETCH cells.  Two sketches differ in at most as many bits as
+    elements are in one of the sets only, so a pair can be ruled out, never ruled in, without its sets."""
+    cells = np.bincount((mix(s + _U(7)) % _U(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(cells.astype(np.uint8)).view(np.uint64)
+
+
 def _whole_sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, last = WordHashes(), None
@@ -185,7 +196,8 @@ def _whole_sets(k: int):
                         last = rid
                         rids.append(rid)
                         sets.append(s)
-                yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), _lists(sets)], names=["rid", "elements"])
+                columns = [pa.array(rids, pa.int64()), _lists(sets), _lists([sketch(s) for s in sets])]
+                yield pa.RecordBatch.from_arrays(columns, names=["rid", "elements", "sketch"])
 
     return run
 
@@ -213,7 +225,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     members = profiles.join(heads, "mark", "left").select("row", "doc_id", "n", "rid")
     alone = profiles.join(heads, "mark").where("row = rid")
     entries = alone.select("rid", "n", F.explode("sigs").alias("sig")).repartition("sig")
-    shared = entries.groupBy("sig").agg(F.count("*").alias("length")).where("length > 1").select("sig")
+    shared = entries.groupBy("sig").agg(F.count("*").alias("length")).where("length > 1")
     lists = written(entries.join(shared, "sig"), "set-lists")
 
     classes = None
@@ -237,7 +249,7 @@ def _links(docs: DataFrame, profiles: DataFrame, lists: DataFrame, k: int, perce
     """Verified links between the sets in the lists, enough to connect what any link connects."""
     spark = docs.sparkSession
     # the texts of listed sets, found again by the row's mark
-    listed = profiles.join(lists.select(F.col("rid").alias("row")).distinct(), "row", "left_semi")
+    listed = profiles.join(lists.select(F.col("rid").alias("row")).distinct(), "row")
     named = listed.select("doc_id", "text_hash", F.col("row").alias("rid"), "mark")
     sets = written(_sets_of(docs, named, k), "set-elements")
 
@@ -248,41 +260,57 @@ def _links(docs: DataFrame, profiles: DataFrame, lists: DataFrame, k: int, perce
         union = F.size("a") + F.size("b") - both
         return pairs.join(left, "u").join(right, "v").where(100 * both >= percent * union).select("u", "v")
 
-    near = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
-    links, tested = spark.createDataFrame([], "u long, v long"), None
-    open_lists = lists.withColumn("comp", F.col("rid"))
+    bits = [f"b{i}_" for i in range(SKETCH)]
+    sketches = sets.dropDuplicates(["rid"]).select("rid", *[F.col("sketch")[i].alias(b) for i, b in enumerate(bits)])
+    # a set in many long lists is close to many: those are the centres
+    weights = lists.groupBy("rid").agg(F.sum("length").alias("weight")).join(sketches, "rid")
+    whole_lists = written(lists.join(weights, "rid"), "set-open-lists")
+
+    def other(column: str) -> Column:
+        return F.col(column).alias(column + "2")
+
+    size = F.col("n") + F.col("n2")
+    may_differ = size - 2 * F.floor((size * percent + 99 + percent) / (100 + percent))
+    differ = reduce(add, [F.bit_count(F.col(b).bitwiseXOR(F.col(b + "2"))) for b in bits])
+    near = (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent) & (differ <= may_differ)
+    links, tested = None, None
+    open_lists = whole_lists.withColumn("comp", F.col("rid"))
     for turn in range(ROUNDS + 1):
         if turn < ROUNDS:
-            order = F.xxhash64("rid", F.lit(turn))
-            centre = open_lists.groupBy("sig").agg(F.min(F.struct(order.alias("o"), "rid", "n", "comp")).alias("c"))
-            centre = centre.select("sig", F.col("c.rid").alias("rid2"), F.col("c.n").alias("n2"), F.col("c.comp").alias("comp2"))
-            pairs = open_lists.join(centre, "sig").where((F.col("comp") != F.col("comp2")) & near)
+            order = F.struct(-F.col("weight"), F.xxhash64("rid", F.lit(turn)))
+            centre = open_lists.groupBy("sig").agg(F.min_by(F.struct("rid", "n", "comp", *bits), order).alias("c")).select("sig", "c.*")
         else:
             # all that differs from the list's first component, against the whole list
             heads = open_lists.groupBy("sig").agg(F.min("comp").alias("first"))
-            rest = open_lists.join(heads, "sig").where("comp <> first")
-            rest = rest.select("sig", F.col("rid").alias("rid2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-            pairs = open_lists.join(rest, (open_lists["sig"] == rest["sig"]) & (F.col("comp") != F.col("comp2")) & near)
+            centre = open_lists.join(heads, "sig").where("comp <> first")
+        centre = centre.select("sig", *[other(c) for c in ("rid", "n", "comp", *bits)])
+        pairs = open_lists.join(centre, "sig").where((F.col("comp") != F.col("comp2")) & near)
         pairs = pairs.select(*_pairs("rid", "rid2")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = written(pairs, "set-pairs")
-        links = written(links.union(verified(pairs)), "set-links")
+        found = written(verified(pairs), "set-links")
+        links = found if links is None else links.union(found)
         if turn == ROUNDS:
-            return links
+            break
         tested = pairs if tested is None else tested.union(pairs)
-        labels = components(links).select(F.col("node").alias("rid"), F.col("component").alias("label"))
-        open_lists = lists.join(labels, "rid", "left").withColumn("comp", F.coalesce("label", "rid")).drop("label")
+        # two steps towards the smallest linked set: equal labels are connected, which is all that is needed here
+        both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        one = both.groupBy(F.col("u").alias("rid")).agg(F.least(F.min("v"), F.min("u")).alias("label"))
+        one = written(one, "set-labels")
+        two = one.join(one.select(F.col("rid").alias("label"), F.col("label").alias("next")), "label", "left")
+        two = two.select("rid", F.coalesce("next", "label").alias("label"))
+        open_lists = whole_lists.join(two, "rid", "left").withColumn("comp", F.coalesce("label", "rid")).drop("label")
         mixed = open_lists.groupBy("sig").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("sig")
         open_lists = written(open_lists.join(mixed, "sig"), "set-open-lists")
         if is_empty(open_lists):
-            return links
+            break
     return links
 
 
 def _sets_of(docs: DataFrame, named: DataFrame, k: int) -> DataFrame:
-    """(rid, elements) of the listed sets, from the texts.  A doc_id may be null or stand on several rows."""
+    """(rid, elements, sketch) of the listed sets, from the texts.  A doc_id may be null or stand on several rows."""
     keys = [F.coalesce("doc_id", F.lit(-1)).alias("key"), "text_hash"]
     texts = docs.select("text", F.xxhash64("text").alias("text_hash"), "doc_id").select("text", *keys)
     texts = texts.join(named.select("rid", "mark", *keys), ["key", "text_hash"])
-    return texts.select("rid", "text", "mark").mapInArrow(_whole_sets(k), "rid long, elements array<long>")
+    return texts.select("rid", "text", "mark").mapInArrow(_whole_sets(k), "rid long, elements array<long>, sketch array<long>")
