@@ -12,8 +12,8 @@ the left and min_length bytes to the right, its context.
    prefixes) and extended backward one byte at a time, breadth first: an interval splits by the byte before its suffixes
    (the Burrows-Wheeler column), the common prefix of neighbours grows by one over the minimum in between, and intervals
    that are single or can no longer reach min_length are dropped.  Neighbours that reach min_length mark a match.
-   A bucket beyond `bucket_rows` contexts is not gathered: its windows of min_length bytes are grouped by a 128-bit hash
-   instead, over the cluster, with the same result.
+   A bucket beyond `bucket_rows` contexts is not gathered: its contexts are compared over the cluster by hashes of what all
+   windows of a stretch share, and those that agree by 128-bit hashes of their windows, with the same result.
 4. Every occurrence of a matched context gets its span; spans of a document are merged and cut out.
 """
 
@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sourcetrail.llm.shingles import mix
-from sourcetrail.llm.tables import is_empty, ship, written
+from sourcetrail.llm.tables import discard, is_empty, ship, written
 
-#: Contexts of one bucket that a task sorts in memory (about 0.8 KB each); larger buckets are dealt over the cluster.
-BUCKET_ROWS = 8192
+#: Contexts of one bucket that a task sorts in memory (about 2 KB each); larger buckets are dealt over the cluster.
+BUCKET_ROWS = 32_768
 #: Contexts expanded together.
 EXPAND_ROWS = 8192
 
@@ -165,7 +165,7 @@ def _contexts(min_length: int):
     k = anchor_length(min_length)
     reach = min_length - k
     schema = pa.schema(
-        [("bucket", pa.int64()), ("hot", pa.bool_()), ("c1", pa.int64()), ("c2", pa.int64()), ("lead", pa.int32())]
+        [("bucket", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("lead", pa.int32())]
         + [("context", pa.binary())]
     )
 
@@ -178,7 +178,7 @@ def _contexts(min_length: int):
                     data = _bytes(text)
                     for w in wanted:
                         lead = min(w["p"], reach)
-                        row = (w["bucket"], w["hot"], w["c1"], w["c2"], lead, data[w["p"] - lead : w["p"] + min_length])
+                        row = (w["bucket"], w["c1"], w["c2"], lead, data[w["p"] - lead : w["p"] + min_length])
                         for column, value in zip(out, row, strict=True):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(out, schema, strict=True)], schema=schema)
@@ -232,21 +232,52 @@ def _expanded(min_length: int):
     return run
 
 
+#: Stretches that the windows around an anchor are dealt into.
+STRETCHES = 8
+
+
+def _stretches(min_length: int) -> list[tuple[int, int]]:
+    """First and last number of bytes left of the anchor of the windows in each stretch."""
+    reach = min_length - anchor_length(min_length)
+    step = -(-(reach + 1) // STRETCHES)
+    return [(j, min(reach, j + step - 1)) for j in range(0, reach + 1, step)]
+
+
+def _shared(min_length: int):
+    """What all windows of a stretch share, as a hash, for the contexts of hot buckets."""
+    schema = pa.schema([("bucket", pa.int64()), ("stretch", pa.int32()), ("c1", pa.int64()), ("c2", pa.int64()), ("shared", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for bucket, c1, c2, lead, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for i, (low, high) in enumerate(_stretches(min_length)):
+                    low, high = max(low, min_length - len(data) + lead), min(high, lead)
+                    if low <= high:
+                        full = (low, high) == _stretches(min_length)[i]
+                        h = xxhash.xxh3_64_intdigest(data[lead - low : lead - high + min_length]) if full else None
+                        rows.append((bucket, i, c1, c2, None if h is None else _signed(h)))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return run
+
+
 def _windows(min_length: int):
-    """All windows of min_length bytes around the anchors of hot buckets, as hashes with their place at the anchor."""
+    """Windows of min_length bytes in the given stretches of contexts, as hashes with their place at the anchor."""
     schema = pa.schema([(c, pa.int64()) for c in ("bucket", "w1", "w2", "c1", "c2")] + [("j", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                out = [[] for _ in schema]
-                for bucket, c1, c2, lead, data in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True):
-                    for j in range(max(0, min_length - len(data) + lead), lead + 1):
+            for at in range(0, batch.num_rows, 256):
+                rows = []
+                for bucket, c1, c2, lead, data, stretch in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
+                    low, high = _stretches(min_length)[stretch]
+                    for j in range(max(low, min_length - len(data) + lead), min(high, lead) + 1):
                         w = xxhash.xxh3_128_intdigest(data[lead - j : lead - j + min_length])
-                        row = (bucket, _signed(w >> 64), _signed(w & (2**64 - 1)), c1, c2, j)
-                        for column, value in zip(out, row, strict=True):
-                            column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(out, schema, strict=True)], schema=schema)
+                        rows.append((bucket, _signed(w >> 64), _signed(w & (2**64 - 1)), c1, c2, j))
+                columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return run
 
@@ -285,6 +316,24 @@ def _cut(n_columns: int, text_at: int, schema: T.StructType):
     return run
 
 
+def _hot_matches(contexts: DataFrame, min_length: int) -> DataFrame:
+    """Matches within buckets of any size, grouped over the cluster."""
+    hot = written(contexts.dropDuplicates(["bucket", "c1", "c2"]), "repeat-hot").repartition("c1", "c2")
+    shared = hot.mapInArrow(_shared(min_length), "bucket long, stretch int, c1 long, c2 long, shared long")
+    shared = written(shared, "repeat-stretches")
+    match = ["bucket", "stretch", "shared"]
+    twice = shared.groupBy(*match).agg(F.count("*").alias("n")).where("n > 1 and shared is not null").select(*match)
+    # stretches that a text's end cuts short are compared by their windows in any case, with all of their bucket
+    cut = shared.where("shared is null").select("bucket", "stretch").distinct()
+    open_stretches = shared.join(twice, match).select("bucket", "stretch", "c1", "c2")
+    open_stretches = open_stretches.union(shared.join(cut, ["bucket", "stretch"]).select("bucket", "stretch", "c1", "c2")).distinct()
+    windows = hot.join(open_stretches, ["bucket", "c1", "c2"]).select("bucket", "c1", "c2", "lead", "context", "stretch")
+    windows = written(windows.mapInArrow(_windows(min_length), "bucket long, w1 long, w2 long, c1 long, c2 long, j int"), "repeat-windows")
+    match = ["bucket", "j", "w1", "w2"]
+    twice = windows.groupBy(*match).agg(F.count("*").alias("n")).where("n > 1").select(*match)
+    return windows.join(twice, match).groupBy("c1", "c2").agg(F.max("j").alias("most"), F.min("j").alias("fewest"))
+
+
 def without_repeats(docs: DataFrame, min_length: int = 400, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """docs (doc_id, text and any other columns) with two more columns: kept_bytes, the UTF-8 bytes of the text without
     every byte that a repeated string of min_length bytes covers, and removed_spans, the maximal runs taken out
@@ -299,9 +348,10 @@ def without_repeats(docs: DataFrame, min_length: int = 400, bucket_rows: int = B
     place = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("key"), F.xxhash64("text").alias("text_hash")]
     keyed = docs.select(*place, F.col("text").cast("string").alias("text"))
 
-    found = written(keyed.mapInArrow(_occurrences(min_length), _OCCURRENCES), "repeat-anchors").repartition("h")
+    found = written(keyed.mapInArrow(_occurrences(min_length), _OCCURRENCES), "repeat-anchors")
     again = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    found = written(found.join(again, "h").drop("h"), "repeat-candidates")
+    found, anchored = written(found.join(again, "h").drop("h"), "repeat-candidates"), found
+    discard(anchored)
 
     # one row for each context
     first = F.min(F.struct("key", "text_hash", "p")).alias("at")
@@ -310,22 +360,19 @@ def without_repeats(docs: DataFrame, min_length: int = 400, bucket_rows: int = B
     whole = unique.where("n > 1").select("c1", "c2", F.least("p", F.lit(reach)).alias("most"), F.lit(None).cast("int").alias("fewest"))
 
     halves = unique.select("c1", "c2", "key", "text_hash", "p", F.explode(F.array("l", "r")).alias("bucket")).where("bucket is not null")
-    sizes = halves.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    wanted = halves.join(sizes, "bucket").withColumn("hot", F.col("m") > bucket_rows)
-    wanted = wanted.groupBy("key", "text_hash").agg(F.collect_list(F.struct("bucket", "hot", "c1", "c2", "p")).alias("wanted"))
-    cut = keyed.join(wanted, ["key", "text_hash"]).select("text", "wanted")
-    cut = cut.mapInArrow(_contexts(min_length), "bucket long, hot boolean, c1 long, c2 long, lead int, context binary")
-    cut = written(cut, "repeat-texts")
-
-    cool = cut.where("not hot").drop("hot").repartition("bucket").sortWithinPartitions("bucket", "c1", "c2")
+    sizes = written(halves.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1"), "repeat-buckets")
+
+    def contexts_of(buckets: DataFrame) -> DataFrame:
+        wanted = halves.join(buckets.select("bucket"), "bucket").groupBy("key", "text_hash")
+        wanted = wanted.agg(F.collect_list(F.struct("bucket", "c1", "c2", "p")).alias("wanted"))
+        cut = keyed.join(wanted, ["key", "text_hash"]).select("text", "wanted")
+        return cut.mapInArrow(_contexts(min_length), "bucket long, c1 long, c2 long, lead int, context binary")
+
+    cool = contexts_of(sizes.where(F.col("m") <= bucket_rows)).repartition("bucket").sortWithinPartitions("bucket", "c1", "c2")
     hits = whole.union(cool.mapInArrow(_expanded(min_length), _MATCHES))
-    hot = cut.where("hot").dropDuplicates(["bucket", "c1", "c2"]).select("bucket", "c1", "c2", "lead", "context")
-    if not is_empty(hot):
-        windows = hot.repartition("c1").mapInArrow(_windows(min_length), "bucket long, w1 long, w2 long, c1 long, c2 long, j int")
-        windows = written(windows, "repeat-windows")
-        match = ["bucket", "j", "w1", "w2"]
-        twice = windows.groupBy(*match).agg(F.count("*").alias("n")).where("n > 1").select(*match)
-        hits = hits.union(windows.join(twice, match).groupBy("c1", "c2").agg(F.max("j"), F.min("j")))
+    large = sizes.where(F.col("m") > bucket_rows)
+    if not is_empty(large):
+        hits = hits.union(_hot_matches(contexts_of(large), min_length))
     # a whole context reaches to its ends; for it `fewest` is what its length leaves
     spans = hits.groupBy("c1", "c2").agg(
         F.max("most").alias("most"),

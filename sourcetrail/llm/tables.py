@@ -10,7 +10,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sourcetrail.session import materialize
+from sourcetrail.session import run_folder
 
 
 _shipped: set[str] = set()
@@ -44,7 +44,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write once to the folder the cluster names, read from there: later steps survive lost executors."""
-    return materialize(df, label)
+    path = run_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a `written` table that nothing reads any more."""
+    jvm = df.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._written_to)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def crc_mod(column: str, divisor: int) -> "F.Column":
