@@ -7,32 +7,76 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sourcetrail.llm import toxicity
+from sourcetrail.llm.decontamination import leaks
+from sourcetrail.llm.packing import pack
+from sourcetrail.llm.queries import TOXIC_FROM, TOXICITY_FOLDS, TOXICITY_HELD_OUT
+from sourcetrail.llm.repeats import without_repeats
 from sourcetrail.llm.set_join import jaccard_classes
-from sourcetrail.llm.tables import table, written
+from sourcetrail.llm.tables import crc_mod, is_empty, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score below the threshold; null and empty texts stay."""
+    learn = crc_mod("doc_id", TOXICITY_FOLDS) != TOXICITY_HELD_OUT
+    model = toxicity.fit(docs.where(learn), table(spark, sf_dir, "labels", "doc_id", "toxic").where(learn))
+    scored = toxicity.with_scores(docs.select(*COLUMNS), model, "toxicity_score")
+    return scored.where((F.col("toxicity_score") < TOXIC_FROM) | (F.coalesce("text", F.lit("")) == "")).select(*COLUMNS)
+
+
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity 0.8: of each class of near copies the document with the smallest id stays.
 
-    Documents without words are in no class and stay; of rows that repeat an id one stays.
+    Documents without words are in no class and stay; of rows that share an id one stays; rows without an id stay.
     """
+    docs = docs.select(*COLUMNS)
     classes = jaccard_classes(docs, k=5, percent=80)
     drop = classes.where("doc_id <> component_id and n_shingles > 0").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(*COLUMNS)
+    kept = docs.join(drop, "doc_id", "left_anti").select(*COLUMNS)
+    twice = written(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
+    if is_empty(twice):
+        return kept
+    return kept.join(twice, "doc_id", "left_anti").select(*COLUMNS).union(kept.join(twice, "doc_id").select(*COLUMNS).dropDuplicates(["doc_id"]))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the strings of 400 bytes that occur again; n_chars follows the text."""
+    cut = without_repeats(docs.select(*COLUMNS), min_length=400)
+    return cut.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak_id"), "text_hash").distinct()
+    named = docs.select(*COLUMNS, F.xxhash64("text").alias("own_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("leak_id")) & (F.col("own_hash") == F.col("text_hash"))
+    return named.join(found, same, "left_anti").select(*COLUMNS)
+
+
+def pack_rest(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed token sequences of what is left."""
+    import public_tokenizers
+
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("ngram_jaccard_join", keep_one_of_each_class),
+    ("suffix_array_dedup", cut_repeats),
+    ("benchmark_decontamination", drop_leaks),
+    ("packing", pack_rest),
 ]
 
-# The stages are not expressible in SQL; tests/llm/test_pipeline.py checks them against a brute-force version.
+#: Model fitting, components and packing are beyond SQL; tests/llm/test_pipeline.py has a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table documents, each written and read again; the last one's rows."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")

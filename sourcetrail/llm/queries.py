@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sourcetrail.llm.decontamination import leaks
 from sourcetrail.llm.packing import pack
 from sourcetrail.llm.repeats import without_repeats
 from sourcetrail.llm import toxicity
@@ -64,8 +65,15 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items in each document that holds some; documents without one have no row."""
+    found = leaks(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "doc_start", "item_start", "length", "agree")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op5_toxicity": op5_toxicity,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,

@@ -300,7 +300,7 @@ def _cut(n_columns: int, text_at: int, schema: T.StructType):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                all_spans, kept = [], []
+                all_spans, kept, texts = [], [], []
                 for text, spans in zip(part.column(text_at).to_pylist(), part.column(n_columns).to_pylist(), strict=True):
                     data, last, pieces = _bytes(text), 0, []
                     spans = merged([(s["begin"], min(s["end"], len(data))) for s in spans or ()])
@@ -309,8 +309,9 @@ def _cut(n_columns: int, text_at: int, schema: T.StructType):
                         last = end
                     pieces.append(data[last:])
                     kept.append(b"".join(pieces))
+                    texts.append(None if text is None else kept[-1].decode("utf-8", "ignore"))
                     all_spans.append([{"begin": b, "end": e} for b, e in spans])
-                columns = [part.column(i) for i in range(n_columns)] + [pa.array(kept, pa.binary()), pa.array(all_spans, arrow)]
+                columns = [part.column(i) for i in range(n_columns)] + [pa.array(kept, pa.binary()), pa.array(texts, pa.string()), pa.array(all_spans, arrow)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     return run
@@ -335,9 +336,9 @@ def _hot_matches(contexts: DataFrame, min_length: int) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, min_length: int = 400, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """docs (doc_id, text and any other columns) with two more columns: kept_bytes, the UTF-8 bytes of the text without
-    every byte that a repeated string of min_length bytes covers, and removed_spans, the maximal runs taken out
-    (begin, end; in bytes).
+    """docs (doc_id, text and any other columns) with three more columns: kept_bytes, the UTF-8 bytes of the text without
+    every byte that a repeated string of min_length bytes covers; kept_text, these bytes as text without characters that
+    were cut in two (null for a null text); removed_spans, the maximal runs taken out (begin, end; in bytes).
 
     A string is repeated if it starts anywhere else too, in the same text or another; matches do not cross texts.  Null
     and empty texts have no bytes; texts shorter than min_length keep all; equal texts remove each other whole; rows that
@@ -393,6 +394,7 @@ def without_repeats(docs: DataFrame, min_length: int = 400, bucket_rows: int = B
         docs.schema.fields
         + [
             T.StructField("kept_bytes", T.BinaryType()),
+            T.StructField("kept_text", T.StringType()),
             T.StructField("removed_spans", T.ArrayType(T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())]))),
         ]
     )
