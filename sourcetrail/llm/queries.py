@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sourcetrail.llm.decontamination import leaks
+from sourcetrail.llm.html_text import main_text
 from sourcetrail.llm.packing import pack
+from sourcetrail.llm.redirects import judge
 from sourcetrail.llm.repeats import without_repeats
 from sourcetrail.llm import toxicity
 from sourcetrail.llm.set_join import jaccard_classes
@@ -71,11 +73,56 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "item_id", "doc_start", "item_start", "length", "agree")
 
 
+#: (verdict, host with its subdomains, beginning of the path)
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    return judge(table(spark, sf_dir, "pages", "page_id", "url", "html"), URL_RULES)
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op8_url_filters": op8_url_filters,
+    "op9_html_extraction": op9_html_extraction,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op5_toxicity": op5_toxicity,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
 }
-LLM_ORACLES: dict[str, str] = {}
+
+#: The given pages declare neither canonical links nor refreshes (a test holds them to that), so rules and default decide.
+_OP8_SQL = r"""
+WITH split AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page_id,
+        translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
+    FROM split
+), rules(verdict, host, path) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+        ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), fits AS (
+    SELECT p.page_id, max_by(struct_pack(rule := r.host || r.path, verdict := r.verdict), length(r.host || r.path)) AS best
+    FROM parts p JOIN rules r
+        ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+    GROUP BY p.page_id
+)
+SELECT p.page_id, p.host, p.path, f.best.rule AS rule, coalesce(f.best.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id
+"""
+LLM_ORACLES: dict[str, str] = {"op8_url_filters": _OP8_SQL}
