@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from sourcetrail.llm.decontamination import leaks
 from sourcetrail.llm.html_text import main_text
+from sourcetrail.llm.language import identify
+from sourcetrail.llm.maxscore import search
 from sourcetrail.llm.packing import pack
 from sourcetrail.llm.redirects import judge
 from sourcetrail.llm.repeats import without_repeats
@@ -73,6 +75,21 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "item_id", "doc_start", "item_start", "length", "agree")
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector with all others, in 1/1024 steps."""
+    given = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    given = given.where(F.col("embedding").isNotNull() & finite)
+    steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1024))
+    vectors = given.select("vec_id", steps.alias("components"))
+    return search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page, learned from the documents' languages."""
+    return identify(table(spark, sf_dir, "pages", "page_id", "url", "html"), table(spark, sf_dir, "documents", "text", "lang"))
+
+
 #: (verdict, host with its subdomains, beginning of the path)
 URL_RULES = [
     ("allow", "org", "/"),
@@ -97,6 +114,8 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op2_exact_topk": op2_exact_topk,
+    "op3_language_id": op3_language_id,
     "op8_url_filters": op8_url_filters,
     "op9_html_extraction": op9_html_extraction,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
@@ -125,4 +144,17 @@ WITH split AS (
 SELECT p.page_id, p.host, p.path, f.best.rule AS rule, coalesce(f.best.verdict, 'allow') AS verdict
 FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id
 """
-LLM_ORACLES: dict[str, str] = {"op8_url_filters": _OP8_SQL}
+_OP2_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS c FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), p AS (
+    SELECT q.vec_id AS query_id, v.vec_id, CAST(list_sum(list_transform(list_zip(q.c, v.c), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0
+), r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+LLM_ORACLES: dict[str, str] = {"op2_exact_topk": _OP2_SQL, "op8_url_filters": _OP8_SQL}
