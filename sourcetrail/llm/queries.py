@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sourcetrail.llm.decontamination import leaks
+from sourcetrail.llm.gru_lm import score_documents
 from sourcetrail.llm.html_text import main_text
 from sourcetrail.llm.language import identify
 from sourcetrail.llm.maxscore import search
@@ -90,6 +91,16 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "pages", "page_id", "url", "html"), table(spark, sf_dir, "documents", "text", "lang"))
 
 
+#: Of so many parts of the documents one is kept from training the language model.
+LM_FOLDS = 10
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under the language model and under smoothed word shares."""
+    held_out = F.coalesce(crc_mod("doc_id", LM_FOLDS) == 0, F.lit(False))
+    return score_documents(table(spark, sf_dir, "documents", "doc_id", "text"), held_out)
+
+
 #: (verdict, host with its subdomains, beginning of the path)
 URL_RULES = [
     ("allow", "org", "/"),
@@ -115,6 +126,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op2_exact_topk": op2_exact_topk,
+    "op7_lm_scoring": op7_lm_scoring,
     "op3_language_id": op3_language_id,
     "op8_url_filters": op8_url_filters,
     "op9_html_extraction": op9_html_extraction,
