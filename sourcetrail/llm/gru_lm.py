@@ -31,6 +31,8 @@ HIDDEN, WINDOW, STREAMS = 24, 32, 128
 TABLE_WORDS = 30_000
 #: Documents of the common start and of a chunk that is trained or scored at once.
 START_DOCS, CHUNK_DOCS = 2000, 512
+#: Weight of the classes' plain shares beside the network.
+PLAIN = 0.02
 END = b""
 
 
@@ -166,7 +168,8 @@ class Adam:
         self.m = {k: np.zeros_like(v) for k, v in network.w.items()}
         self.v = {k: np.zeros_like(v) for k, v in network.w.items()}
 
-    def step(self, network: Network, g: dict[str, np.ndarray]) -> None:
+    def step(self, network: Network, g: dict[str, np.ndarray], filled: float) -> None:
+        """filled: share of the window's places that hold tokens; a few streams must not move the weights like many."""
         self.t += 1
         norm = math.sqrt(sum(float((x * x).sum()) for x in g.values()))
         scale = min(1.0, 1.0 / (norm + 1e-9))
@@ -175,7 +178,7 @@ class Adam:
             self.m[k] = 0.9 * self.m[k] + 0.1 * x
             self.v[k] = 0.99 * self.v[k] + 0.01 * x * x
             m, v = self.m[k] / (1 - 0.9**self.t), self.v[k] / (1 - 0.99**self.t)
-            network.w[k] = (network.w[k] - self.rate * m / (np.sqrt(v) + 1e-7)).astype(np.float32)
+            network.w[k] = (network.w[k] - filled * self.rate * m / (np.sqrt(v) + 1e-7)).astype(np.float32)
 
 
 def train(network: Network, optimiser: Adam, docs: list[np.ndarray]) -> None:
@@ -185,18 +188,19 @@ def train(network: Network, optimiser: Adam, docs: list[np.ndarray]) -> None:
     for part, n in streams.windows():
         used = np.arange(part.start, min(part.stop, len(streams.target)))[:, None] < streams.lengths[:n]
         g, state = network.gradients(streams.before[part, :n], streams.fresh[part, :n], streams.target[part, :n], used, state[:n])
-        optimiser.step(network, g)
+        optimiser.step(network, g, int(used.sum()) / (STREAMS * WINDOW))
 
 
-def score(network: Network, docs: list[np.ndarray]) -> np.ndarray:
-    """Log10 probability of each document's class sequence."""
+def score(network: Network, docs: list[np.ndarray], shares: np.ndarray) -> np.ndarray:
+    """Log10 probability of each document's class sequence; the network is mixed with a little of the plain shares."""
     streams = Streams(docs, 2 * STREAMS)
     state, out = np.zeros((len(streams.order), HIDDEN), np.float32), np.zeros(streams.target.shape, np.float32)
     for part, n in streams.windows():
         f = network.forward(streams.before[part, :n], streams.fresh[part, :n], state[:n])
         target = streams.target[part, :n]
         logs = network.logs(f["new"])
-        out[part, :n] = logs[np.arange(target.size), target.ravel()].reshape(target.shape)
+        own = np.exp(logs[np.arange(target.size), target.ravel()]).reshape(target.shape)
+        out[part, :n] = np.log((1 - PLAIN) * own + PLAIN * shares[target])
         state = f["last"]
     totals = np.zeros(len(docs))
     for i, o in enumerate(streams.order):
@@ -358,7 +362,7 @@ def _scored(classes: Classes, network: Network, table: dict[bytes, float], class
                             known += n
                             logs += n * c
                     rows.append([doc_id, held_out, len(tokens), known, logs, -float(share[ids].sum()), rare])
-                for row, s in zip(rows, score(network, docs), strict=True):
+                for row, s in zip(rows, score(network, docs, class_sizes / class_sizes.sum()), strict=True):
                     row[5] += float(s)
                 columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)

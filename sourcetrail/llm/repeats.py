@@ -32,9 +32,9 @@ from sourcetrail.llm.shingles import mix
 from sourcetrail.llm.tables import discard, is_empty, ship, written
 
 #: Contexts of one bucket that a task sorts in memory (about 2 KB each); larger buckets are dealt over the cluster.
-BUCKET_ROWS = 32_768
-#: Contexts expanded together.
-EXPAND_ROWS = 8192
+BUCKET_ROWS = 8192
+#: Contexts expanded together, and rows that a task builds at once.
+EXPAND_ROWS, OUT_ROWS = 4096, 16_384
 
 
 def _bytes(text: str | None) -> bytes:
@@ -89,25 +89,35 @@ def _occurrences(min_length: int):
             [("key", pa.int64()), ("text_hash", pa.int64()), ("p", pa.int32())]
             + [(c, pa.int64()) for c in ("h", "c1", "c2", "left_half", "right_half")]
         )
+        rows: list[list] = [[] for _ in schema]
+
+        def out() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(rows, schema, strict=True)], schema=schema)
+            for r in rows:
+                r.clear()
+            return made
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = [[] for _ in schema]
-                for key, text_hash, text in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True):
-                    data = _bytes(text)
-                    places, hs = anchors(data, min_length)
-                    for p, h in zip(places.tolist(), hs.view(np.int64).tolist(), strict=True):
-                        lead = min(p, reach)
-                        c = xxhash.xxh3_128_intdigest(data[p - lead : p + min_length], lead)
-                        rows[0].append(key)
-                        rows[1].append(text_hash)
-                        rows[2].append(p)
-                        rows[3].append(h)
-                        rows[4].append(_signed(c >> 64))
-                        rows[5].append(_signed(c & (2**64 - 1)))
-                        rows[6].append(_signed(xxhash.xxh3_64_intdigest(data[p - half : p + k], 1)) if p >= half else None)
-                        end = p + min_length - half
-                        rows[7].append(_signed(xxhash.xxh3_64_intdigest(data[p:end], 2)) if end <= len(data) else None)
-                yield pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(rows, schema, strict=True)], schema=schema)
+            for i in range(batch.num_rows):
+                key, text_hash, text = (c[i].as_py() for c in batch.columns)
+                data = _bytes(text)
+                places, hs = anchors(data, min_length)
+                for p, h in zip(places.tolist(), hs.view(np.int64).tolist(), strict=True):
+                    lead = min(p, reach)
+                    c = xxhash.xxh3_128_intdigest(data[p - lead : p + min_length], lead)
+                    rows[0].append(key)
+                    rows[1].append(text_hash)
+                    rows[2].append(p)
+                    rows[3].append(h)
+                    rows[4].append(_signed(c >> 64))
+                    rows[5].append(_signed(c & (2**64 - 1)))
+                    rows[6].append(_signed(xxhash.xxh3_64_intdigest(data[p - half : p + k], 1)) if p >= half else None)
+                    end = p + min_length - half
+                    rows[7].append(_signed(xxhash.xxh3_64_intdigest(data[p:end], 2)) if end <= len(data) else None)
+                    if len(rows[0]) >= OUT_ROWS:
+                        yield out()
+        if rows[0]:
+            yield out()
 
     return run
 
@@ -171,17 +181,15 @@ def _contexts(min_length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                out = [[] for _ in schema]
-                part = batch.slice(at, 200)
-                for text, wanted in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    data = _bytes(text)
-                    for w in wanted:
+            for i in range(batch.num_rows):
+                data, wanted = _bytes(batch.column(0)[i].as_py()), batch.column(1)[i].as_py()
+                for at in range(0, len(wanted), OUT_ROWS):
+                    rows = []
+                    for w in wanted[at : at + OUT_ROWS]:
                         lead = min(w["p"], reach)
-                        row = (w["bucket"], w["c1"], w["c2"], lead, data[w["p"] - lead : w["p"] + min_length])
-                        for column, value in zip(out, row, strict=True):
-                            column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(out, schema, strict=True)], schema=schema)
+                        rows.append((w["bucket"], w["c1"], w["c2"], lead, data[w["p"] - lead : w["p"] + min_length]))
+                    columns = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return run
 
@@ -218,14 +226,13 @@ def _expanded(min_length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if rows and row[:3] == rows[-1][:3]:
-                    continue
-                if len(rows) >= EXPAND_ROWS and row[0] != rows[-1][0]:
-                    yield matches(rows)
-                    rows = []
-                rows.append(row)
+        for row in (r for b in batches for at in range(0, b.num_rows, 500) for r in zip(*(c.to_pylist() for c in b.slice(at, 500).columns), strict=True)):
+            if rows and row[:3] == rows[-1][:3]:
+                continue
+            if len(rows) >= EXPAND_ROWS and row[0] != rows[-1][0]:
+                yield matches(rows)
+                rows = []
+            rows.append(row)
         if rows:
             yield matches(rows)
 
@@ -248,7 +255,7 @@ def _shared(min_length: int):
     schema = pa.schema([("bucket", pa.int64()), ("stretch", pa.int32()), ("c1", pa.int64()), ("c2", pa.int64()), ("shared", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
             rows = []
             for bucket, c1, c2, lead, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for i, (low, high) in enumerate(_stretches(min_length)):
@@ -340,11 +347,12 @@ def without_repeats(docs: DataFrame, min_length: int = 400, bucket_rows: int = B
     every byte that a repeated string of min_length bytes covers; kept_text, these bytes as text without characters that
     were cut in two (null for a null text); removed_spans, the maximal runs taken out (begin, end; in bytes).
 
-    A string is repeated if it starts anywhere else too, in the same text or another; matches do not cross texts.  Null
-    and empty texts have no bytes; texts shorter than min_length keep all; equal texts remove each other whole; rows that
+    A string is repeated if it starts anywhere else too, in the same text or another; matches do not cross texts.  Input
+    columns with the names of new ones are replaced.  Null and empty texts have no bytes; texts shorter than min_length keep all; equal texts remove each other whole; rows that
     repeat an id are texts of their own; an empty table gives no rows.
     """
     ship(docs.sparkSession)
+    docs = docs.drop("kept_bytes", "kept_text", "removed_spans", "__key", "__text_hash", "__spans")
     reach = min_length - anchor_length(min_length)
     place = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("key"), F.xxhash64("text").alias("text_hash")]
     keyed = docs.select(*place, F.col("text").cast("string").alias("text"))

@@ -115,7 +115,8 @@ def label_model(votes: np.ndarray, prior: float, start: np.ndarray, rounds: int
     posterior, related = start.astype(float), np.zeros((votes.shape[1], votes.shape[1]))
     for _ in range(rounds):
         rates, related = [], np.zeros_like(related)
-        for p in (posterior, 1 - posterior):
+        anchored = (posterior + start) / 2  # the classes keep their meaning
+        for p in (anchored, 1 - anchored):
             rate = np.clip((p @ votes + 0.5 * votes.mean(0)) / (p.sum() + 1), 1e-5, 1 - 1e-5)
             centred = (votes - rate) * np.sqrt(p)[:, None]
             cov = centred.T @ centred / (p.sum() + 1)
@@ -242,8 +243,10 @@ def _scores(model: Model, n_columns: int, text_at: int, names: list[str]):
 
 def with_scores(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """docs (any columns, among them text) with the toxicity score of each whole text; null and empty texts have the
-    score of a text on which no voter fires.  Rows are kept as they are, repeated ones too."""
+    score of a text on which no voter fires.  Rows are kept as they are, repeated ones too; an input
+    column of that name is replaced."""
     ship(docs.sparkSession)
+    docs = docs.drop(column)
     names = [*docs.columns, column]
     schema = T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())])
     return docs.mapInArrow(_scores(model, len(docs.columns), docs.columns.index("text"), names), schema)
