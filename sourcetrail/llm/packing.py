@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 
 from sourcetrail.llm.tables import ship, written
 
-#: Words with their ids that a task remembers, at most.
-CACHED_WORDS = 400_000
+#: Words with their ids that a worker remembers, at most (about 150 bytes each).
+CACHED_WORDS = 1_000_000
 #: Combinations of three lengths for each smallest length.
 TRIPLES = 16
 
@@ -34,7 +35,7 @@ _CUTS = re.compile(r"(?<=\S)(?= )")
 
 class Encoder:
     """Token ids of whole texts.  A byte-level vocabulary never merges over a space that follows a non-space, so texts are
-    encoded in stretches between such spaces, and stretches that occur again are remembered."""
+    encoded in stretches between such spaces, and stretches that occur again are remembered, in two generations."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -42,6 +43,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def stretches(self, text: str) -> list[str]:
         if _SPACES.search(text):
@@ -50,13 +52,29 @@ class Encoder:
         return [first, *[" " + w for w in rest]]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.known) > CACHED_WORDS:
-            self.known = {}
+        if len(self.known) > CACHED_WORDS // 2:
+            self.known, self.older = {}, self.known
         parts = [self.stretches(t) if t else [] for t in texts]
-        new = list({s for p in parts for s in p if s not in self.known})
+        known, older, new = self.known, self.older, []
+        for s in set().union(*parts).difference(known):
+            ids = older.get(s)
+            if ids is None:
+                new.append(s)
+            else:
+                known[s] = ids
         for s, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[s] = np.array(e.ids, np.uint32).tobytes()
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, p)), np.uint32) for p in parts]
+            known[s] = array("I", e.ids).tobytes()
+        return [np.frombuffer(b"".join(map(known.__getitem__, p)), np.uint32) for p in parts]
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_for(path: str) -> Encoder:
+    """The worker's encoder: what it remembers serves all tasks that the worker runs."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 @dataclass
@@ -169,7 +187,7 @@ def _pieces(path: str, window: int, end_id: int):
     names = ["part", "doc_id", "start", "length", "doc_tokens", "nth", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seen, end = Encoder(path), TaskContext.get().partitionId(), Counter(), np.array([end_id], np.uint32)
+        encoder, part, seen, end = encoder_for(path), TaskContext.get().partitionId(), Counter(), np.array([end_id], np.uint32)
         narrow = encoder.tokenizer.get_vocab_size() <= 2**16
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
