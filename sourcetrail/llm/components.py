@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sourcetrail.llm.tables import written
+from sourcetrail.llm.tables import discard, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -32,9 +32,12 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.select("u", "v").where("u is not null and v is not null")
     nodes = edges.select(F.col("u").alias("node")).union(edges.select(F.col("v").alias("node"))).distinct()
-    seen, star = None, edges.where("u <> v")
+    seen, star, last = None, edges.where("u <> v"), None
     while True:
         star = written(_small_star(_large_star(star)), "components")
+        if last is not None:
+            discard(last)
+        last = star
         state = star.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break

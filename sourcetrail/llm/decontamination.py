@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sourcetrail.llm.shingles import WordHashes, hashes, mix
-from sourcetrail.llm.tables import ship, written
+from sourcetrail.llm.tables import Scratch, ship, written
 
 #: 1: the token counts, 0: any token.
 MASKS = ("111010011", "1100101011", "1101001101", "11110011")
@@ -153,13 +153,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows stay repeated, repeated items are one.
     """
     ship(docs.sparkSession)
+    scratch = Scratch()
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     schema = "item_id long, item_tokens array<long>, seeds array<long>, places array<int>"
     items = items.mapInArrow(_item_seeds, schema).select(F.monotonically_increasing_id().alias("item_row"), "*")
-    items = written(items, "leak-items")
+    items = scratch.written(items, "leak-items")
     seeds = items.select("item_row", F.explode(F.arrays_zip("seeds", "places")).alias("s"))
     seeds = seeds.select("item_row", F.col("s.seeds").alias("seed"), F.col("s.places").alias("item_place"))
-    seeds = written(seeds, "leak-seeds")
+    seeds = scratch.written(seeds, "leak-seeds")
 
     bit = F.explode(F.array(F.col("seed").bitwiseAND(FILTER_BITS - 1), F.shiftrightunsigned("seed", 32).bitwiseAND(FILTER_BITS - 1)))
     cells = seeds.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).alias("word"))
@@ -173,7 +174,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string"))
     schema = "doc_id long, text_hash long, tokens array<long>, seeds array<long>, places array<int>"
     scanned = named.mapInArrow(_scan(bitmap.view(np.uint8), masks), schema)
-    scanned = written(scanned.select(F.monotonically_increasing_id().alias("row"), "*"), "leak-scan")
+    scanned = scratch.written(scanned.select(F.monotonically_increasing_id().alias("row"), "*"), "leak-scan")
     hits = scanned.select("row", F.explode(F.arrays_zip("seeds", "places")).alias("s"))
     hits = hits.select("row", F.col("s.seeds").alias("seed"), F.col("s.places").alias("place")).join(seeds, "seed")
     hits = hits.select("row", "item_row", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
@@ -185,4 +186,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.struct("agree", -F.col("doc_start"), -F.col("item_start"), "length"),
     )
     best = found.groupBy("row", "item_id").agg(best.alias("b"))
-    return best.select("b.doc_id", "b.text_hash", "item_id", "b.doc_start", "b.item_start", "b.length", "b.agree")
+    result = best.select("b.doc_id", "b.text_hash", "item_id", "b.doc_start", "b.item_start", "b.length", "b.agree")
+    result = written(result, "leaks")  # a few numbers for each leak; all else can go
+    scratch.clear()
+    return result

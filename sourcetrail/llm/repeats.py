@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sourcetrail.llm.shingles import mix
-from sourcetrail.llm.tables import discard, is_empty, ship, written
+from sourcetrail.llm.tables import Scratch, discard, is_empty, ship, written
 
 #: Contexts of one bucket that a task sorts in memory (about 2 KB each); larger buckets are dealt over the cluster.
 BUCKET_ROWS = 8192
@@ -324,11 +324,11 @@ def _cut(n_columns: int, text_at: int, schema: T.StructType):
     return run
 
 
-def _hot_matches(contexts: DataFrame, min_length: int) -> DataFrame:
+def _hot_matches(contexts: DataFrame, min_length: int, scratch: Scratch) -> DataFrame:
     """Matches within buckets of any size, grouped over the cluster."""
-    hot = written(contexts.dropDuplicates(["bucket", "c1", "c2"]), "repeat-hot").repartition("c1", "c2")
+    hot = scratch.written(contexts.dropDuplicates(["bucket", "c1", "c2"]), "repeat-hot").repartition("c1", "c2")
     shared = hot.mapInArrow(_shared(min_length), "bucket long, stretch int, c1 long, c2 long, shared long")
-    shared = written(shared, "repeat-stretches")
+    shared = scratch.written(shared, "repeat-stretches")
     match = ["bucket", "stretch", "shared"]
     twice = shared.groupBy(*match).agg(F.count("*").alias("n")).where("n > 1 and shared is not null").select(*match)
     # stretches that a text's end cuts short are compared by their windows in any case, with all of their bucket
@@ -336,7 +336,7 @@ def _hot_matches(contexts: DataFrame, min_length: int) -> DataFrame:
     open_stretches = shared.join(twice, match).select("bucket", "stretch", "c1", "c2")
     open_stretches = open_stretches.union(shared.join(cut, ["bucket", "stretch"]).select("bucket", "stretch", "c1", "c2")).distinct()
     windows = hot.join(open_stretches, ["bucket", "c1", "c2"]).select("bucket", "c1", "c2", "lead", "context", "stretch")
-    windows = written(windows.mapInArrow(_windows(min_length), "bucket long, w1 long, w2 long, c1 long, c2 long, j int"), "repeat-windows")
+    windows = scratch.written(windows.mapInArrow(_windows(min_length), "bucket long, w1 long, w2 long, c1 long, c2 long, j int"), "repeat-windows")
     match = ["bucket", "j", "w1", "w2"]
     twice = windows.groupBy(*match).agg(F.count("*").alias("n")).where("n > 1").select(*match)
     return windows.join(twice, match).groupBy("c1", "c2").agg(F.max("j").alias("most"), F.min("j").alias("fewest"))
@@ -353,23 +353,25 @@ def without_repeats(docs: DataFrame, min_length: int = 400, bucket_rows: int = B
     """
     ship(docs.sparkSession)
     docs = docs.drop("kept_bytes", "kept_text", "removed_spans", "__key", "__text_hash", "__spans")
+    scratch = Scratch()
     reach = min_length - anchor_length(min_length)
     place = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("key"), F.xxhash64("text").alias("text_hash")]
     keyed = docs.select(*place, F.col("text").cast("string").alias("text"))
 
-    found = written(keyed.mapInArrow(_occurrences(min_length), _OCCURRENCES), "repeat-anchors")
+    found = scratch.written(keyed.mapInArrow(_occurrences(min_length), _OCCURRENCES), "repeat-anchors")
     again = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    found, anchored = written(found.join(again, "h").drop("h"), "repeat-candidates"), found
+    found, anchored = scratch.written(found.join(again, "h").drop("h"), "repeat-candidates"), found
     discard(anchored)
+    scratch.tables.remove(anchored)
 
     # one row for each context
     first = F.min(F.struct("key", "text_hash", "p")).alias("at")
     unique = found.groupBy("c1", "c2").agg(F.count("*").alias("n"), first, F.min("left_half").alias("l"), F.min("right_half").alias("r"))
-    unique = written(unique.select("c1", "c2", "n", "at.*", "l", "r"), "repeat-contexts")
+    unique = scratch.written(unique.select("c1", "c2", "n", "at.*", "l", "r"), "repeat-contexts")
     whole = unique.where("n > 1").select("c1", "c2", F.least("p", F.lit(reach)).alias("most"), F.lit(None).cast("int").alias("fewest"))
 
     halves = unique.select("c1", "c2", "key", "text_hash", "p", F.explode(F.array("l", "r")).alias("bucket")).where("bucket is not null")
-    sizes = written(halves.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1"), "repeat-buckets")
+    sizes = scratch.written(halves.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1"), "repeat-buckets")
 
     def contexts_of(buckets: DataFrame) -> DataFrame:
         wanted = halves.join(buckets.select("bucket"), "bucket").groupBy("key", "text_hash")
@@ -381,7 +383,7 @@ def without_repeats(docs: DataFrame, min_length: int = 400, bucket_rows: int = B
     hits = whole.union(cool.mapInArrow(_expanded(min_length), _MATCHES))
     large = sizes.where(F.col("m") > bucket_rows)
     if not is_empty(large):
-        hits = hits.union(_hot_matches(contexts_of(large), min_length))
+        hits = hits.union(_hot_matches(contexts_of(large), min_length, scratch))
     # a whole context reaches to its ends; for it `fewest` is what its length leaves
     spans = hits.groupBy("c1", "c2").agg(
         F.max("most").alias("most"),
@@ -394,6 +396,7 @@ def without_repeats(docs: DataFrame, min_length: int = 400, bucket_rows: int = B
     )
     spans = spans.groupBy("key", "text_hash").agg(F.collect_set("span").alias("__spans"))
     spans = written(spans.withColumnsRenamed({"key": "__key", "text_hash": "__text_hash"}), "repeat-spans")
+    scratch.clear()
 
     names = docs.columns
     with_keys = docs.select("*", place[0].alias("__key"), place[1].alias("__text_hash"))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from sourcetrail.llm.components import components
 from sourcetrail.llm.shingles import WordHashes, mix, shingle_set, words
-from sourcetrail.llm.tables import is_empty, ship, written
+from sourcetrail.llm.tables import Scratch, is_empty, ship, written
 
 _U = np.uint64
 #: Cost of keeping, moving and scanning one entry of an inverted list, in units of one listed subset.
@@ -219,39 +219,43 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     profiles = docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
         _profiles(k, percent), "doc_id long, text_hash long, n long, mark binary, sigs array<long>"
     )
-    profiles = written(profiles.select(F.monotonically_increasing_id().alias("row"), "*"), "set-profiles")
+    scratch = Scratch()
+    profiles = scratch.written(profiles.select(F.monotonically_increasing_id().alias("row"), "*"), "set-profiles")
     # equal sets are one: the row with the smallest number stands for all
-    heads = profiles.where("mark is not null").groupBy("mark").agg(F.min("row").alias("rid"))
-    members = profiles.join(heads, "mark", "left").select("row", "doc_id", "n", "rid")
-    alone = profiles.join(heads, "mark").where("row = rid")
-    entries = alone.select("rid", "n", F.explode("sigs").alias("sig")).repartition("sig")
-    shared = entries.groupBy("sig").agg(F.count("*").alias("length")).where("length > 1")
-    lists = written(entries.join(shared, "sig"), "set-lists")
-
-    classes = None
-    if not is_empty(lists):
-        classes = components(_links(docs, profiles, lists, k, percent))
-        classes = classes.withColumnRenamed("node", "rid")
-    if classes is None:
+    heads = profiles.where("mark is not null").groupBy("mark").agg(F.min("row").alias("rid"), F.min("n").alias("n"))
+    heads = scratch.written(heads, "set-heads")
+    members = profiles.select("doc_id", "n", "mark").join(heads.select("mark", "rid"), "mark", "left").select("doc_id", "n", "rid")
+    # first the signatures that stand more than once, then without those of equal sets
+    entries = profiles.select(F.col("row").alias("rid"), F.explode("sigs").alias("sig"))
+    shared = entries.groupBy("sig").agg(F.count("*").alias("length")).where("length > 1").select("sig")
+    lists = scratch.written(entries.join(shared, "sig").join(heads.select("rid", "n"), "rid"), "set-entries")
+    shared = lists.groupBy("sig").agg(F.count("*").alias("length")).where("length > 1")
+    lists = scratch.written(lists.join(shared, "sig"), "set-lists")
+
+    if is_empty(lists):
         labelled = members.withColumn("component", F.col("rid"))
     else:
+        classes = components(_links(docs, profiles, lists, k, percent, scratch)).withColumnRenamed("node", "rid")
         labelled = members.join(classes, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     labelled = labelled.select("doc_id", "n", "component")
     least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return labelled.join(least, "component", "left").select(
+    result = labelled.join(least, "component", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+    result = written(result, "set-classes")  # three numbers a row; all else can go
+    scratch.clear()
+    return result
 
 
-def _links(docs: DataFrame, profiles: DataFrame, lists: DataFrame, k: int, percent: int) -> DataFrame:
+def _links(docs: DataFrame, profiles: DataFrame, lists: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
     """Verified links between the sets in the lists, enough to connect what any link connects."""
     spark = docs.sparkSession
     # the texts of listed sets, found again by the row's mark
     listed = profiles.join(lists.select(F.col("rid").alias("row")).distinct(), "row")
     named = listed.select("doc_id", "text_hash", F.col("row").alias("rid"), "mark")
-    sets = written(_sets_of(docs, named, k), "set-elements")
+    sets = scratch.written(_sets_of(docs, named, k), "set-elements")
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = sets.select(F.col("rid").alias("u"), F.col("elements").alias("a"))
@@ -264,7 +268,7 @@ def _links(docs: DataFrame, profiles: DataFrame, lists: DataFrame, k: int, perce
     sketches = sets.dropDuplicates(["rid"]).select("rid", *[F.col("sketch")[i].alias(b) for i, b in enumerate(bits)])
     # a set in many long lists is close to many: those are the centres
     weights = lists.groupBy("rid").agg(F.sum("length").alias("weight")).join(sketches, "rid")
-    whole_lists = written(lists.join(weights, "rid"), "set-open-lists")
+    whole_lists = scratch.written(lists.join(weights, "rid"), "set-open-lists")
 
     def other(column: str) -> Column:
         return F.col(column).alias(column + "2")
@@ -288,8 +292,8 @@ def _links(docs: DataFrame, profiles: DataFrame, lists: DataFrame, k: int, perce
         pairs = pairs.select(*_pairs("rid", "rid2")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = written(pairs, "set-pairs")
-        found = written(verified(pairs), "set-links")
+        pairs = scratch.written(pairs, "set-pairs")
+        found = scratch.written(verified(pairs), "set-links")
         links = found if links is None else links.union(found)
         if turn == ROUNDS:
             break
@@ -297,12 +301,12 @@ def _links(docs: DataFrame, profiles: DataFrame, lists: DataFrame, k: int, perce
         # two steps towards the smallest linked set: equal labels are connected, which is all that is needed here
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         one = both.groupBy(F.col("u").alias("rid")).agg(F.least(F.min("v"), F.min("u")).alias("label"))
-        one = written(one, "set-labels")
+        one = scratch.written(one, "set-labels")
         two = one.join(one.select(F.col("rid").alias("label"), F.col("label").alias("next")), "label", "left")
         two = two.select("rid", F.coalesce("next", "label").alias("label"))
         open_lists = whole_lists.join(two, "rid", "left").withColumn("comp", F.coalesce("label", "rid")).drop("label")
         mixed = open_lists.groupBy("sig").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("sig")
-        open_lists = written(open_lists.join(mixed, "sig"), "set-open-lists")
+        open_lists = scratch.written(open_lists.join(mixed, "sig"), "set-open-lists")
         if is_empty(open_lists):
             break
     return links

@@ -58,6 +58,22 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+class Scratch:
+    """The intermediate tables of one operator: written as it goes on, removed when its result no longer reads them."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        self.tables.append(written(df, label))
+        return self.tables[-1]
+
+    def clear(self) -> None:
+        for df in self.tables:
+            discard(df)
+        self.tables = []
+
+
 def crc_mod(column: str, divisor: int) -> "F.Column":
     """crc32 of the id as text, modulo `divisor`."""
     return F.crc32(F.col(column).cast("string")) % divisor
