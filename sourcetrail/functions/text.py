@@ -3,6 +3,7 @@ batch and streaming frames, needs no shuffle and stays in the JVM."""
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Callable
 
@@ -187,7 +188,7 @@ def calendar_date(raw: Column) -> Column:
 
 
 def literal_lookup(key: Column, table: dict[str, str]) -> Column:
-    """Small fixed dictionary as a map literal: no join, works on streams."""
-    if len(table) > 1000:
-        raise ValueError("a dictionary of this size belongs in a table; use a join")
-    return F.create_map(*[F.lit(part) for pair in table.items() for part in pair])[key]
+    """Dictionary of the caller as one literal, whatever its size: no join, works on streams."""
+    if not table:
+        return F.lit(None).cast("string")
+    return F.element_at(F.from_json(F.lit(json.dumps(table)), "map<string,string>"), key)

@@ -58,14 +58,24 @@ def stand_in_answers(context: Column) -> dict[str, Column]:
 
 
 def _token(reply: Column) -> Column:
-    """The answer inside a reply in lower case: bare, under output, or one level deeper."""
+    """The answer inside a reply in lower case: bare, under output, or one level deeper.  A key that is there decides,
+    also with null, which is no answer."""
+
+    def member(text: Column, names: tuple[str, ...], otherwise: Column) -> Column:
+        def chosen(fields: Column) -> Column:
+            out = otherwise
+            for name in reversed(names):
+                out = F.when(F.coalesce(F.map_contains_key(fields, name), F.lit(False)), F.element_at(fields, name)).otherwise(out)
+            return out
+
+        return let(F.from_json(text, "map<string,string>"), chosen)
 
     def unwrapped(inner: Column) -> Column:
-        nested = [F.get_json_object(inner, f"$.{name}") for name in ("answer", "value", "choice")]
         bare = F.regexp_replace(inner, r'^\s*"(.+)"\s*$', "$1")
-        return F.lower(F.trim(F.when(F.startswith(F.ltrim(inner), F.lit("{")), F.coalesce(*nested, inner)).otherwise(bare)))
+        nested = member(inner, ("answer", "value", "choice"), inner)
+        return F.lower(F.trim(F.when(F.startswith(F.ltrim(inner), F.lit("{")), nested).otherwise(bare)))
 
-    return let(F.coalesce(F.get_json_object(reply, "$.output"), reply), unwrapped)
+    return let(member(reply, ("output",), reply), unwrapped)
 
 
 def yes_no(reply: Column) -> Column:
@@ -85,16 +95,18 @@ def decision_records(
     workflow_version: str,
     decided_at: Column | None = None,
     terms: K.Terms = K.DEFAULT_TERMS,
+    raw_chars: int | None = None,
 ) -> DataFrame:
     """One decision event per finding, as the feed expects it.  A missing or odd reply makes the
-    record invalid, it never drops it."""
+    record invalid, it never drops it.  Replies are stored whole; ``raw_chars`` cuts them for
+    exchange with systems that expect a limit."""
     read = {"yes_no": yes_no, "choice": choice}
     t = terms.field
     asked = due.withColumn("__context", context_text()).withColumns({f"__{k}": r for k, r in replies.items()})
     answers = F.struct(*[read[kind](F.col(f"__{name}")).alias(name) for name, kind in FIELDS.items()])
     answered = asked.select("*", fixed(answers).alias("__answers")).select("*", "__answers.*")
     raw = F.to_json(
-        F.struct(*[F.substring(f"__{name}", 1, K.RAW_ANSWER_CHARS).alias(name) for name in sorted(FIELDS)])
+        F.struct(*[F.col(f"__{n}").alias(n) if raw_chars is None else F.substring(f"__{n}", 1, raw_chars).alias(n) for n in sorted(FIELDS)])
     )
     complete = answers_complete(F.col("priority"), F.col("needs_review"), F.col("is_clear"))
     return answered.select(

@@ -105,10 +105,10 @@ def ordered_digest(
     """``sha256(prefix + separator.join(sorted(items)) + suffix)`` for every row of ``frame``.
 
     ``frame`` has the keys, unique and not NULL, with ``prefix``, ``suffix`` and ``n_items``, the
-    number of items of the key; a key without items gets the digest of prefix and suffix alone.  Both
+    number of items of the key; NULL items do not count; a key without items gets the digest of prefix and suffix alone.  Both
     frames are read more than once, so pass written tables where they are costly.  With no large
     group, adaptive execution finds the right side of the joins empty and drops the second branch."""
-    items = items.select(*keys, item.alias("item"))
+    items = items.select(*keys, item.alias("item")).where("item is not null")
     large = frame.where(F.col("n_items") > limit)
     texts = (
         items.join(large.select(*keys), keys, "left_anti")

@@ -31,8 +31,9 @@ def _single(df: DataFrame) -> DataFrame:
 
 
 def range_findings(measurements: DataFrame) -> DataFrame:
-    """Values outside the range their own document states.  No shuffle."""
-    outside = (F.col("value") < F.col("ref_low")) | (F.col("value") > F.col("ref_high"))
+    """Values outside the range their own document states, where it states both bounds.  No shuffle."""
+    stated = F.col("ref_low").isNotNull() & F.col("ref_high").isNotNull()
+    outside = stated & ((F.col("value") < F.col("ref_low")) | (F.col("value") > F.col("ref_high")))
     flagged = measurements.where((F.col("value_status") == "OK") & outside)
     return _single(
         flagged.withColumns(

@@ -18,9 +18,8 @@ def hits(text: Column, patterns: dict[str, str]) -> Column:
     )
 
 
-def secret_scan(texts: DataFrame, key: list[str], text: str, patterns: dict[str, str] | None = None) -> DataFrame:
-    """One row per text and kind of secret found in it."""
-    patterns = K.SECRET_PATTERNS if patterns is None else patterns
+def secret_scan(texts: DataFrame, key: list[str], text: str, patterns: dict[str, str]) -> DataFrame:
+    """One row per text and kind of secret (by name of its pattern) found in it."""
     return texts.select(*key, F.explode(hits(F.col(text), patterns)).alias("kind"))
 
 
@@ -42,8 +41,8 @@ def claim_scan(
     texts: DataFrame,
     key: list[str],
     text: str,
-    claim: str = K.FORBIDDEN_CLAIM,
-    negation: str = K.NEGATION,
+    claim: str,
+    negation: str,
 ) -> DataFrame:
     """Claims made without a negation before them on the same line, one row each."""
     lines = page_lines(texts.select(*key, text), text).where(F.col("line").rlike(claim))

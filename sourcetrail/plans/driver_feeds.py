@@ -231,7 +231,8 @@ def receipts(spark: SparkSession, folder: str, payload: DataFrame) -> tuple[Data
     signed = (
         payload.where(F.col("signoff_at").isNotNull())
         .join(known, "case_id")
-        .join(orders, "user_id")
+        .join(orders, "user_id", "left")
+        .withColumn("o_orderpriority", F.coalesce("o_orderpriority", F.lit("5-LOW")))
         .withColumn("tx_signature", F.concat(F.lit("tx-"), "review_id"))
     )
     attestations = signed.select(

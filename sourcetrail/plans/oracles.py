@@ -140,7 +140,7 @@ BLOCKS: dict[str, tuple[list[str], str]] = {
           test_name_raw || ' = ' || value_raw || ' ' || coalesce(unit, '')
             || ' fora da faixa de referência informada no documento (' || CAST(ref_low AS VARCHAR) || '–'
             || CAST(ref_high AS VARCHAR) || ').' AS summary
-        FROM m WHERE value_status = 'OK' AND NOT (value BETWEEN ref_low AND ref_high)""",
+        FROM m WHERE value_status = 'OK' AND ref_low IS NOT NULL AND ref_high IS NOT NULL AND NOT (value BETWEEN ref_low AND ref_high)""",
     ),
     "stated": (
         ["usable", "days"],
@@ -308,7 +308,7 @@ BLOCKS: dict[str, tuple[list[str], str]] = {
             CASE WHEN NOT sent THEN 'NOT_SUBMITTED' WHEN NOT read OR o_orderpriority = '4-NOT SPECIFIED' THEN 'SUBMITTED'
               WHEN o_orderpriority = '3-MEDIUM' THEN 'VERIFICATION_FAILED'
               WHEN o_orderpriority = '2-HIGH' THEN 'HASH_MISMATCH' ELSE 'VERIFIED' END AS onchain_status
-          FROM (SELECT p.*, k.created_at, o_orderpriority, signoff_at IS NOT NULL AND o_orderkey IS NOT NULL AS sent,
+          FROM (SELECT p.*, k.created_at, o_orderpriority, signoff_at IS NOT NULL AS sent,
               signoff_at IS NOT NULL AND coalesce(o_orderpriority <> '5-LOW', false) AS read
             FROM payload p JOIN known k USING (case_id) LEFT JOIN orders ON o_orderkey = user_id) p)""",
     ),
@@ -597,13 +597,13 @@ ORACLES: dict[str, str] = {
     "review_metrics": with_ctes(["metrics"], "SELECT * FROM metrics"),
     "decode_records": with_ctes(
         ["records"],
-        """SELECT o_orderkey, CASE WHEN NOT short THEN sha256(review_id) END AS review_id_hash,
-          CASE WHEN NOT short THEN sha256('in' || o_orderkey) END AS input_hash, CASE WHEN NOT short THEN sha256('an' || o_orderkey) END AS analysis_hash,
-          CASE WHEN NOT short THEN sha256('rv' || o_orderkey) END AS reviewed_hash, CASE WHEN NOT short THEN 'review-wf-1.0.0' END AS workflow_version,
-          CASE WHEN NOT short THEN 'extract+' || o_orderpriority END AS model_version,
-          CASE WHEN NOT short THEN CASE length(o_orderpriority) WHEN 5 THEN 'CORRECTED' WHEN 6 THEN 'ATTESTED' ELSE 'UNKNOWN_' || length(o_orderpriority) END END AS status,
-          CASE WHEN NOT short THEN CAST(epoch(o_orderdate) AS BIGINT) END AS attested_at,
-          CASE WHEN short THEN 'record has 100 bytes, expected at least 242' END AS error FROM records WHERE NOT gone""",
+        """SELECT o_orderkey, CASE WHEN NOT (gone OR short) THEN sha256(review_id) END AS review_id_hash,
+          CASE WHEN NOT (gone OR short) THEN sha256('in' || o_orderkey) END AS input_hash, CASE WHEN NOT (gone OR short) THEN sha256('an' || o_orderkey) END AS analysis_hash,
+          CASE WHEN NOT (gone OR short) THEN sha256('rv' || o_orderkey) END AS reviewed_hash, CASE WHEN NOT (gone OR short) THEN 'review-wf-1.0.0' END AS workflow_version,
+          CASE WHEN NOT (gone OR short) THEN 'extract+' || o_orderpriority END AS model_version,
+          CASE WHEN NOT (gone OR short) THEN CASE length(o_orderpriority) WHEN 5 THEN 'CORRECTED' WHEN 6 THEN 'ATTESTED' ELSE 'UNKNOWN_' || length(o_orderpriority) END END AS status,
+          CASE WHEN NOT (gone OR short) THEN CAST(epoch(o_orderdate) AS BIGINT) END AS attested_at,
+          CASE WHEN gone THEN 'record has 0 bytes, expected at least 242' WHEN short THEN 'record has 100 bytes, expected at least 242' END AS error FROM records""",
     ),
     "verify_accounts": with_ctes(
         ["readings"],
@@ -626,7 +626,12 @@ ORACLES: dict[str, str] = {
     "policy_masked_documents": "SELECT doc_id, md5(text) AS content_md5, CASE WHEN text = '' THEN '' ELSE '[restrito]' END AS page_text FROM documents",
     "secret_scan": " UNION ALL ".join(
         f"SELECT doc_id, {q(kind)} AS kind FROM documents WHERE regexp_matches(text, {q(pattern)})"
-        for kind, pattern in {**K.SECRET_PATTERNS, "token_literal": r"token\s*=\s*\"[0-9a-f]{16,}"}.items()
+        for kind, pattern in [
+            ("signing_key_block", "-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----"),
+            ("cloud_access_key", r"\b(?:AKIA|ASIA)[A-Z2-7]{16}\b"),
+            ("web_token", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+            ("token_literal", r"token\s*=\s*\"[0-9a-f]{16,}"),
+        ]
     ),
     "claim_scan": r"""SELECT doc_id, CAST(n AS INTEGER) AS line_no, claim FROM (
         SELECT doc_id, n, claims[i] AS claim, i, list_sum(list_transform(pieces[1:i], lambda p: length(p)))

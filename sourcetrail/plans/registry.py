@@ -472,7 +472,7 @@ def ledger_accounts(spark, folder) -> DataFrame:
 
 @query
 def decode_records(spark, folder):
-    accounts = ledger_accounts(spark, folder).where(F.col("data").isNotNull())
+    accounts = ledger_accounts(spark, folder)
     return accounts.select("o_orderkey", X.fixed(ledger.decode_record(F.col("data"))).alias("r")).select("o_orderkey", "r.*")
 
 
@@ -521,7 +521,12 @@ def policy_masked_documents(spark, folder):
 
 @query
 def secret_scan(spark, folder):
-    patterns = {**K.SECRET_PATTERNS, "token_literal": r"token\s*=\s*\"[0-9a-f]{16,}"}
+    patterns = {
+        "signing_key_block": r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----",
+        "cloud_access_key": r"\b(?:AKIA|ASIA)[A-Z2-7]{16}\b",
+        "web_token": r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+        "token_literal": r"token\s*=\s*\"[0-9a-f]{16,}",
+    }
     return scans.secret_scan(D.texts(spark, folder), ["doc_id"], "text", patterns)
 
 

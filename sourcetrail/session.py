@@ -35,10 +35,12 @@ def build_session(app: str = "sourcetrail", master: str | None = None, **conf: s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's folder for intermediate tables.  Only where none is named (a local run)
-    does a machine-local folder take its place."""
+    """The cluster's folder for intermediate tables.  A local run may go without: it gets a folder of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "local")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         folder = "file://" + tempfile.mkdtemp(prefix="sourcetrail-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -55,11 +57,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for work that is heavy per row when the input has fewer splits than cores.
+    """Use all cores for work that is heavy per row when the input is one small file, which a scan cannot split.
 
-    Few splits mean little data, so the exchange is small; a large input is left as it is."""
+    Only inputs of a known small size are exchanged; anything larger is left to the scan's own splits."""
     if df.isStreaming:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SPREAD_BYTES else df

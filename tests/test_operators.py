@@ -339,8 +339,9 @@ def test_feed_rescue(spark):
 
 
 def test_answers(spark):
-    flags = ['{"output": true}', '{"output": "Sim"}', '{"output": {"answer": "no"}}', '{"output": "talvez"}', "false", '"yes"', None]
-    assert column(spark, flags, classify.yes_no) == [True, True, False, None, False, True, None]
+    flags = ['{"output": true}', '{"output": "Sim"}', '{"output": {"answer": "no"}}', '{"output": "talvez"}', "false", '"yes"', None,
+             '{"output": {"answer": null, "value": "yes"}}', '{"output": null, "value": "yes"}', '{"output": {"value": "no"}}']
+    assert column(spark, flags, classify.yes_no) == [True, True, False, None, False, True, None, None, None, False]
     choices = ['{"output": "Média"}', '{"output": {"choice": "alta"}}', '{"output": "urgente"}', '"baixa"', "baixa"]
     assert column(spark, choices, classify.choice) == ["media", "alta", None, "baixa", "baixa"]
     version = classify.question_version({"a": ["yes_no", "?"]}, K.PRIORITIES, "q")
@@ -392,7 +393,7 @@ def test_policy_at_any_depth(spark):
 
 def test_claims_and_negations(spark):
     df = spark.createDataFrame([(1, "O sistema diagnostica.\nO sistema não diagnostica, mas o sistema prescreve\nreduz erros médicos e garante segurança")], "id int, t string")
-    got = sorted((r.line_no, r.claim) for r in scans.claim_scan(df, ["id"], "t").collect())
+    got = sorted((r.line_no, r.claim) for r in scans.claim_scan(df, ["id"], "t", r"(?i)sistema (?:diagnostica|prescreve)|garante \S+|reduz erros \S+", r"(?i) (?:não|sem) ").collect())
     assert got == [(1, "sistema diagnostica"), (3, "garante segurança"), (3, "reduz erros médicos")]
 
 
