@@ -209,6 +209,23 @@ def conflict_versions(attached: DataFrame) -> DataFrame:
     return attached.withColumn("versions", versions).drop("sources")
 
 
+def attach_versions(
+    groups: DataFrame, keys: list[str], dates: Column, measurements: DataFrame, chunk: int = CHUNK_ROWS
+) -> DataFrame:
+    """``attach_evidence`` with the distinct stated versions of the whole group on every row of it.
+
+    ``keys`` are not NULL.  Only the evidence of a large group is chunked: its versions are reduced to
+    distinct ones before they meet, in the order in which the sorted evidence first states them."""
+    small = attach_evidence(groups.where(F.col("n_evidence") <= chunk), keys, dates, measurements, chunk)
+    large = attach_evidence(groups.where(F.col("n_evidence") > chunk), keys, dates, measurements, chunk)
+    stated = ["value_raw", "unit", "document_id", "page_num"]
+    entries = large.select(*keys, F.explode("sources").alias("s")).groupBy(*keys, *[F.col("s")[c].alias(c) for c in stated])
+    first = entries.agg(F.min("s").alias("first")).groupBy(*keys)
+    ordered = first.agg(F.array_sort(F.collect_list(F.struct("first", F.struct(*stated).alias("version")))).alias("all"))
+    whole = ordered.select(*keys, F.transform("all", lambda x: x["version"]).alias("versions"))
+    return conflict_versions(small).unionByName(large.drop("sources").join(whole, keys))
+
+
 def _gap_list(conditions: dict[str, Column]) -> Column:
     marks = [F.when(condition, F.lit(name)) for name, condition in conditions.items()]
     return F.filter(F.array(*marks), lambda gap: gap.isNotNull())

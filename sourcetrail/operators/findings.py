@@ -147,7 +147,7 @@ def grouped_findings(
         .alias("n_evidence"),
     )
     dates = F.array_compact(F.array("previous_date", "exam_date"))
-    attached = E.conflict_versions(E.attach_evidence(groups, KEY, dates, measurements, chunk))
+    attached = E.attach_versions(groups, KEY, dates, measurements, chunk)
     summary = F.when(F.col("finding_type") == "CONFLICT", _conflict_text(terms)).otherwise(_variation_text())
     return attached.withColumn("summary", summary).select(*SHAPE)
 

@@ -66,14 +66,14 @@ def temporal_comparison(spark, folder):
 @query
 def conflicts(spark, folder):
     measured = D.measurements(spark, folder)
-    attached = evidence.attach_evidence(
+    attached = evidence.attach_versions(
         evidence.conflicts(evidence.per_date(measured)), evidence.GROUP, F.array("exam_date"), measured
     )
     stated = F.transform(
         "versions",
         lambda v: F.concat_ws("/", v["value_raw"], F.coalesce(v["unit"], F.lit("")), v["document_id"], v["page_num"].cast("string")),
     )
-    return evidence.conflict_versions(attached).select(
+    return attached.select(
         *evidence.GROUP, "test_name_raw", "n_versions", "n_evidence", "chunk_no",
         F.array_join(F.sort_array(stated), ",").alias("versions"), pointers(),
     )
