@@ -81,8 +81,9 @@ def running_fold(
 ) -> Column:
     """All intermediate states of a left fold over an array column.
 
-    States are appended within blocks of fixed length and the blocks are flattened at the end, so
-    the copying grows with ``n * block`` instead of ``n * n`` on texts with very many lines."""
+    States are appended within blocks, finished blocks are appended to a list that is flattened at the
+    end.  Blocks have about ``sqrt(n)`` items, ``block`` at least, so the copying grows with
+    ``n * sqrt(n)`` on texts with very many lines."""
 
     def within(start: Column, run: Column) -> Column:
         return F.aggregate(
@@ -92,8 +93,9 @@ def running_fold(
         )
 
     def over(bound: Column) -> Column:
-        last_block = F.greatest(F.ceil(F.size(bound) / block).cast("int") - 1, F.lit(0))
-        blocks = F.transform(F.sequence(F.lit(0), last_block), lambda b: F.slice(bound, b * block + 1, block))
+        size = F.greatest(F.lit(block), F.ceil(F.sqrt(F.size(bound))).cast("int"))
+        last_block = F.greatest(F.ceil(F.size(bound) / size).cast("int") - 1, F.lit(0))
+        blocks = F.transform(F.sequence(F.lit(0), last_block), lambda b: F.slice(bound, b * size + 1, size))
         chained = F.aggregate(
             blocks,
             F.array(F.array(zero)),
@@ -105,15 +107,19 @@ def running_fold(
 
 
 def line_table(text: Column) -> Column:
-    """Array of (start, end, line): every line with its character offsets in the text."""
-    zero = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("line"))
-    return running_fold(
-        split_lines(text),
-        zero,
-        lambda last, line: F.struct(
-            last["end"].alias("start"), (last["end"] + F.length(line)).alias("end"), line.alias("line")
-        ),
-    )
+    """Array of (start, end, line): every line with its character offsets in the text.
+
+    Only the numbers go through the fold; the lines are put beside them afterwards."""
+
+    def placed(lines: Column) -> Column:
+        ends = running_fold(F.transform(lines, lambda line: F.length(line)), F.lit(0), lambda last, n: last + n)
+        return F.zip_with(
+            lines,
+            ends,
+            lambda line, end: F.struct((end - F.length(line)).alias("start"), end.alias("end"), line.alias("line")),
+        )
+
+    return let(split_lines(text), placed)
 
 
 def rewrite_matches(
