@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from sourcetrail.llm.shingles import mix
 from sourcetrail.llm.tables import Scratch, discard, is_empty, ship, written
 
-#: Contexts of one bucket that a task sorts in memory (about 2 KB each); larger buckets are dealt over the cluster.
-BUCKET_ROWS = 8192
+#: Contexts of one bucket that a task sorts in memory (about 3 KB each); larger buckets are dealt over the cluster.
+BUCKET_ROWS = 32_768
 #: Contexts expanded together, and rows that a task builds at once.
 EXPAND_ROWS, OUT_ROWS = 4096, 16_384
 
