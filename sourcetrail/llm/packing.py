@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from sourcetrail.llm.tables import ship, written
 
 #: Words with their ids that a worker remembers, at most (about 150 bytes each).
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 800_000
+#: Longer stretches are encoded each time they occur.
+LONGEST_WORD = 64
 #: Combinations of three lengths for each smallest length.
 TRIPLES = 16
 
@@ -64,7 +66,11 @@ class Encoder:
                 known[s] = ids
         for s, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
             known[s] = array("I", e.ids).tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, p)), np.uint32) for p in parts]
+        out = [np.frombuffer(b"".join(map(known.__getitem__, p)), np.uint32) for p in parts]
+        for s in new:
+            if len(s) > LONGEST_WORD:
+                del known[s]
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
