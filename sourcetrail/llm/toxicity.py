@@ -5,7 +5,7 @@ association with the label in labelled rows, and pattern voters (shouting, symbo
 explains all votes by a hidden class: for each voter how often it fires in toxic and in clean texts, fitted by
 expectation maximisation without looking at the labels of single rows; voters that fire together within a class are
 estimated to be correlated and share their weight.  Its posteriors are the labels for a logistic regression, which gives
-the score.
+the score; its slope and level are set by the labelled rows.
 """
 
 from __future__ import annotations
@@ -116,9 +116,9 @@ def label_model(votes: np.ndarray, prior: float, start: np.ndarray, rounds: int
     for _ in range(rounds):
         rates, related = [], np.zeros_like(related)
         anchored = (posterior + start) / 2  # the classes keep their meaning
-        for p in (anchored, 1 - anchored):
-            rate = np.clip((p @ votes + 0.5 * votes.mean(0)) / (p.sum() + 1), 1e-5, 1 - 1e-5)
-            centred = (votes - rate) * np.sqrt(p)[:, None]
+        for p, held in ((posterior, anchored), (1 - posterior, 1 - anchored)):
+            rate = np.clip((held @ votes + 0.5 * votes.mean(0)) / (held.sum() + 1), 1e-5, 1 - 1e-5)
+            centred = (votes - p @ votes / (p.sum() + 1e-9)) * np.sqrt(p)[:, None]
             cov = centred.T @ centred / (p.sum() + 1)
             sd = np.sqrt(np.diag(cov)) + 1e-9
             corr = np.clip(cov / np.outer(sd, sd), 0, 1)
@@ -224,10 +224,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         x[i, r["fired"]] = 1
     prior = n_toxic / (n_toxic + n_clean)
     lexicon = len(voters.words) + len(voters.beginnings)
-    guess = np.where(x[:, :lexicon].any(1), 0.9, 0.05)
+    guess = np.where(x[:, :lexicon].any(1), 0.98, 0.01)
     posterior, _ = label_model(x, prior, guess)
     weights, bias = fit_linear(x, posterior)
-    return Model(voters, weights, bias)
+    # slope and level of the score, so that it can be read as a probability of the label
+    slope, level = fit_linear((x @ weights + bias)[:, None], np.array([float(r["toxic"]) for r in fired]), penalty=0.1)
+    slope = max(float(slope[0]), 0.0)
+    return Model(voters, weights * slope, bias * slope + level)
 
 
 def _scores(model: Model, n_columns: int, text_at: int, names: list[str]):
