@@ -12,7 +12,7 @@ from sourcetrail.llm.decontamination import leaks
 from sourcetrail.llm.packing import pack
 from sourcetrail.llm.queries import TOXIC_FROM, TOXICITY_FOLDS, TOXICITY_HELD_OUT
 from sourcetrail.llm.repeats import without_repeats
-from sourcetrail.llm.set_join import jaccard_classes
+from sourcetrail.llm.set_join import classes_of_rows, text_hashes
 from sourcetrail.llm.tables import crc_mod, is_empty, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -27,18 +27,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, similarity 0.8: of each class of near copies the document with the smallest id stays.
+    """Five-word shingles, similarity 0.8: of each class of near copies the row with the smallest id stays.
 
-    Documents without words are in no class and stay; of rows that share an id one stays; rows without an id stay.
+    Rows are told apart by id and text, so rows that share an id but not their text are as good as any others.  Of rows
+    without an id one of each class stays, beside the one with an id.  Documents without words are in no class and stay;
+    of rows that share both id and text one stays, without words and id all.
     """
     docs = docs.select(*COLUMNS)
-    classes = jaccard_classes(docs, k=5, percent=80)
-    drop = classes.where("doc_id <> component_id and n_shingles > 0").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti").select(*COLUMNS)
-    twice = written(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
+    key = ["doc_id", "text_hash", "second_hash"]
+    rows = classes_of_rows(docs, k=5, percent=80).groupBy(*key).agg(F.max("stands").alias("stands"), F.count("*").alias("n"), F.max("n_shingles").alias("n_shingles"))
+    worded = F.col("n_shingles") > 0
+    rows = written(rows.where(~F.col("stands") | ((F.col("n") > 1) & (worded | F.col("doc_id").isNotNull()))), "near-copies")
+    named = docs.select("*", F.col("doc_id").cast("long").alias("own_id"), *text_hashes())
+
+    def among(keys: DataFrame, how: str) -> DataFrame:
+        keys = keys.select(*[F.col(c).alias(f"{c}_") for c in key])
+        same = F.col("own_id").eqNullSafe(F.col("doc_id_")) & (F.col("text_hash") == F.col("text_hash_")) & (F.col("second_hash") == F.col("second_hash_"))
+        return named.join(keys, same, how)
+
+    kept = among(rows, "left_anti").select(*COLUMNS)
+    twice = rows.where("stands")
     if is_empty(twice):
         return kept
-    return kept.join(twice, "doc_id", "left_anti").select(*COLUMNS).union(kept.join(twice, "doc_id").select(*COLUMNS).dropDuplicates(["doc_id"]))
+    once = among(twice, "left_semi").groupBy("own_id", "text_hash", "second_hash").agg(F.min(F.struct(*COLUMNS)).alias("d"))
+    return kept.union(once.select("d.*"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -166,8 +166,9 @@ def _profiles(k: int, percent: int):
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_mark(s) for s in sets], pa.binary()),
                         _lists([signatures(s, percent) for s in sets]),
+                        part.column(3),
                     ],
-                    names=["doc_id", "text_hash", "n", "mark", "sigs"],
+                    names=["doc_id", "text_hash", "n", "mark", "sigs", "second_hash"],
                 )
 
     return run
@@ -214,17 +215,30 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     their own component; texts with fewer than k words have one shingle, the whole sequence.  Repeated rows stay
     repeated; an empty table gives no rows.
     """
+    return classes_of_rows(docs, k, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def text_hashes() -> list[Column]:
+    """Two hashes of 64 bits, with different seeds, by which a text is told from the others of its doc_id."""
+    return [F.xxhash64("text").alias("text_hash"), F.xxhash64(F.lit(1), "text").alias("second_hash")]
+
+
+def classes_of_rows(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``jaccard_classes`` with text_hash, second_hash (of the row's text) and stands: whether the row stands for its
+    component, as the one with the smallest (doc_id, row).  Rows without an id are ranked apart, so a component can have
+    one row with an id and one without that stand for it; rows without words all stand."""
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profiles = docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        _profiles(k, percent), "doc_id long, text_hash long, n long, mark binary, sigs array<long>"
+    profiles = docs.select("*", *text_hashes()).mapInArrow(
+        _profiles(k, percent), "doc_id long, text_hash long, n long, mark binary, sigs array<long>, second_hash long"
     )
     scratch = Scratch()
     profiles = scratch.written(profiles.select(F.monotonically_increasing_id().alias("row"), "*"), "set-profiles")
     # equal sets are one: the row with the smallest number stands for all
     heads = profiles.where("mark is not null").groupBy("mark").agg(F.min("row").alias("rid"), F.min("n").alias("n"))
     heads = scratch.written(heads, "set-heads")
-    members = profiles.select("doc_id", "n", "mark").join(heads.select("mark", "rid"), "mark", "left").select("doc_id", "n", "rid")
+    own = ["row", "doc_id", "text_hash", "second_hash", "n"]
+    members = profiles.select(*own, "mark").join(heads.select("mark", "rid"), "mark", "left").select(*own, "rid")
     # first the signatures that stand more than once, then without those of equal sets
     entries = profiles.select(F.col("row").alias("rid"), F.explode("sigs").alias("sig"))
     shared = entries.groupBy("sig").agg(F.count("*").alias("length")).where("length > 1").select("sig")
@@ -237,14 +251,23 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     else:
         classes = components(_links(docs, profiles, lists, k, percent, scratch)).withColumnRenamed("node", "rid")
         labelled = members.join(classes, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
-    labelled = labelled.select("doc_id", "n", "component")
-    least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    labelled = labelled.select(*own, "component")
+    named, place = F.col("doc_id").isNotNull(), F.struct("doc_id", "row")
+    least = labelled.groupBy("component").agg(
+        F.min("doc_id").alias("component_id"),
+        F.min_by("row", F.when(named, place)).alias("first_named"),
+        F.min(F.when(~named, F.col("row"))).alias("first_unnamed"),
+    )
+    first = F.when(named, F.col("first_named")).otherwise(F.col("first_unnamed"))
     result = labelled.join(least, "component", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "text_hash",
+        "second_hash",
+        (F.col("component").isNull() | (F.col("row") == first)).alias("stands"),
     )
-    result = written(result, "set-classes")  # three numbers a row; all else can go
+    result = written(result, "set-classes")  # a few numbers a row; all else can go
     scratch.clear()
     return result
 

@@ -59,3 +59,13 @@ def test_repeated_and_null_ids_in_the_near_copy_stage(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", "", "", 1), (1, "a b c d e f", "", "", 1), (None, "a b c d e f", "", "", 1), (2, None, "", "", 1), (2, None, "", "", 1)], "doc_id long, text string, lang string, source string, n_chars long")
     kept = pipeline.keep_one_of_each_class(spark, docs, "").collect()
     assert sorted((x.doc_id or 0) for x in kept) == [0, 1, 2]
+
+
+def test_texts_of_one_id_are_told_apart_and_null_ids_are_compared(spark):
+    copies = [f"{w} b c d e f g h i j k l" for w in ("a", "x")]  # seven of nine shingles: no near copies of each other
+    rows = [(1, copies[0]), (1, "m n o p q r s t"), (2, "m n o p q r s t u"), (2, "v w x y z v w x"), (3, "v w x y z v w x")]
+    rows += [(None, copies[1]), (None, copies[1]), (None, "only this one has no id"), (None, None), (None, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, "", "", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(((x.doc_id or 0, x.text or "") for x in pipeline.keep_one_of_each_class(spark, docs, "").collect()))
+    want = [(0, ""), (0, ""), (0, "only this one has no id"), (0, copies[1]), (1, copies[0]), (1, "m n o p q r s t"), (2, "v w x y z v w x"), (4, "")]
+    assert kept == sorted(want)
