@@ -21,21 +21,32 @@ from sourcetrail.llm.tables import Scratch, ship, written
 
 #: 1: the token counts, 0: any token.
 MASKS = ("111010011", "1100101011", "1101001101", "11110011")
-#: Shortest item that is looked for; such short items must occur as they are.
+#: Masks of items of fewer than SHORT tokens, beside those of MASKS that fit: together they find such an item however
+#: the tokens that may differ lie.
+SHORT_MASKS, SHORT = ("1111", "10111", "11011", "11101", "110011"), 12
+#: Items of fewer tokens must occur as they are.
 LEAST_ITEM = 5
 #: Tokens of an overlap (of the whole item if it is shorter), and the share of them that must agree.
 OVERLAP, AGREE = 12, 0.75
 #: Bits of the scanning filter, a fixed 2 MB whatever the benchmark's size; a fuller filter only passes more to the join.
 FILTER_BITS = 1 << 24
 
-_TOKEN = re.compile(r"[^\W_]+")
+#: Scripts that put no spaces between words: South-East Asian ones and Tibetan, kana, bopomofo, yi, Han.
+_UNSPACED = (
+    "\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\ua9e0-\ua9ff\uaa60-\uaadf"
+    "\u3005-\u3007\u3021-\u3029\u3031-\u303c\u3041-\u30ff\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff\ua000-\ua48f\uff66-\uff9f"
+    "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U0001aff0-\U0001b16f\U00020000-\U0003ffff"
+)
+_TOKEN, _CUT = re.compile(r"[^\W_]+"), re.compile(rf"(?=[{_UNSPACED}])[^\W_]|(?:(?![{_UNSPACED}])[^\W_])+")
+_ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
 _U = np.uint64
 _SPAN = min(map(len, MASKS))
 
 
 def tokens(text: str | None, cache: WordHashes) -> np.ndarray:
-    """Hashes of the lower-cased letter and digit runs of a text."""
-    found = _TOKEN.findall(text.lower()) if text else []
+    """Hashes of the lower-cased letter and digit runs of a text; in scripts without spaces each character is one."""
+    text = (text or "").lower()
+    found = (_CUT if not text.isascii() and _ANY_UNSPACED.search(text) else _TOKEN).findall(text)
     return hashes([w.encode("utf-8", "surrogatepass") for w in found], cache)
 
 
@@ -51,16 +62,22 @@ def seed_hashes(t: np.ndarray, mask: str) -> np.ndarray:
     return mix(h)
 
 
+def masks_of(n: int) -> tuple[str, ...]:
+    """Masks of an item of n tokens."""
+    if n < LEAST_ITEM:
+        return ("1" * n,) if n else ()
+    return tuple(m for m in (*MASKS, *(SHORT_MASKS if n < SHORT else ())) if len(m) <= n)
+
+
 def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache = WordHashes()
     for batch in batches:
         rows = []
         for item, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             t = tokens(text, cache)
-            if len(t) < LEAST_ITEM:
+            if not len(t):
                 continue
-            masks = MASKS if len(t) >= max(map(len, MASKS)) else ("1" * len(t),)
-            seeds = [(h, at) for m in masks for at, h in enumerate(seed_hashes(t, m).view(np.int64).tolist())]
+            seeds = [(h, at) for m in masks_of(len(t)) for at, h in enumerate(seed_hashes(t, m).view(np.int64).tolist())]
             rows.append((item, t.view(np.int64), [h for h, _ in seeds], [at for _, at in seeds]))
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
         types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())]
@@ -97,6 +114,8 @@ def _scan(bitmap: np.ndarray, masks: tuple[str, ...]):
                     for mask in masks:
                         h = seed_hashes(t, mask)
                         hit = passes(h)
+                        if len(mask) < LEAST_ITEM - 1:  # whole items: the first occurrence is the one that counts
+                            hit = hit[np.sort(np.unique(h[hit], return_index=True)[1])]
                         seeds += h[hit].view(np.int64).tolist()
                         places += hit.tolist()
                     if seeds:
@@ -118,10 +137,23 @@ def align(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]
     low = np.minimum.accumulate(gain)
     end = int(np.argmax(gain - low))
     begin = int(np.argmax(gain[: end + 1] == low[end]))
-    length, agree = end - begin, int(same[begin:end].sum())
-    if length < min(OVERLAP, len(item)) or agree < AGREE * length:
-        return None
-    return first + begin, length, agree
+    least = min(OVERLAP, len(item))
+    if end - begin < least or same[begin:end].sum() < AGREE * (end - begin):
+        found = _longest(same)
+        if found is None or found[1] - found[0] < least:
+            return None
+        begin, end = found
+    return first + begin, end - begin, int(same[begin:end].sum())
+
+
+def _longest(same: np.ndarray) -> tuple[int, int] | None:
+    """The longest stretch of which the share AGREE is true, the first of several; None if nothing is."""
+    gain = np.concatenate([[0.0], np.cumsum(np.where(same, 1 - AGREE, -AGREE))])
+    low = np.minimum.accumulate(gain)  # falls: a stretch to some end begins at the first place that is as low
+    begins = np.searchsorted(-low, -gain - 1e-9)
+    lengths = np.arange(len(gain)) - begins
+    end = int(np.argmax(lengths))
+    return (int(begins[end]), end) if lengths[end] > 0 else None
 
 
 _FOUND = "row long, doc_id long, text_hash long, item_id long, item_start int, doc_start int, length int, agree int"
@@ -148,9 +180,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     as rows may share an id), item_id, doc_start and item_start (in tokens), length, agree (tokens that are equal).
 
     docs: doc_id, text; benchmark: item_id, text; other columns are ignored.  Of several overlaps with an item the one with
-    most equal tokens counts, then the first.  Null and empty texts, items of fewer than 5 tokens and empty tables match
-    nothing; items shorter than the longest mask must occur word for word; documents without a leak have no row; repeated
-    rows stay repeated, repeated items are one.
+    most equal tokens counts, then the first.  Null and empty texts, items without tokens and empty tables match nothing;
+    items of fewer than 5 tokens must occur word for word; documents without a leak have no row; repeated rows stay
+    repeated, repeated items are one.
     """
     ship(docs.sparkSession)
     scratch = Scratch()
@@ -168,8 +200,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bitmap = np.zeros(FILTER_BITS // 32, "<u4")
     for r in cells:
         bitmap[r["word"]] = r["bits"]
-    short = [r["n"] for r in items.select(F.size("item_tokens").alias("n")).where(F.col("n") < max(map(len, MASKS))).distinct().collect()]
-    masks = (*MASKS, *("1" * n for n in sorted(short)))
+    sizes = items.select(F.least(F.size("item_tokens"), F.lit(SHORT)).alias("n")).distinct().collect()  # SHORT at most
+    masks = tuple(sorted({m for r in sizes for m in masks_of(r["n"])}))
 
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string"))
     schema = "doc_id long, text_hash long, tokens array<long>, seeds array<long>, places array<int>"

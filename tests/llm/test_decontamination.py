@@ -44,3 +44,38 @@ def test_alignment():
     changed[[5, 15]] = 777
     assert decontamination.align(doc, changed, 20) == (0, 30, 28)
     assert decontamination.align(doc, item, 0) is None and decontamination.align(doc, item, 500) is None
+
+
+def test_changes_near_the_ends_of_short_overlaps():
+    for n in range(5, 16):
+        item = np.arange(n, dtype=np.uint64)
+        for at in range(n):
+            doc = np.concatenate([[900, 901], item, [902]]).astype(np.uint64)
+            doc[2 + at] = 777
+            found = decontamination.align(doc, item, 2)
+            assert found and found[1] >= min(decontamination.OVERLAP, n) and found[2] >= decontamination.AGREE * found[1]
+    doc = np.arange(40, dtype=np.uint64)
+    doc[[9, 19, 29, *range(10), *range(30, 40)]] = 777
+    assert decontamination.align(doc, np.arange(40, dtype=np.uint64), 0)[1] >= 19
+    doc[15:25:2] = 777
+    assert decontamination.align(doc, np.arange(40, dtype=np.uint64), 0) is None
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    items, texts, truth = [], [], set()
+    for n in [1, 2, 3, 4, *range(5, 15)]:
+        items.append([words.pop() for _ in range(n)])
+        for at in range(n):  # one word is another one; items of fewer than 5 stay as they are
+            own = [w if n < 5 or i != at else "changed" for i, w in enumerate(items[-1])]
+            truth.add((len(texts), len(items) - 1))
+            texts.append(" ".join([*r.sample(words[:2000], 9), *own, *r.sample(words[:2000], 9)]))
+    for n in range(1, 4):  # items 1 to 3 have 2 to 4 tokens
+        texts.append(" ".join([*items[n][: n // 2], "changed", *items[n][n // 2 + 1 :]]))
+    items.append(["\u6771\u4eac\u90fd\u306f\u65e5\u672c\u306e\u9996\u90fd\u3067\u3042\u308b"])
+    truth.add((len(texts), len(items) - 1))
+    texts.append("\u6628\u65e5" + items[-1][0].replace("\u672c", "\u672b") + "\u304b")
+    table = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    found = decontamination.leaks(helpers.documents(spark, texts), table).collect()
+    assert {(x.doc_id, x.item_id) for x in found} == truth
