@@ -126,8 +126,22 @@ class Network:
         return g, f["last"]
 
 
+@dataclass
+class Window:
+    """Some steps of the streams, one step a row: classes to predict and read, where a document begins, places that hold
+    tokens, and (document, stream, first step, step after the last) of what is in it."""
+
+    target: np.ndarray
+    before: np.ndarray
+    fresh: np.ndarray
+    used: np.ndarray
+    parts: list[tuple[int, int, int, int]]
+
+
 class Streams:
-    """Documents dealt over parallel streams of about the same length, the longest streams first."""
+    """Documents dealt over parallel streams of about the same length, the longest streams first.
+
+    Only one window of them stands as matrices at a time, however long the documents are."""
 
     def __init__(self, docs: list[np.ndarray], n: int):
         n = max(1, min(n, len(docs)))
@@ -143,23 +157,33 @@ class Streams:
             heapq.heappush(heap, (load[i], i))
         self.order.sort(key=lambda o: -sum(len(docs[d]) for d in o))
         self.lengths = np.array([sum(len(docs[d]) for d in o) for o in self.order])
-        steps = int(self.lengths.max(initial=0))
-        self.target = np.zeros((steps, n), np.int64)
-        self.before = np.zeros((steps, n), np.int64)
-        self.fresh = np.zeros((steps, n), bool)
-        for i, o in enumerate(self.order):
-            at = 0
-            for d in o:
-                end = at + len(docs[d])
-                self.target[at:end, i] = docs[d]
-                self.before[at + 1 : end, i] = docs[d][:-1]
-                self.fresh[at, i] = True
-                at = end
-
-    def windows(self) -> Iterator[tuple[slice, int]]:
-        """Steps of each window and how many streams still run in it."""
-        for at in range(0, len(self.target), WINDOW):
-            yield slice(at, at + WINDOW), int((self.lengths > at).sum())
+        self.docs = docs
+
+    def windows(self) -> Iterator[Window]:
+        """The windows, each of the streams that still run in it."""
+        at_doc, read = [0] * len(self.order), [0] * len(self.order)  # where each stream stands
+        longest = int(self.lengths.max(initial=0))
+        for at in range(0, longest, WINDOW):
+            steps, n = min(WINDOW, longest - at), int((self.lengths > at).sum())
+            w = Window(*(np.zeros((steps, n), t) for t in (np.int64, np.int64, bool, bool)), [])
+            for i in range(n):
+                step = 0
+                while step < steps and at_doc[i] < len(self.order[i]):
+                    d, begin = self.order[i][at_doc[i]], read[i]
+                    ids = self.docs[d]
+                    end = min(len(ids), begin + steps - step)
+                    stop = step + end - begin
+                    w.target[step:stop, i] = ids[begin:end]
+                    skip = int(begin == 0 and end > 0)  # nothing was read at the start of a document
+                    w.before[step + skip : stop, i] = ids[begin + skip - 1 : end - 1]
+                    if skip:
+                        w.fresh[step, i] = True
+                    w.used[step:stop, i] = True
+                    w.parts.append((d, i, step, stop))
+                    step, read[i] = stop, end
+                    if end == len(ids):
+                        at_doc[i], read[i] = at_doc[i] + 1, 0
+            yield w
 
 
 class Adam:
@@ -185,29 +209,23 @@ def train(network: Network, optimiser: Adam, docs: list[np.ndarray]) -> None:
     """One pass over documents (arrays of class ids) by truncated backpropagation; the state runs on over windows."""
     streams = Streams(docs, STREAMS)
     state = np.zeros((len(streams.order), HIDDEN), np.float32)
-    for part, n in streams.windows():
-        used = np.arange(part.start, min(part.stop, len(streams.target)))[:, None] < streams.lengths[:n]
-        g, state = network.gradients(streams.before[part, :n], streams.fresh[part, :n], streams.target[part, :n], used, state[:n])
-        optimiser.step(network, g, int(used.sum()) / (STREAMS * WINDOW))
+    for w in streams.windows():
+        g, state = network.gradients(w.before, w.fresh, w.target, w.used, state[: w.used.shape[1]])
+        optimiser.step(network, g, int(w.used.sum()) / (STREAMS * WINDOW))
 
 
 def score(network: Network, docs: list[np.ndarray], shares: np.ndarray) -> np.ndarray:
     """Log10 probability of each document's class sequence; the network is mixed with a little of the plain shares."""
     streams = Streams(docs, 2 * STREAMS)
-    state, out = np.zeros((len(streams.order), HIDDEN), np.float32), np.zeros(streams.target.shape, np.float32)
-    for part, n in streams.windows():
-        f = network.forward(streams.before[part, :n], streams.fresh[part, :n], state[:n])
-        target = streams.target[part, :n]
+    state, totals = np.zeros((len(streams.order), HIDDEN), np.float32), np.zeros(len(docs))
+    for w in streams.windows():
+        f = network.forward(w.before, w.fresh, state[: w.used.shape[1]])
         logs = network.logs(f["new"])
-        own = np.exp(logs[np.arange(target.size), target.ravel()]).reshape(target.shape)
-        out[part, :n] = np.log((1 - PLAIN) * own + PLAIN * shares[target])
+        own = np.exp(logs[np.arange(w.target.size), w.target.ravel()]).reshape(w.target.shape)
+        out = np.log((1 - PLAIN) * own + PLAIN * shares[w.target])
+        for d, i, begin, stop in w.parts:
+            totals[d] += out[begin:stop, i].sum(dtype=np.float64)
         state = f["last"]
-    totals = np.zeros(len(docs))
-    for i, o in enumerate(streams.order):
-        at = 0
-        for d in o:
-            totals[d] = out[at : at + len(docs[d]), i].sum(dtype=np.float64)
-            at += len(docs[d])
     return totals / math.log(10)
 
 

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -69,3 +70,17 @@ def test_without_training_rows(spark):
     rows = gru_lm.score_documents(helpers.documents(spark, ["a b", None]), F.lit(True)).collect()
     assert sorted((x.n_tokens, x.n_known, x.train_tokens, x.base_score) for x in rows) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
     assert gru_lm.score_documents(helpers.documents(spark, []), F.lit(False)).collect() == []
+
+
+def test_memory_follows_the_window_not_the_longest_text():
+    net, rng = gru_lm.Network(seed=3), np.random.default_rng(2)
+    docs = [rng.integers(0, gru_lm.CLASSES, n) for n in (40_000, *[20] * 300)]
+    shares = np.full(gru_lm.CLASSES, 1 / gru_lm.CLASSES)
+    tracemalloc.start()
+    try:
+        scores = gru_lm.score(net, docs, shares)
+        gru_lm.train(net, gru_lm.Adam(net, 0.001), docs[:200])
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (scores < 0).all() and most < 60e6
