@@ -17,13 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sourcetrail.llm.html_text import best_container, parse
+from sourcetrail.llm.html_text import parse
 from sourcetrail.llm.redirects import host_of
-from sourcetrail.llm.tables import ship, written
+from sourcetrail.llm.tables import Scratch, ship, written
 
 #: Cells that byte trigrams are hashed into; the models are a table of cells by languages.
 CELLS = 1 << 14
-#: Languages that are told apart, at most: the most frequent ones among the labels.
+#: Languages whose models are at hand at a time; where the labels name more, texts are scored by one block of them after
+#: the other.
 LANGUAGES = 64
 #: Weight of a trigram's evidence against an independent one, and the most trigrams a text counts as.
 TEMPER, MOST_EVIDENCE = 0.2, 400.0
@@ -43,47 +44,71 @@ def cells(text: str | None) -> np.ndarray:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for lang, n in sums.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at])], names=["lang", "cell", "n"])
+        sums.clear()
+
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if lang not in sums:
+                if len(sums) >= 4 * LANGUAGES:
+                    yield from out()
                 sums[lang] = np.zeros(CELLS, np.int64)
             sums[lang] += cells(text)
-    for lang, n in sums.items():
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at])], names=["lang", "cell", "n"])
+    yield from out()
 
 
-def text_models(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages and the log-probabilities of their trigram cells (languages by cells), from docs (lang, text)."""
+def text_models(docs: DataFrame, scratch: Scratch) -> tuple[list[str], Iterator[np.ndarray]]:
+    """All labelled languages by name, and by blocks of them the log-probabilities of their trigram cells (languages by
+    cells), from docs (lang, text)."""
     docs = docs.where("lang is not null and text is not null").select("lang", "text")
-    known = docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    names = sorted(r["lang"] for r in known.collect())
-    counted = docs.where(F.col("lang").isin(names)).mapInArrow(_counts, "lang string, cell int, n long")
-    rows = counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")).collect()  # LANGUAGES * CELLS at most
-    table = np.full((len(names), CELLS), 0.5)
-    for r in rows:
-        table[names.index(r["lang"]), r["cell"]] += r["n"]
-    return names, np.log(table / table.sum(1, keepdims=True)) if names else table
+    counted = docs.mapInArrow(_counts, "lang string, cell int, n long")
+    counted = scratch.written(counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")), "language-cells")
+    seen = {r["lang"] for r in counted.select("lang").distinct().collect()}
+    # a label may have texts without a trigram only
+    names = sorted(seen | {r["lang"] for r in docs.select("lang").distinct().collect()})
+
+    def blocks() -> Iterator[np.ndarray]:
+        for at in range(0, len(names), LANGUAGES):
+            place = {lang: i for i, lang in enumerate(names[at : at + LANGUAGES])}
+            table = np.full((len(place), CELLS), 0.5)
+            for r in counted.where(F.col("lang").isin(list(place))).collect():  # LANGUAGES * CELLS at most
+                table[place[r["lang"]], r["cell"]] += r["n"]
+            yield np.log(table / table.sum(1, keepdims=True))
+
+    return names, blocks()
+
+
+def _page_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The trigram cells of all of a page's text that is not dropped, and their counts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            used, counts = [], []
+            for source in part.column(1).to_pylist():
+                n = cells(" ".join(b.text for b in parse(source).blocks if not b.dropped))
+                used.append(np.flatnonzero(n).astype(np.int32))
+                counts.append(n[used[-1]])
+            columns = [part.column(0), pa.array(used, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int64())), pa.array([[]] * len(used), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*columns, *part.columns[2:5]], names=["page_id", "cells", "counts", "text_log", "declared", "host", "suffix"])
+
 
+def _scored(model: np.ndarray):
+    """Appends the scores under the languages of a block."""
 
-def _evidence(names: list[str], model: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                out = []
-                for source in part.column(1).to_pylist():
-                    page = parse(source)
-                    best = best_container(page)
-                    text = " ".join(b.text for b in page.blocks if best in b.around and not b.dropped)
-                    n = cells(text)
-                    used = np.flatnonzero(n)
-                    scores = model[:, used] @ n[used]
-                    total = int(n.sum())
-                    scores = scores * (TEMPER * min(1.0, MOST_EVIDENCE / total)) if total else scores
-                    out.append((scores - scores.max(initial=-math.inf)).tolist() if len(names) else [])
-                columns = [part.column(0), pa.array(out, pa.list_(pa.float64())), part.column(2), part.column(3), part.column(4)]
-                yield pa.RecordBatch.from_arrays(columns, names=["page_id", "text_log", "declared", "host", "suffix"])
+            out = []
+            for used, n, before in zip(batch.column(1), batch.column(2), batch.column(3).to_pylist(), strict=True):
+                used, n = used.values.to_numpy(), n.values.to_numpy()
+                total = int(n.sum())
+                scores = model[:, used] @ n
+                scores = scores * (TEMPER * min(1.0, MOST_EVIDENCE / total)) if total else scores
+                out.append(before + scores.tolist())
+            yield batch.set_column(3, "text_log", pa.array(out, pa.list_(pa.float64())))
 
     return run
 
@@ -104,15 +129,22 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     repeated rows stay repeated; empty pages give no rows; other columns are ignored.
     """
     ship(pages.sparkSession)
-    names, model = text_models(docs)
+    scratch = Scratch()
+    names, models = text_models(docs, scratch)
     tag = F.regexp_extract("html", r"(?is)<html\b[^>]*>", 0)
     declared = F.lower(F.regexp_extract(tag, r"(?is)\blang\s*=\s*[\"']?\s*([a-z]{2,3})", 1))
     host = F.coalesce(host_of(F.col("url")), F.lit(""))
     pages = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     pages = pages.select("page_id", "html", F.nullif(declared, F.lit("")).alias("declared"), host.alias("host"))
     pages = pages.withColumn("suffix", F.regexp_extract("host", r"([^.]*)$", 1))
-    schema = "page_id long, text_log array<double>, declared string, host string, suffix string"
-    seen = written(pages.mapInArrow(_evidence(names, model), schema), "language-evidence")
+    schema = "page_id long, cells array<int>, counts array<long>, text_log array<double>, declared string, host string, suffix string"
+    seen = pages.mapInArrow(_page_cells, schema)
+    for i, model in enumerate(models):
+        # one block follows the first in a stage of its own, so a task holds one block at a time
+        seen = (scratch.written(seen, "language-scores") if i else seen).mapInArrow(_scored(model), schema)
+    top = F.transform("text_log", lambda x: x - F.array_max("text_log"))
+    seen = written(seen.select("page_id", top.alias("text_log"), "declared", "host", "suffix"), "language-evidence")
+    scratch.clear()
     if not names:
         return seen.select("page_id", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("probability"), "declared", "host", F.lit(None).cast("long").alias("host_pages"))
 

@@ -104,3 +104,16 @@ def test_language_fuses_evidence(spark):
     assert language.identify(pages(spark, []), docs).collect() == []
     unlabelled = language.identify(pages(spark, rows), docs.where("lang is null")).collect()
     assert len(unlabelled) == 9 and {x.lang for x in unlabelled} == {None}
+
+
+def test_language_of_fragments_all_text_and_rare_labels(spark, monkeypatch):
+    docs = [("the house and the garden of the king " * 9, "en")] * 3 + [("das haus und der garten des königs " * 9, "de")] * 2 + [("la casa e il giardino del re " * 9, "it")]
+    docs = spark.createDataFrame(docs, "text string, lang string")
+    rows = [("http://a.com/1", "<h1>das haus</h1><p>und der garten des königs"), ("http://b.com/2", "la casa e il giardino del re")]
+    rows += [("http://c.com/3", "<body><div><p>the king 1234567</div>" + "<section><p>das haus</section><section><p>der garten</section><section><p>des königs</section>" * 3)]
+    for most in (64, 1):  # all languages in one block, each in its own
+        monkeypatch.setattr(language, "LANGUAGES", most)
+        got = [(x.lang, round(x.probability, 9)) for x in language.identify(pages(spark, rows), docs).orderBy("page_id").collect()]
+        assert [x[0] for x in got] == ["de", "it", "de"]
+        first = got if most == 64 else first
+    assert got == first
