@@ -92,7 +92,7 @@ def _packed(rows: int, names: tuple[str, str]):
 
         def out(n: int) -> pa.RecordBatch:
             nonlocal ids, parts
-            columns = [np.array(ids[:n], np.int64).tobytes()], [np.concatenate(parts[:n]).astype(np.int32).tobytes() if n else b""]
+            columns = [np.array(ids[:n], np.int64).tobytes()], [np.concatenate(parts[:n]).astype(np.int64).tobytes() if n else b""]
             ids, parts = ids[n:], parts[n:]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=list(names))
 
@@ -115,9 +115,9 @@ def _search(k: int):
         for batch in batches:
             for shard_ids, shard_data, ids, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own_ids, ids = np.frombuffer(shard_ids, np.int64), np.frombuffer(ids, np.int64)
-                vectors = np.frombuffer(shard_data, np.int32).reshape(len(own_ids), -1).astype(np.int64)
+                vectors = np.frombuffer(shard_data, np.int64).reshape(len(own_ids), -1)
                 shard = Shard(own_ids, vectors)
-                queries = np.frombuffer(data, np.int32).reshape(len(ids), -1).astype(np.int64)
+                queries = np.frombuffer(data, np.int64).reshape(len(ids), -1)
                 rows = [(int(q), i, s) for q, v in zip(ids, queries, strict=True) for s, i in shard.search(v, k, int(q), None)]
                 columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
@@ -128,7 +128,7 @@ def _search(k: int):
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each query the k vectors of the highest inner product with it.
 
-    vectors and queries: vec_id (unique in each), components (array of integers, of 32 bits, all of one length).  A vector
+    vectors and queries: vec_id (unique in each), components (array of integers, all of one length; scores are of 64 bits).  A vector
     with the query's id is not its candidate.  Ties go to the smaller vec_id; fewer than k candidates are all returned;
     rows with a null id, null vector or null component take no part; without vectors or queries there are no rows.  Every
     shard meets every block of queries, and only the k best of each query leave it.

@@ -33,3 +33,9 @@ def test_shards_and_edge_cases(spark, monkeypatch):
     two = spark.createDataFrame([(0, [1, 2], 1, 2), (1, [3, 4], 1, 2)], schema)
     assert [(x.query_id, x.rank, x.vec_id, x.score) for x in maxscore.search(two, two.where("vec_id = 0"), 5).collect()] == [(0, 1, 1, 11)]
     assert maxscore.search(two.where("false"), two, 5).collect() == [] == maxscore.search(two, two.where("false"), 5).collect()
+
+
+def test_components_beyond_32_bits(spark):
+    df = spark.createDataFrame([(0, [1, 2]), (1, [2**31, 3]), (2, [-(2**33), 5])], "vec_id long, components array<long>")
+    got = [(x.vec_id, x.score) for x in maxscore.search(df, df.where("vec_id = 0"), 2).orderBy("rank").collect()]
+    assert got == [(1, 2**31 + 6), (2, -(2**33) + 10)]
