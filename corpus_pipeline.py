@@ -36,9 +36,16 @@ def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     docs = docs.select(*COLUMNS)
     key = ["doc_id", "text_hash", "second_hash"]
     rows = classes_of_rows(docs, k=5, percent=80).groupBy(*key).agg(F.max("stands").alias("stands"), F.count("*").alias("n"), F.max("n_shingles").alias("n_shingles"))
-    worded = F.col("n_shingles") > 0
-    rows = written(rows.where(~F.col("stands") | ((F.col("n") > 1) & (worded | F.col("doc_id").isNotNull()))), "near-copies")
-    named = docs.select("*", F.col("doc_id").cast("long").alias("own_id"), *text_hashes())
+    rows = written(rows, "near-copies")
+    # ids of which nothing stays go by the id alone: a narrow table, which is most of it
+    ids = rows.where("doc_id is not null").groupBy("doc_id").agg(F.max("stands").alias("stands"))
+    gone = written(ids.where("not stands").select("doc_id"), "near-copy-ids")
+    named = docs.withColumn("own_id", F.col("doc_id").cast("long")).join(gone.withColumnRenamed("doc_id", "own_id"), "own_id", "left_anti")
+    more_than_one = (F.col("n") > 1) & ((F.col("n_shingles") > 0) | F.col("doc_id").isNotNull())
+    rows = written(rows.where(~F.col("stands") | more_than_one).join(gone, "doc_id", "left_anti"), "near-copy-rows")
+    if is_empty(rows):
+        return named.select(*COLUMNS)
+    named = named.select("*", *text_hashes())
 
     def among(keys: DataFrame, how: str) -> DataFrame:
         keys = keys.select(*[F.col(c).alias(f"{c}_") for c in key])
