@@ -13,6 +13,7 @@ from sourcetrail.llm.html_text import main_text
 from sourcetrail.llm.language import identify
 from sourcetrail.llm.maxscore import search
 from sourcetrail.llm.packing import pack
+from sourcetrail.llm.piece_codec import decode, encode
 from sourcetrail.llm.redirects import judge
 from sourcetrail.llm.repeats import without_repeats
 from sourcetrail.llm import toxicity
@@ -122,6 +123,20 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded into pieces and decoded again, as digests."""
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    back = decode(encode(table(spark, sf_dir, "documents", "doc_id", "text"), model), model)
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
@@ -133,6 +148,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op5_toxicity": op5_toxicity,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 #: The given pages declare neither canonical links nor refreshes (a test holds them to that), so rules and default decide.
