@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sourcetrail.llm.decontamination import leaks
+from sourcetrail.llm.fp_tree import ranked_documents
 from sourcetrail.llm.gru_lm import score_documents
 from sourcetrail.llm.html_text import main_text
 from sourcetrail.llm.language import identify
@@ -137,6 +138,11 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked_documents(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
@@ -148,6 +154,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op5_toxicity": op5_toxicity,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op12_ranked_search": op12_ranked_search,
     "op13_sentencepiece": op13_sentencepiece,
 }
 
@@ -185,4 +192,30 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
-LLM_ORACLES: dict[str, str] = {"op2_exact_topk": _OP2_SQL, "op8_url_filters": _OP8_SQL}
+_OP12_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM documents WHERE text IS NOT NULL
+), i AS (
+    SELECT row_number() OVER () AS item, item_id, list_distinct(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+    FROM benchmark WHERE text IS NOT NULL
+), n AS (SELECT row, doc_id, len(words) AS n FROM d WHERE len(words) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM n),
+tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(words) AS term FROM d) GROUP BY row, term),
+w AS (
+    SELECT term, CAST(floor(1000 * ln((2 * s.docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s
+), m AS (SELECT row, doc_id, 10 + (90 * n * s.docs) // s.total AS m FROM n, s),
+q AS (SELECT item, item_id, unnest(terms) AS term FROM i),
+p AS (
+    SELECT q.item, q.item_id, m.row, m.doc_id, CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * m.m))) AS BIGINT) AS score
+    FROM q JOIN w ON w.term = q.term JOIN tf ON tf.term = q.term JOIN m ON m.row = tf.row
+    GROUP BY q.item, q.item_id, m.row, m.doc_id
+), r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM p WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+LLM_ORACLES: dict[str, str] = {"op2_exact_topk": _OP2_SQL, "op8_url_filters": _OP8_SQL, "op12_ranked_search": _OP12_SQL}
