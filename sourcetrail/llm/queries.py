@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sourcetrail.llm.cover_tree import mine
 from sourcetrail.llm.decontamination import leaks
 from sourcetrail.llm.fp_tree import ranked_documents
 from sourcetrail.llm.gru_lm import score_documents
@@ -138,6 +139,16 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector for each of its five positives, in 1/256 steps."""
+    given = table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    vectors = given.where(F.col("embedding").isNotNull() & finite).select("vec_id", label.alias("label"), steps.alias("components"))
+    return mine(vectors, lambda vec_id: vec_id % 100 == 0)
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return ranked_documents(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -154,6 +165,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op5_toxicity": op5_toxicity,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_ranked_search": op12_ranked_search,
     "op13_sentencepiece": op13_sentencepiece,
 }
@@ -192,6 +204,28 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+_OP11_SQL = """
+WITH v AS (
+    SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS c
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), p AS (
+    SELECT a.row AS anchor, a.vec_id AS anchor_id, v.row, v.vec_id, v.label = a.label AS same,
+        coalesce(CAST(list_sum(list_transform(list_zip(a.c, v.c), lambda z: z[1] * z[2])) AS BIGINT), 0) AS score
+    FROM v a JOIN v ON a.row <> v.row WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor, anchor_id, row AS positive, vec_id AS positive_id, score AS positive_score FROM p WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row) <= 5
+), negatives AS (
+    SELECT s.anchor_id, s.positive_id, CAST(row_number() OVER (PARTITION BY s.anchor, s.positive ORDER BY p.score DESC, p.vec_id, p.row) AS INTEGER) AS rank,
+        p.vec_id AS negative_id, s.positive_score, p.score AS negative_score
+    FROM positives s JOIN p ON p.anchor = s.anchor AND NOT p.same
+    WHERE 30 * s.positive_score <= 100 * p.score AND 100 * p.score <= 90 * s.positive_score
+)
+SELECT * FROM negatives WHERE rank <= 10
+"""
 _OP12_SQL = r"""
 WITH d AS (
     SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
@@ -218,4 +252,4 @@ p AS (
 )
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
 """
-LLM_ORACLES: dict[str, str] = {"op2_exact_topk": _OP2_SQL, "op8_url_filters": _OP8_SQL, "op12_ranked_search": _OP12_SQL}
+LLM_ORACLES: dict[str, str] = {"op2_exact_topk": _OP2_SQL, "op8_url_filters": _OP8_SQL, "op11_hard_negatives": _OP11_SQL, "op12_ranked_search": _OP12_SQL}
