@@ -40,7 +40,12 @@ def review_of(user: Column) -> Column:
 
 
 def measurements(spark: SparkSession, folder: str) -> DataFrame:
-    events = spread(table(spark, folder, "events")).select(
+    return measurements_of(spread(table(spark, folder, "events")))
+
+
+def measurements_of(events: DataFrame) -> DataFrame:
+    """A measurement per event; also on a stream of events."""
+    events = events.select(
         "event_id", "ts", "user_id", "event_type", "value",
         X.fixed(F.get_json_object("props", "$.k").cast("int")).alias("k"),
     )

@@ -504,6 +504,7 @@ ORACLES: dict[str, str] = {
     "latest_state_events": latest("events", "user_id, event_type", "ts"),
     "latest_state_conversations": latest("conversations", "conv_id, role", "turn"),
     "latest_state_stream": latest("events", "user_id, event_type", "ts"),
+    "latest_state_many_batches": latest("events", "user_id, event_type", "ts"),
     "review_decisions_latest": with_ctes(
         ["reviewer_events"],
         latest(
@@ -676,3 +677,6 @@ ORACLES: dict[str, str] = {
     ),
     "serve_metrics": with_ctes(["metrics"], "SELECT * FROM metrics ORDER BY case_id"),
 }
+# tables brought up to date batch by batch hold what a full build holds
+ORACLES["refreshed_timeline"] = ORACLES["timeline"]
+ORACLES["refreshed_comparison"] = ORACLES["temporal_comparison"]

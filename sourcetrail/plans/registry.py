@@ -28,7 +28,7 @@ from sourcetrail.plans import driver_feeds as D
 from sourcetrail.plans import serve
 from sourcetrail.session import adapt, materialize, run_folder, spread
 from sourcetrail.sources import feeds
-from sourcetrail.streaming import latest_state
+from sourcetrail.streaming import case_tables, latest_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -139,6 +139,49 @@ def latest_state_stream(spark, folder):
     return latest_state.read_latest_state(spark, f"{root}/state", schema, keys, sequence_by)
 
 
+@query
+def latest_state_many_batches(spark, folder):
+    """Fifty batches, most of whose events come late or change keys again; a few merged runs are left."""
+    keys, sequence_by = ["user_id", "event_type"], "ts"
+    events = D.table(spark, folder, "events")
+    root = run_folder(spark, "latest-state")
+    events.repartition(50, "event_id").write.parquet(f"{root}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+    latest_state.start_latest_state(stream, keys, sequence_by, f"{root}/state", f"{root}/checkpoint").awaitTermination()
+    return latest_state.read_latest_state(spark, f"{root}/state", events.schema, keys, sequence_by)
+
+
+CASE_VIEWS = {
+    "timeline": lambda read: evidence.timeline(read("measurements")),
+    "comparison": lambda read: evidence.temporal_comparison(evidence.per_date(read("measurements"))),
+    "gaps": lambda read: D.gaps(read("measurements")),
+}
+
+
+def refreshed_tables(spark, folder, names: list[str], batches: int = 3) -> case_tables.CaseTables:
+    """Tables by case, filled by a stream of events in several batches that all touch most cases."""
+    views = {name: CASE_VIEWS[name] for name in names}
+    events = D.table(spark, folder, "events")
+    root = run_folder(spark, "case-tables")
+    events.repartition(batches, "event_id").write.parquet(f"{root}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+    measured = D.measurements_of(stream)
+    tables = case_tables.CaseTables(spark, f"{root}/tables", buckets=16)
+    case_tables.create(tables, "measurements", measured.schema, views)
+    case_tables.start_refresh(measured, tables, "measurements", ["case_id", "measurement_id"], views, f"{root}/checkpoint").awaitTermination()
+    return tables
+
+
+@query
+def refreshed_timeline(spark, folder):
+    return refreshed_tables(spark, folder, ["timeline"]).read("timeline").select(*timeline(spark, folder).columns)
+
+
+@query
+def refreshed_comparison(spark, folder):
+    return refreshed_tables(spark, folder, ["comparison"]).read("comparison").select(*temporal_comparison(spark, folder).columns)
+
+
 def reviewer_events(spark, folder) -> DataFrame:
     """Raw reviewer events in mixed case, some of them incomplete."""
     kind = F.col("event_type")

@@ -1,33 +1,138 @@
 """Latest state per key over a stream.
 
-The aggregate's own state keeps the newest row per key without any time limit, so an older event
-never wins, however late it comes.  Every micro-batch writes the keys it changed to a folder of its
-own; a batch that is run again after a failure overwrites exactly that folder."""
+Every key's newest row is kept as state of its own, without any time limit: an older event never wins, however
+late it comes.  A batch gives only the rows that really changed, which become one run of the state's table; runs are
+merged on the way, so storage follows the keys and not the number of batches."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+import math
+from collections.abc import Callable, Iterator
 
-from sourcetrail.operators.cdc import latest_by
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+
+from sourcetrail.streaming.run_folders import RunFolders
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def sort_key(value):
+    """Orders values as Spark does: NULL first, NaN last, nested values field by field."""
+    if value is None:
+        return (0,)
+    if isinstance(value, float) and math.isnan(value):
+        return (2,)
+    if isinstance(value, (list, tuple)):
+        return (1, tuple(map(sort_key, value)))
+    if isinstance(value, dict):
+        return (1, tuple(map(sort_key, value.values())))
+    return (1, value)
+
+
+def newest_in_batch(keys: list[str], sequence_by: str):
+    """Reduces the events of an Arrow batch to the newest of each key, so a hot key crosses the network as one row
+    per batch and not as all its events."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = [n for n in batch.schema.names if n not in keys and n != sequence_by]
+            of = {n: batch.column(batch.schema.get_field_index(n)) for n in batch.schema.names}
+            places: dict[tuple, int] = {}
+            sequence = of[sequence_by]
+            if pa.types.is_timestamp(sequence.type):
+                sequence = sequence.cast(pa.int64())
+            when = [sort_key(v) for v in sequence.to_pylist()]
+
+            def others(i: int):
+                return [sort_key(of[n][i].as_py()) for n in rest]
+
+            for i, key in enumerate(zip(*(of[k].to_pylist() for k in keys), strict=True)):
+                j = places.setdefault(key, i)
+                if j != i and (when[i] > when[j] or (when[i] == when[j] and others(i) > others(j))):
+                    places[key] = i
+            yield batch.take(pa.array(sorted(places.values()), pa.int64()))
+
+    return run
+
+
+class LatestRow(StatefulProcessor):
+    """The newest row of a key; a batch that brings no newer one gives nothing."""
+
+    def __init__(self, schema: T.StructType, keys: list[str], sequence_by: str):
+        self.names = schema.names
+        self.keys = keys
+        self.held = [sequence_by, *(n for n in schema.names if n not in keys and n != sequence_by)]
+        self.fields = T.StructType([T.StructField(n, schema[n].dataType) for n in self.held])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.newest = handle.getValueState("newest", self.fields)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        before = tuple(self.newest.get()) if self.newest.exists() else None
+        best, best_key = before, sort_key(before) if before is not None else ()
+        for row in rows:
+            own = tuple(row[n] for n in self.held)
+            own_key = sort_key(own)
+            if own_key > best_key:
+                best, best_key = own, own_key
+        if before is None or best_key != sort_key(before):
+            self.newest.update(best)
+            values = {**dict(zip(self.keys, key)), **dict(zip(self.held, best))}
+            yield Row(**{n: values[n] for n in self.names})
+
+    def close(self) -> None:
+        pass
+
+
+def changed_rows(events: DataFrame, keys: list[str], sequence_by: str) -> DataFrame:
+    """Stream of rows that became the newest of their key."""
+    reduced = events.mapInArrow(newest_in_batch(keys, sequence_by), events.schema)
+    processor = LatestRow(events.schema, keys, sequence_by)
+    return reduced.groupBy(*keys).transformWithState(
+        statefulProcessor=processor, outputStructType=events.schema, outputMode="Update", timeMode="None"
+    )
 
 
 def start_latest_state(
-    events: DataFrame, keys: list[str], sequence_by: str, folder: str, checkpoint: str
+    events: DataFrame,
+    keys: list[str],
+    sequence_by: str,
+    folder: str,
+    checkpoint: str,
+    merge_after: int = 8,
+    on_change: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
+    """Bring the table in ``folder`` up to date with all events that have arrived, then stop.
+
+    ``on_change`` gets every batch's changed rows, read from where they were written, with the batch's number."""
+    spark = events.sparkSession
+    table = RunFolders(spark, folder, events.schema, keys, sequence_by)
+
     def keep(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
-
-    return (
-        latest_by(events, keys, sequence_by)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(keep)
-        .start()
-    )
+        table.add(changed, batch)
+        if on_change:
+            on_change(spark.read.schema(events.schema).parquet(table.path((batch, batch))), batch)
+        table.merge(merge_after)
+
+    usual = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKSDB)  # the only store for state of this kind; a query keeps what it was started with
+    try:
+        return (
+            changed_rows(events, keys, sequence_by)
+            .writeStream.outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(keep)
+            .start()
+        )
+    finally:
+        spark.conf.set(PROVIDER, usual)
 
 
 def read_latest_state(spark: SparkSession, folder: str, schema, keys: list[str], sequence_by: str) -> DataFrame:
-    """Current rows: the newest of what the batches wrote."""
-    return latest_by(spark.read.schema(schema).parquet(f"{folder}/batch=*"), keys, sequence_by)
+    """Current rows: the newest of every key over the runs."""
+    return RunFolders(spark, folder, schema, keys, sequence_by).read()
