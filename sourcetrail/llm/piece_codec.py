@@ -23,23 +23,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sourcetrail.llm.tables import Scratch, ship
+from sourcetrail.llm.tables import ship
 
 MARK = "▁"
 #: Characters of a block at least (its last document may be longer), and chunk numbers that one row holds at least.
-BLOCK_CHARS, ROW_NUMBERS = 16 << 20, 1 << 18
-#: Bytes of text whose distinct chunks one bucket takes.
-BUCKET_BYTES = 128 << 20
+BLOCK_CHARS, ROW_NUMBERS = 8 << 20, 1 << 18
+#: Bytes of text whose distinct chunks one bucket takes, and tasks at most of each exchange.
+BUCKET_BYTES, MOST_TASKS = 128 << 20, 50_000
 #: Chunks of a block whose numbers follow their frequency, as small numbers pack better.
 FREQUENT = 1 << 16
 
 _CHUNKS = re.compile(r" +[^ ]*")
 _CROSSING = re.compile(f"[^{MARK}]{MARK}")
-_ROWS = "block long, kind int, part int, doc_ids array<long>, sizes array<int>, data binary"
+#: route: where a row goes, a bucket's number, or -1 minus a block's number.
+_ROWS = "route long, block long, kind int, part int, doc_ids array<long>, sizes array<int>, data binary"
 _ARROW = pa.schema([
-    ("block", pa.int64()), ("kind", pa.int32()), ("part", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
-    ("sizes", pa.list_(pa.int32())), ("data", pa.binary()),
+    ("route", pa.int64()), ("block", pa.int64()), ("kind", pa.int32()), ("part", pa.int32()),
+    ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("data", pa.binary()),
 ])
+_IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 WORDS, ORDER, TEXTS = range(3)
 
 
@@ -113,9 +115,10 @@ class Block:
         bucket = np.fromiter((zlib.crc32(k.encode()) % buckets for k in keys), np.int64, len(keys))
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=buckets))
+        home = -1 - self.number
         for a, b in zip(cuts, cuts[1:]):
             data = _packed(MARK.join(keys[i] for i in order[a:b]).encode())
-            yield self.number, WORDS, int(bucket[order[a]]), None, None, data
+            yield int(bucket[order[a]]), self.number, WORDS, int(bucket[order[a]]), None, None, data
         # frequent chunks have the first numbers; the others follow in the order of the table
         places = np.empty(len(keys), np.uint32)
         places[order] = np.arange(len(keys), dtype=np.uint32)
@@ -123,13 +126,14 @@ class Block:
         frequent = np.argsort(-np.bincount(flat, minlength=len(keys)), kind="stable")[:FREQUENT]
         number = places + np.uint32(len(frequent))
         number[frequent] = np.arange(len(frequent), dtype=np.uint32)
-        yield self.number, ORDER, 0, None, None, _packed(places[frequent])
+        yield home, self.number, ORDER, 0, None, None, _packed(places[frequent])
         part, first, n = 0, 0, 0
         for i, a in enumerate(self.numbers):
             n += len(a)
             if n >= ROW_NUMBERS or i == len(self.numbers) - 1:
                 taken = self.numbers[first : i + 1]
-                yield self.number, TEXTS, part, self.doc_ids[first : i + 1], [len(t) for t in taken], _packed(number[np.concatenate(taken)])
+                data = _packed(number[np.concatenate(taken)])
+                yield home, self.number, TEXTS, part, self.doc_ids[first : i + 1], [len(t) for t in taken], data
                 part, first, n = part + 1, i + 1, 0
 
 
@@ -161,48 +165,46 @@ def _segmented(model: str):
         lone = sp.encode("a ")[len(sp.encode("a")) :]  # a marker with nothing behind it; the library puts one before any text
         bucket, table = None, {}
         for batch in batches:
-            for row in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(5), strict=True):
-                if row[1] != bucket:
-                    bucket, table = row[1], {"": np.array(lone, "<u4")}
-                keys = _unpacked(row[2].as_py())[0].decode().split(MARK)
+            routes, blocks, kinds = (batch.column(i).to_pylist() for i in range(3))
+            for route, block, kind, data in zip(routes, blocks, kinds, batch.column(6), strict=True):
+                if kind != WORDS:
+                    continue
+                if route != bucket:
+                    bucket, table = route, {"": np.array(lone, "<u4")}
+                keys = _unpacked(data.as_py())[0].decode().split(MARK)
                 new = [k for k in keys if k not in table]
                 for k, ids in zip(new, sp.encode(new, num_threads=1) if new else [], strict=True):
                     table[k] = np.array(ids, "<u4")
                 found = [table[k] for k in keys]
                 sizes = np.fromiter(map(len, found), np.uint32, len(found))
-                yield _batch((row[0], WORDS, row[1], None, None, _packed(sizes, np.concatenate(found))))
+                yield _batch((-1 - block, block, WORDS, route, None, None, _packed(sizes, np.concatenate(found))))
 
     return run
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by block, kind, part: first the ids of the chunks, then the documents that hold them."""
-    block, sizes, ids, taken = None, [], [], None
-    for batch in batches:
-        columns = [batch.column(i).to_pylist() for i in range(5)]
-        for number, kind, _, doc_ids, lengths, data in zip(*columns, batch.column(5), strict=True):
-            if number != block:
-                block, sizes, ids, taken = number, [], [], None
-            parts = _unpacked(data.as_py())
-            if kind == WORDS:
-                sizes.append(_numbers(parts[0]))
-                ids.append(_numbers(parts[1]))
-                continue
-            if kind == ORDER:
-                own = np.concatenate([*sizes, np.empty(0, np.uint32)]).astype(np.int64)
-                flat = np.concatenate([*ids, np.empty(0, np.uint32)]).astype(np.int32)
-                places = np.concatenate([_numbers(parts[0]), np.arange(len(own), dtype=np.uint32)])
-                starts = (np.cumsum(own) - own)[places]
-                taken = starts, own[places]
-                continue
-            numbers = _numbers(parts[0])
-            starts, counts = taken[0][numbers], taken[1][numbers]
-            ends = np.cumsum(counts)
-            values = flat[np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
-            at = np.concatenate([[0], np.cumsum(lengths)])
-            offsets = np.concatenate([[0], ends])[at].astype(np.int32)
-            arrays = [pa.array(doc_ids, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids"])
+def _joined(block: pa.Table, words: pa.Table) -> pa.Table:
+    """The documents of a block with the ids of their chunks, by position."""
+    if not block.num_rows or block["kind"][0].as_py() == WORDS:
+        return _IDS.empty_table()
+    order = np.argsort(words["part"].to_numpy(), kind="stable").tolist()
+    parts = [_unpacked(words["data"][i].as_py()) for i in order]
+    sizes = np.concatenate([_numbers(p[0]) for p in parts] + [np.empty(0, np.uint32)]).astype(np.int64)
+    ids = np.concatenate([_numbers(p[1]) for p in parts] + [np.empty(0, np.uint32)]).astype(np.int32)
+    kinds = block["kind"].to_pylist()
+    frequent = _numbers(_unpacked(block["data"][kinds.index(ORDER)].as_py())[0])
+    places = np.concatenate([frequent, np.arange(len(sizes), dtype=np.uint32)])
+    starts, counts = (np.cumsum(sizes) - sizes)[places], sizes[places]
+    out = []
+    for i in (i for i, kind in enumerate(kinds) if kind == TEXTS):
+        numbers = _numbers(_unpacked(block["data"][i].as_py())[0])
+        begin, many = starts[numbers], counts[numbers]
+        ends = np.cumsum(many)
+        values = ids[np.repeat(begin - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)]
+        at = np.concatenate([[0], np.cumsum(block["sizes"][i].as_py())])
+        offsets = np.concatenate([[0], ends])[at].astype(np.int32)
+        arrays = [pa.array(block["doc_ids"][i].as_py(), pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))]
+        out.append(pa.RecordBatch.from_arrays(arrays, schema=_IDS))
+    return pa.Table.from_batches(out, schema=_IDS)
 
 
 def encode(docs: DataFrame, model: str, block_chars: int = BLOCK_CHARS, least_buckets: int = 32) -> DataFrame:
@@ -218,15 +220,11 @@ def encode(docs: DataFrame, model: str, block_chars: int = BLOCK_CHARS, least_bu
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(least_buckets, size // BUCKET_BYTES)
-    scratch = Scratch()
-    blocks = scratch.written(docs.mapInArrow(_blocks(buckets, not chunks_are_apart(model), block_chars), _ROWS), "piece-blocks")
-    words = blocks.where(F.col("kind") == WORDS).repartition(buckets, "part").sortWithinPartitions("part")
-    found = words.mapInArrow(_segmented(model), _ROWS)
-    n = blocks.where(F.col("kind") == ORDER).count()
-    tasks = max(1, -(-n // 4), min(n, 2 * spark.sparkContext.defaultParallelism))
-    rows = found.union(blocks.where(F.col("kind") != WORDS)).repartition(tasks, "block")
-    rows = rows.sortWithinPartitions("block", "kind", "part")
-    return rows.mapInArrow(_joined, "doc_id long, ids array<int>")
+    tasks = min(max(buckets, size // BLOCK_CHARS), MOST_TASKS)
+    # both exchanges go by the same key: documents as numbers move once, and their chunks' ids come to them
+    blocks = docs.mapInArrow(_blocks(buckets, not chunks_are_apart(model), block_chars), _ROWS).repartition(tasks, "route")
+    words = blocks.sortWithinPartitions("route").mapInArrow(_segmented(model), _ROWS).repartition(tasks, "route")
+    return blocks.groupBy("route").cogroup(words.groupBy("route")).applyInArrow(_joined, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from sourcetrail.llm import piece_codec
@@ -40,9 +41,11 @@ def test_blocks_of_several_rows(monkeypatch):
     for i, t in enumerate(TEXTS):
         block.add(i, t or "")
     rows = list(block.rows(3))
-    words = list(piece_codec._segmented(MODEL)(piece_codec._batch(r) for r in rows if r[1] == piece_codec.WORDS))
-    rest = [piece_codec._batch(r) for r in rows if r[1] != piece_codec.WORDS]
-    found = [ids for b in piece_codec._joined(iter(words + rest)) for ids in b.column(1).to_pylist()]
+    words = piece_codec._segmented(MODEL)(piece_codec._batch(r) for r in rows)
+    own = [piece_codec._batch(r) for r in rows if r[0] < 0]
+    table = piece_codec._joined(pa.Table.from_batches(own), pa.Table.from_batches(words))
+    assert table["doc_id"].to_pylist() == list(range(len(TEXTS)))
+    found = table["ids"].to_pylist()
     sp = piece_codec.processor(MODEL)
     assert found == [sp.encode(t or "") for t in TEXTS]
 
