@@ -282,3 +282,62 @@ def expected_list(measured: DataFrame) -> DataFrame:
             "expected_page",
         )
     )
+
+
+def moment(column: str) -> Column:
+    return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def feed_lines(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The lines of one feed, one per event: some are cut off, some lack a key, some hold a number in quotes."""
+    events = table(spark, folder, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k, user = F.col("k"), F.col("user_id").cast("string")
+    keyed = F.when(k % 31 != 0, moment("ts"))
+    review = review_of(F.col("user_id")).alias("review_id")
+
+    def digest(kind: str) -> Column:
+        return F.sha2(F.concat(F.lit(kind), user), 256)
+
+    fields = {
+        "cases": [
+            F.when(k % 31 != 0, case_of(F.col("user_id"))).alias("case_id"), review,
+            F.when(k % 7 == 0, "REAL").otherwise("SYNTHETIC").alias("data_classification"),
+            F.col("event_type").alias("scenario"), moment("ts").alias("created_at"),
+            k.alias("manual_review_seconds_baseline"),
+        ],
+        "classifier_decisions": [
+            F.concat_ws("-", F.lit("f"), user, "event_type").alias("finding_id"), review,
+            F.when(k % 13 != 0, F.col("value") > 20).alias("needs_review"),
+            F.element_at(F.array(*map(F.lit, ("Alta", "MEDIA", "baixa", "urgente"))), k % 4 + 1).alias("priority"),
+            (F.col("value") < 50).alias("is_clear"), F.lit("m1").alias("classifier_model"),
+            F.lit("q1").alias("classifier_prompt_version"), digest("request").alias("classifier_request_hash"),
+            F.lit("{}").alias("classifier_raw_answers"), F.when(k % 17 != 0, k % 5 != 0).alias("classifier_response_valid"),
+            F.lit(WORKFLOW).alias("workflow_version"), keyed.alias("decided_at"),
+        ],
+        "review_decisions": [
+            review, F.when(F.col("event_type") == "signup", "Review").when(F.col("event_type") == "error", "page").otherwise("finding").alias("scope"),
+            F.when(F.col("value") > 5, F.concat(F.lit("f"), k.cast("string"))).alias("finding_id"),
+            F.when(F.col("event_type") == "signup", "signoff").when(F.col("event_type") == "view", "correct").otherwise("Confirm").alias("action"),
+            F.when(F.col("value") > 50, F.col("value")).alias("corrected_value"), F.lit(None).cast("string").alias("corrected_unit"),
+            F.lit("reviewer-1").alias("reviewer_tech_id"), keyed.alias("decided_at"),
+        ],
+        "attestations": [
+            review, F.when(k % 11 == 0, "mainnet").otherwise("devnet").alias("cluster"), F.lit("program").alias("program_id"),
+            F.concat(F.lit("pda-"), user).alias("pda_address"), F.when(k % 23 != 0, F.concat(F.lit("tx-"), k.cast("string"))).alias("tx_signature"),
+            F.when(k % 41 == 0, "0x").otherwise(digest("in")).alias("input_hash"), digest("an").alias("analysis_hash"),
+            digest("rv").alias("reviewed_hash"), F.lit(WORKFLOW).alias("workflow_version"), F.lit("m1").alias("model_version"),
+            F.lit("SUBMITTED").alias("status"), F.lit("reviewer-1").alias("reviewer_tech_id"), keyed.alias("submitted_at"),
+        ],
+        "attestation_verifications": [
+            review, F.concat(F.lit("pda-"), user).alias("pda_address"), F.concat(F.lit("tx-"), k.cast("string")).alias("tx_signature"),
+            (k % 3 == 0).alias("account_found"), (k % 2 == 0).alias("tx_confirmed"), digest("in").alias("onchain_input_hash"), digest("an").alias("onchain_analysis_hash"), digest("rv").alias("onchain_reviewed_hash"),
+            F.lit("ATTESTED").alias("onchain_status"), k.cast("long").alias("slot"), F.when(k % 5 == 0, "slow").alias("error"),
+            keyed.alias("verified_at"),
+        ],
+    }
+    line = F.to_json(F.struct(*fields[name]))
+    for number in ("manual_review_seconds_baseline", "slot"):
+        bare = F.concat(F.lit(f'"{number}":'), k.cast("string"))
+        quoted = F.concat(F.lit(f'"{number}":"'), k.cast("string"), F.lit('"'))
+        line = F.when(k % 19 == 0, F.replace(line, bare, quoted)).otherwise(line)
+    return events.select(F.when(F.col("event_id") % 29 == 0, F.concat(F.lit("#"), line)).otherwise(line).alias("value"))

@@ -534,13 +534,15 @@ ORACLES: dict[str, str] = {
     "upload_gate": f"""SELECT d.doc_id, CAST(strlen(text) AS BIGINT) AS size_bytes, CAST(CASE WHEN strlen(text) > 8000 THEN 413 WHEN lang = 'de' THEN 415
         WHEN NOT contains({folded('text')}, 'tion') THEN 422 WHEN l.doc_id IS NOT NULL THEN 409 ELSE 201 END AS INTEGER) AS outcome
       FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = d.doc_id""",
-    "rescued_feed": r"""SELECT CASE WHEN ok THEN event_id END AS event_id, CASE WHEN ok THEN user_id END AS user_id,
-        CASE WHEN ok THEN event_type END AS event_type, CASE WHEN ok AND event_type <> 'error' THEN value END AS value,
+    # one value per kind of line; the text of a broken line is written out
+    "rescued_feed": r"""SELECT CASE WHEN whole THEN event_id END AS event_id, CASE WHEN whole THEN user_id END AS user_id,
+        CASE WHEN whole THEN event_type END AS event_type, CASE WHEN event_type IN ('view', 'purchase') THEN value END AS value,
         CASE event_type WHEN 'error' THEN '{"value":"n/a"}' WHEN 'view' THEN '{"extra":"x"}'
+          WHEN 'click' THEN '{"value":"' || CAST(value AS VARCHAR) || '"}'
           WHEN 'signup' THEN '{"_corrupt_record":"#{\"event_id\":' || event_id || ',\"user_id\":' || user_id
-            || ',\"event_type\":\"signup\",\"value\":\"' || CAST(value AS VARCHAR) || '\"}"}' END AS _rescued_data,
+            || ',\"event_type\":\"signup\",\"value\":' || CAST(value AS VARCHAR) || '}"}' END AS _rescued_data,
         event_id AS source_id
-      FROM (SELECT *, event_type <> 'signup' AS ok FROM events)""",
+      FROM (SELECT *, event_type <> 'signup' AS whole FROM events)""",
     "table_export": """SELECT '{"r_name":"' || r_name || '","n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '","note":null}' AS value
       FROM region LEFT JOIN nation ON n_regionkey = r_regionkey""",
     "unseen_contents": """SELECT DISTINCT sha256(text) AS content_hash FROM documents
@@ -680,3 +682,83 @@ ORACLES: dict[str, str] = {
 # tables brought up to date batch by batch hold what a full build holds
 ORACLES["refreshed_timeline"] = ORACLES["timeline"]
 ORACLES["refreshed_comparison"] = ORACLES["temporal_comparison"]
+
+# --- feeds: every event is a line; a line cut off has no values at all
+_USER_HASH = "sha256('{0}' || user_id)"
+_FEED_ROWS = {
+    "cases": """SELECT CASE WHEN k % 31 <> 0 THEN 'C' || user_id END AS case_id, 'R' || user_id AS review_id,
+        CASE WHEN k % 7 = 0 THEN 'REAL' ELSE 'SYNTHETIC' END AS data_classification, event_type AS scenario, ts AS created_at,
+        CASE WHEN k % 19 <> 0 THEN CAST(k AS INTEGER) END AS manual_review_seconds_baseline""",
+    "classifier_decisions": f"""SELECT 'f-' || user_id || '-' || event_type AS finding_id, 'R' || user_id AS review_id, needs_review,
+        priority, value < 50 AS is_clear, 'm1' AS classifier_model, 'q1' AS classifier_prompt_version,
+        {_USER_HASH.format("request")} AS classifier_request_hash, '{{}}' AS classifier_raw_answers,
+        coalesce(k % 17 <> 0 AND k % 5 <> 0, false) AND priority <> 'urgente' AND needs_review IS NOT NULL AS classifier_response_valid,
+        'review-wf-1.0.0' AS workflow_version, CASE WHEN k % 31 <> 0 THEN ts END AS decided_at""",
+    "review_decisions": """SELECT 'R' || user_id AS review_id,
+        CASE event_type WHEN 'signup' THEN 'REVIEW' WHEN 'error' THEN 'PAGE' ELSE 'FINDING' END AS scope,
+        CASE WHEN event_type = 'signup' THEN '__REVIEW__' WHEN value > 5 THEN 'f' || k END AS finding_id,
+        CASE event_type WHEN 'signup' THEN 'SIGNOFF' WHEN 'view' THEN 'CORRECT' ELSE 'CONFIRM' END AS action,
+        CASE WHEN value > 50 THEN value END AS corrected_value, CAST(NULL AS VARCHAR) AS corrected_unit,
+        'reviewer-1' AS reviewer_tech_id, CASE WHEN k % 31 <> 0 THEN ts END AS decided_at""",
+    "attestations": f"""SELECT 'R' || user_id AS review_id, CASE WHEN k % 11 = 0 THEN 'mainnet' ELSE 'devnet' END AS cluster,
+        'program' AS program_id, 'pda-' || user_id AS pda_address, CASE WHEN k % 23 <> 0 THEN 'tx-' || k END AS tx_signature,
+        CASE WHEN k % 41 = 0 THEN '0x' ELSE {_USER_HASH.format("in")} END AS input_hash, {_USER_HASH.format("an")} AS analysis_hash,
+        {_USER_HASH.format("rv")} AS reviewed_hash, 'review-wf-1.0.0' AS workflow_version, 'm1' AS model_version,
+        'SUBMITTED' AS status, 'reviewer-1' AS reviewer_tech_id, CASE WHEN k % 31 <> 0 THEN ts END AS submitted_at""",
+    "attestation_verifications": f"""SELECT 'R' || user_id AS review_id, 'pda-' || user_id AS pda_address, 'tx-' || k AS tx_signature, k % 3 = 0 AS account_found,
+        k % 2 = 0 AS tx_confirmed, {_USER_HASH.format("in")} AS onchain_input_hash, {_USER_HASH.format("an")} AS onchain_analysis_hash,
+        {_USER_HASH.format("rv")} AS onchain_reviewed_hash, 'ATTESTED' AS onchain_status,
+        CASE WHEN k % 19 <> 0 THEN CAST(k AS BIGINT) END AS slot, CASE WHEN k % 5 = 0 THEN 'slow' END AS error,
+        CASE WHEN k % 31 <> 0 THEN ts END AS verified_at""",
+}
+#: conditions of the rules (a row is dropped) and the warnings (it stays), for a line that is whole
+_FEED_RULES = {
+    "cases": {"has_keys": "case_id IS NOT NULL", "has_ts": "true"},
+    "classifier_decisions": {"has_keys": "decided_at IS NOT NULL"},
+    "review_decisions": {
+        "has_keys": "decided_at IS NOT NULL",
+        "valid_scope_action": "scope = 'REVIEW' OR (scope = 'FINDING' AND finding_id IS NOT NULL)",
+        "correction_has_value": "action <> 'CORRECT' OR corrected_value IS NOT NULL",
+    },
+    "attestations": {
+        "has_keys": "submitted_at IS NOT NULL", "has_tx": "tx_signature IS NOT NULL", "devnet_only": "cluster = 'devnet'",
+        "hashes_are_sha256": "input_hash <> '0x'",
+    },
+    "attestation_verifications": {"has_keys": "verified_at IS NOT NULL"},
+}
+_FEED_WARNINGS = {
+    "cases": {"declared_synthetic": "data_classification = 'SYNTHETIC'"},
+    "classifier_decisions": {"schema_ok": "priority <> 'urgente' AND needs_review IS NOT NULL"},
+}
+_FEED_KEYS = {
+    "cases": ("case_id", "created_at"), "classifier_decisions": ("finding_id", "decided_at"),
+    "review_decisions": ("review_id, finding_id", "decided_at"), "attestations": ("review_id", "submitted_at"),
+    "attestation_verifications": ("review_id", "verified_at"),
+}
+
+
+def _feed_lines(name: str) -> str:
+    answers = """SELECT *, CASE WHEN k % 13 <> 0 THEN value > 20 END AS needs_review,
+        CASE k % 4 WHEN 0 THEN 'alta' WHEN 1 THEN 'media' WHEN 2 THEN 'baixa' ELSE 'urgente' END AS priority FROM e"""
+    return f"{_FEED_ROWS[name]}, event_id % 29 <> 0 AS whole FROM ({answers})"
+
+
+def _feed_current(name: str) -> str:
+    keys, sequence = _FEED_KEYS[name]
+    good = " AND ".join(f"({rule})" for rule in ["whole", *_FEED_RULES[name].values()])
+    return with_ctes(["e"], latest(f"(SELECT * FROM ({_feed_lines(name)}) WHERE {good})", keys, sequence, "* EXCLUDE (whole)"))
+
+
+for _name in _FEED_ROWS:
+    ORACLES[f"feed_{_name}"] = _feed_current(_name)
+ORACLES["feed_expectations"] = with_ctes(["e"], " UNION ALL ".join(
+    f"""SELECT '{feed}' AS source, '{rule}' AS rule, '{action}' AS action, count(*) AS n_rows,
+      count(*) FILTER (coalesce(NOT (whole AND ({condition})), true)) AS n_failed FROM ({_feed_lines(feed)})"""
+    for action, sets in (("drop", _FEED_RULES), ("warn", _FEED_WARNINGS)) for feed, rules in sets.items() for rule, condition in rules.items()
+))
+ORACLES["feed_quarantine"] = with_ctes(["e"], " UNION ALL ".join(
+    f"""SELECT '{feed}' AS feed, concat_ws(',', {", ".join(
+        f"CASE WHEN coalesce(NOT (whole AND ({condition})), true) THEN '{rule}' END" for rule, condition in rules.items()
+      )}) AS broken_rules, count(*) AS n_rows FROM ({_feed_lines(feed)}) GROUP BY 2 HAVING broken_rules <> ''"""
+    for feed, rules in _FEED_RULES.items()
+))

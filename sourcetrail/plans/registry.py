@@ -28,7 +28,7 @@ from sourcetrail.plans import driver_feeds as D
 from sourcetrail.plans import serve
 from sourcetrail.session import adapt, materialize, run_folder, spread
 from sourcetrail.sources import feeds
-from sourcetrail.streaming import case_tables, latest_state
+from sourcetrail.streaming import case_tables, feed_run, latest_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -263,18 +263,78 @@ def upload_gate(spark, folder):
 
 @query
 def rescued_feed(spark, folder):
-    """Events as JSON lines: some with an unknown field, some with a value of the wrong type."""
+    """Events as JSON lines: some with an unknown field, some with a text or a number in quotes for a number."""
     events = D.table(spark, folder, "events")
-    value = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    number = F.col("value").cast("string")
+    value = F.when(F.col("event_type") == "error", '"n/a"').when(F.col("event_type") == "click", F.concat(F.lit('"'), number, F.lit('"')))
     extra = F.when(F.col("event_type") == "view", F.lit("x"))
-    line = F.to_json(
-        F.struct(F.col("event_id"), F.col("user_id"), F.col("event_type"), value.alias("value"), extra.alias("extra"))
-    )
+    line = F.to_json(F.struct(F.col("event_id"), F.col("user_id"), F.col("event_type"), extra.alias("extra")))
+    line = F.concat(F.substr(line, F.lit(1), F.length(line) - 1), F.lit(',"value":'), value.otherwise(number), F.lit("}"))
     broken = F.when(F.col("event_type") == "signup", F.concat(F.lit("#"), line)).otherwise(line)
     lines = events.select(broken.alias("value"), F.col("event_id").alias("source_id"))
     return feeds.parse_feed(lines, "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE")
 
 
+def feed_run_of(spark, folder, names: list[str]) -> feed_run.FeedRun:
+    """The named feeds, landed as JSON lines and taken in."""
+    root = run_folder(spark, "feeds")
+    for name in names:
+        D.feed_lines(spark, folder, name).write.text(f"{root}/landing/{name}")
+    return feed_run.FeedRun(spark, f"{root}/landing", root)
+
+
+def current_feed(spark, folder, name: str) -> DataFrame:
+    run = feed_run_of(spark, folder, [name])
+    run.ingest("*.txt")
+    run.update(name)
+    return run.current(name)
+
+
+@query
+def feed_cases(spark, folder):
+    return current_feed(spark, folder, "cases")
+
+
+@query
+def feed_classifier_decisions(spark, folder):
+    return current_feed(spark, folder, "classifier_decisions")
+
+
+@query
+def feed_review_decisions(spark, folder):
+    return current_feed(spark, folder, "review_decisions")
+
+
+@query
+def feed_attestations(spark, folder):
+    return current_feed(spark, folder, "attestations")
+
+
+@query
+def feed_attestation_verifications(spark, folder):
+    return current_feed(spark, folder, "attestation_verifications")
+
+
+@query
+def feed_expectations(spark, folder):
+    """Rows seen and failed for every rule and warning of all feeds, counted while they were taken in."""
+    run = feed_run_of(spark, folder, list(feed_run.review_feeds()))
+    run.ingest("*.txt")
+    return run.counts()
+
+
+@query
+def feed_quarantine(spark, folder):
+    """How many rows of each feed were kept out, by the rules they break."""
+    run = feed_run_of(spark, folder, list(feed_run.review_feeds()))
+    run.ingest("*.txt")
+    kept_out = None
+    for name in run.feeds:
+        rows = run.quarantined(name).select(F.lit(name).alias("feed"), listed("broken_rules"))
+        kept_out = rows if kept_out is None else kept_out.union(rows)
+    return kept_out.groupBy("feed", "broken_rules").agg(F.count("*").alias("n_rows"))
+
+
 @query
 def table_export(spark, folder):
     joined = D.table(spark, folder, "region").join(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sourcetrail.operators import extract, quality
+from sourcetrail.operators.observed import stream_expect
 from sourcetrail.sources import feeds
 
 
@@ -24,10 +25,13 @@ def append_table(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQu
 def measurements_from_files(
     spark: SparkSession, landing: str, root: str, glob: str = "*.pdf", pages: Column | None = None
 ) -> None:
-    """documents -> pages -> measurements, each a table under ``root`` that only ever grows."""
+    """documents -> pages -> measurements, each a table under ``root`` that only ever grows.
+
+    Documents and measurements that break a warning stay; a ``StreamCounts`` listener has their numbers."""
     from pyspark.sql import functions as F
 
     documents = feeds.read_documents(spark, landing, glob, stream=True)
+    documents = stream_expect(documents, "documents", quality.document_rules())
     append_table(documents, f"{root}/documents", f"{root}/_checkpoints/documents").awaitTermination()
 
     stored = feeds.read_table(spark, f"{root}/documents", documents.schema, stream=True)
@@ -39,4 +43,5 @@ def measurements_from_files(
 
     page_stream = feeds.read_table(spark, f"{root}/pages", kept.schema, stream=True)
     found = quality.expect(extract.extract_measurements(page_stream), quality.measurement_rules(), "drop")
+    found = stream_expect(found, "measurements", quality.measurement_warnings())
     append_table(found, f"{root}/measurements", f"{root}/_checkpoints/measurements").awaitTermination()

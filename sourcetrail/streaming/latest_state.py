@@ -6,11 +6,13 @@ merged on the way, so storage follows the keys and not the number of batches."""
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -26,6 +28,8 @@ def sort_key(value):
         return (0,)
     if isinstance(value, float) and math.isnan(value):
         return (2,)
+    if isinstance(value, dt.datetime) and value.tzinfo is not None:
+        return (1, value.astimezone(dt.timezone.utc).replace(tzinfo=None))
     if isinstance(value, (list, tuple)):
         return (1, tuple(map(sort_key, value)))
     if isinstance(value, dict):
@@ -89,12 +93,16 @@ class LatestRow(StatefulProcessor):
 
 
 def changed_rows(events: DataFrame, keys: list[str], sequence_by: str) -> DataFrame:
-    """Stream of rows that became the newest of their key."""
-    reduced = events.mapInArrow(newest_in_batch(keys, sequence_by), events.schema)
-    processor = LatestRow(events.schema, keys, sequence_by)
-    return reduced.groupBy(*keys).transformWithState(
-        statefulProcessor=processor, outputStructType=events.schema, outputMode="Update", timeMode="None"
+    """Stream of rows that became the newest of their key.
+
+    Instants are kept as microseconds, as state and rows give them back in different time zones."""
+    instants = {f.name for f in events.schema if isinstance(f.dataType, T.TimestampType)}
+    plain = events.withColumns({n: F.unix_micros(n) for n in instants})
+    reduced = plain.mapInArrow(newest_in_batch(keys, sequence_by), plain.schema)
+    changed = reduced.groupBy(*keys).transformWithState(
+        statefulProcessor=LatestRow(plain.schema, keys, sequence_by), outputStructType=plain.schema, outputMode="Update", timeMode="None"
     )
+    return changed.withColumns({n: F.timestamp_micros(n) for n in instants})
 
 
 def start_latest_state(
