@@ -122,3 +122,19 @@ def ordered_digest(
     )
     streamed = streamed_digest(items.join(large.select(*keys), keys, "left_semi"), keys, separator, large)
     return gathered.unionByName(streamed)
+
+
+def tree_digest(items: DataFrame, keys: list[str], item: Column, digits: int = 4) -> DataFrame:
+    """Digest of the items of a group that no task needs to hold, whatever their number: keys, digest, n_items.
+
+    Items are hashed and dealt into leaves by the first hexadecimal ``digits`` of their hash.  A leaf's hash is over the
+    sorted hashes in it, the digest over the leaves' prefixes and hashes in order.  A group of any size spreads over
+    16 ** digits leaves, and its last step sees one hash for each.  It depends on the items and their repeats alone, not on
+    their order or on how they are partitioned; ``digits`` is part of its definition.  NULL items do not count; a group
+    without items has no row.  Keys may be NULL."""
+    hashed = items.select(*keys, F.sha2(item.cast("string"), 256).alias("h")).where("h is not null")
+    leaf = F.substring("h", 1, digits).alias("leaf")
+    inside = F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256)
+    leaves = hashed.groupBy(*keys, leaf).agg(inside.alias("h"), F.count("*").alias("n"))
+    ordered = F.array_join(F.sort_array(F.collect_list(F.concat("leaf", "h"))), "")
+    return leaves.groupBy(*keys).agg(F.sha2(ordered, 256).alias("digest"), F.sum("n").alias("n_items"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sourcetrail import contract as K
-from sourcetrail.operators.digest import GATHER_LIMIT, ordered_digest
+from sourcetrail.operators.digest import GATHER_LIMIT, ordered_digest, tree_digest
 from sourcetrail.operators.quality import expect, payload_rules
 from sourcetrail.session import materialize
 
@@ -75,6 +75,22 @@ def analysis_summary(queue: DataFrame, terms: K.Terms = K.DEFAULT_TERMS, limit:
     return counted.join(digest.withColumnRenamed("digest", "analysis_hash"), "case_id")
 
 
+def case_trees(documents: DataFrame, queue: DataFrame, terms: K.Terms = K.DEFAULT_TERMS) -> DataFrame:
+    """Tree digests of what a review rests on, beside its compatible hashes: case_id, part, digest, n_items.
+
+    The parts are the distinct contents of its documents, the analysis texts of its findings and the decisions on them.  A
+    case with a third of all rows is spread over the leaves of its trees."""
+    contents = documents.select("case_id", "input_hash").distinct()
+    decided = queue.where(F.col("reviewer_action").isNotNull())
+    parts = {
+        "input": tree_digest(contents, ["case_id"], F.col("input_hash")),
+        "analysis": tree_digest(queue, ["case_id"], analysis_json(terms)),
+        "decisions": tree_digest(decided, ["case_id"], decision_json()),
+    }
+    trees = [rows.select("case_id", F.lit(part).alias("part"), "digest", "n_items") for part, rows in parts.items()]
+    return trees[0].union(trees[1]).union(trees[2])
+
+
 def attestation_payload(
     cases: DataFrame,
     documents: DataFrame,

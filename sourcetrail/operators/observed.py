@@ -5,6 +5,9 @@ source, batch, rule, action, n_rows, n_failed."""
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
@@ -74,3 +77,15 @@ class StreamCounts(StreamingQueryListener):
 
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows(), SCHEMA)
+
+
+def fail_outcome(df: DataFrame, rules: Rules) -> str:
+    """What becomes of a run whose rules abort it: "passed", or the message of the first row that breaks one."""
+    try:
+        expect(df, rules, "fail").write.format("noop").mode("overwrite").save()
+    except PySparkException as error:
+        broken = re.search(r"expectation failed: \w+(?:, \w+)*", str(error))
+        if broken is None:
+            raise
+        return broken[0]
+    return "passed"

@@ -762,3 +762,29 @@ ORACLES["feed_quarantine"] = with_ctes(["e"], " UNION ALL ".join(
       )}) AS broken_rules, count(*) AS n_rows FROM ({_feed_lines(feed)}) GROUP BY 2 HAVING broken_rules <> ''"""
     for feed, rules in _FEED_RULES.items()
 ))
+
+
+def _tree(part: str, items: str) -> str:
+    return f"""SELECT case_id, '{part}' AS part, sha256(string_agg(leaf || h, '' ORDER BY leaf)) AS digest, CAST(sum(n) AS BIGINT) AS n_items
+      FROM (SELECT case_id, substr(h, 1, 4) AS leaf, sha256(string_agg(h, '' ORDER BY h)) AS h, count(*) AS n
+        FROM (SELECT case_id, sha256(item) AS h FROM ({items})) GROUP BY case_id, substr(h, 1, 4)) GROUP BY case_id"""
+
+
+ORACLES["case_trees"] = with_ctes(["queue", "e"], " UNION ALL ".join([
+    _tree("input", "SELECT DISTINCT 'C' || user_id AS case_id, sha256(event_type || '|' || k) AS item FROM e"),
+    _tree("analysis", f"SELECT case_id, {ANALYSIS} AS item FROM queue"),
+    _tree("decisions", f"SELECT case_id, {DECISION} AS item FROM queue WHERE reviewer_action IS NOT NULL"),
+]))
+ORACLES["warning_counts"] = with_ctes(["m", "found", "payload"], """
+  SELECT 'measurements' AS source, 'value_present_when_ok' AS rule, 'warn' AS action, count(*) AS n_rows,
+    count(*) FILTER (value_status = 'OK' AND value IS NULL) AS n_failed FROM m
+  UNION ALL SELECT 'findings', 'registered_case', 'warn', count(*), count(*) FILTER (review_id IS NULL) FROM found
+  UNION ALL SELECT 'payload', 'versions_fit_ledger', 'warn', count(*),
+    count(*) FILTER (strlen(workflow_version) > 32 OR strlen(model_version) > 32) FROM payload""")
+ORACLES["aborted_runs"] = " UNION ALL ".join(
+    f"SELECT '{source}' AS source, CASE WHEN bool_and({rule}) THEN 'passed' ELSE 'expectation failed: {name}' END AS outcome FROM {source}"
+    for source, name, rule in (
+        ("orders", "known_status", "o_orderstatus IN ('F', 'O', 'P')"), ("lineitem", "small_discount", "l_discount <= 0.05"),
+        ("documents", "has_words", "coalesce(n_chars > 0, false)"), ("events", "few_seconds", "coalesce(value < 50, false)"),
+    )
+)

@@ -19,6 +19,7 @@ from sourcetrail.operators import (
     findings,
     integrity,
     ledger,
+    observed,
     policy,
     quality,
     queue,
@@ -229,6 +230,19 @@ def expect_or_fail(spark, folder):
     return kept.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_orders"))
 
 
+@query
+def aborted_runs(spark, folder):
+    """Runs that end at the first row that breaks a rule, beside one that passes."""
+    watched = {
+        "orders": {"known_status": F.col("o_orderstatus").isin("F", "O", "P")},
+        "lineitem": {"small_discount": F.col("l_discount") <= 0.05},
+        "documents": {"has_words": F.col("n_chars") > 0},
+        "events": {"few_seconds": F.col("value") < 50},
+    }
+    outcomes = [(name, observed.fail_outcome(D.table(spark, folder, name), rules)) for name, rules in watched.items()]
+    return spark.createDataFrame(outcomes, "source string, outcome string")
+
+
 @query
 def contract_validation(spark, folder):
     """Case registrations taken from pages: their address gives the ids."""
@@ -508,6 +522,26 @@ def attestation_payload(spark, folder):
     return with_payload(spark, folder).payload
 
 
+@query
+def case_trees(spark, folder):
+    return integrity.case_trees(D.case_documents(spark, folder), with_queue(spark, folder).queue)
+
+
+@query
+def warning_counts(spark, folder):
+    """What the warnings on measurements, findings and payloads count in one run; the rows stay."""
+    r = with_payload(spark, folder)
+    counts = observed.BatchCounts()
+    watched = [
+        ("measurements", r.measured, quality.measurement_warnings()),
+        ("findings", r.heads, quality.finding_warnings()),
+        ("payload", r.payload, quality.payload_warnings()),
+    ]
+    for source, rows, rules in watched:
+        counts.observe(rows, source, rules).write.format("noop").mode("overwrite").save()
+    return counts.table(spark).drop("batch")
+
+
 @query
 def review_status(spark, folder):
     return with_status(spark, folder).status
