@@ -8,21 +8,18 @@ from pyspark.sql import functions as F
 from sourcetrail import contract as K
 
 KEY = ["case_id", "finding_type", "finding_subtype", "test_code", "exam_date"]
-CHUNK_IDS = 1000
 
 
-def expected_vs_found(expected: DataFrame, rows: DataFrame, heads: DataFrame) -> DataFrame:
+def expected_vs_found(expected: DataFrame, sources: DataFrame, heads: DataFrame) -> DataFrame:
     """MATCHED, MISSED or EXTRA per key, and whether the expected page is among the sources.
 
     Findings are counted per key before any join, and pages are reduced to distinct pairs, so a
-    key with very many findings is as small as any other.  ``rows`` carry evidence, ``heads`` are
-    the same findings once each."""
+    key with very many findings is as small as any other.  ``sources`` have a row per entry of
+    evidence, ``heads`` one per finding; both have the key."""
     listed = expected.select("case_id").distinct()
     counted = heads.join(listed, "case_id", "left_semi").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_findings"))
     pages = (
-        rows.join(listed, "case_id", "left_semi")
-        .select(*KEY, F.explode("evidence.page_num").alias("page_num"))
-        .distinct()
+        sources.join(listed, "case_id", "left_semi").select(*KEY, "page_num").distinct()
     )
     unknown_page = pages.where(F.col("page_num").isNull()).select(*KEY, F.lit(True).alias("__unknown"))
 
@@ -62,16 +59,24 @@ def expected_vs_found(expected: DataFrame, rows: DataFrame, heads: DataFrame) ->
     )
 
 
-def found_ids(heads: DataFrame, chunk: int = CHUNK_IDS) -> DataFrame:
-    """Ids of the findings behind a key, in arrays of about ``chunk`` ids."""
+def found_ids(heads: DataFrame) -> DataFrame:
+    """The findings behind every key, one row per id, with how many the key has.
+
+    The count comes from an aggregate of its own: no task holds the ids of a key."""
     sizes = heads.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_findings"))
-    renamed = sizes.select(*[F.col(c).alias(f"__{c}") for c in KEY], "n_findings")
+    return _with_key(heads.select(*KEY, "finding_id"), sizes)
+
+
+def outcome_ids(outcomes: DataFrame, heads: DataFrame) -> DataFrame:
+    """The findings behind every outcome, one row per id; a missed key has none."""
+    return _with_key(heads.select(*KEY, "finding_id"), outcomes.select(*KEY, "outcome"))
+
+
+def _with_key(rows: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Rows joined with what their key has; a key's test and date may be missing."""
+    renamed = keyed.select(*[F.col(c).alias(f"__{c}") for c in KEY], *[c for c in keyed.columns if c not in KEY])
     on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in KEY]
-    n_chunks = F.ceil(F.col("n_findings") / chunk).cast("int")
-    placed = heads.join(renamed, on).withColumn("chunk_no", F.pmod(F.xxhash64("finding_id"), n_chunks).cast("int"))
-    return placed.groupBy(*KEY, "n_findings", "chunk_no").agg(
-        F.sort_array(F.collect_list("finding_id")).alias("finding_ids")
-    )
+    return rows.join(renamed, on).drop(*[f"__{c}" for c in KEY])
 
 
 def share(part: str, whole: str) -> Column:

@@ -1,18 +1,18 @@
 """Timeline, conflicts, changes over time and gaps of measurements.
 
-Grouped results hold counts and keys only.  The evidence behind them is attached as chunked arrays:
-a group gets as many rows as its size needs, so even a group with a third of all measurements
-is spread over many tasks and nothing is left out."""
+Grouped results hold counts and keys only.  The evidence behind them is a table of its own with one row
+per entry, so even a group with a third of all measurements is spread over many tasks and nothing is left out."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sourcetrail import contract as K
 
 GROUP = ["case_id", "test_code", "exam_date"]
-CHUNK_ROWS = 1000
 
 
 def evidence_struct(**changed: Column) -> Column:
@@ -154,76 +154,37 @@ def temporal_comparison(dated: DataFrame) -> DataFrame:
     )
 
 
-def attach_evidence(
-    groups: DataFrame, keys: list[str], dates: Column, measurements: DataFrame, chunk: int = CHUNK_ROWS
-) -> DataFrame:
-    """Evidence of every group, collected into arrays of about ``chunk`` entries.
-
-    ``groups`` has the unique ``keys``, ``n_evidence`` and further columns, which are carried along;
-    ``dates`` lists the dates whose measurements count.  A group with up to ``chunk`` entries is one
-    row.  A larger one gives several rows, told apart by ``chunk_no``: measurements fall into chunks by
-    a hash of their place, so no task ever holds a whole large group.  ``sources`` also keeps the
-    stated value and unit of every entry."""
-    carried = [c for c in groups.columns if c not in keys]
-    wanted = groups.select(
-        *keys,
-        F.struct(*carried).alias("__carried"),
-        F.ceil(F.col("n_evidence") / chunk).cast("int").alias("n_chunks"),
-        F.explode(dates).alias("__date"),
-    )
-    entry = F.struct(
-        F.col("exam_date").alias("date"),
-        *K.EVIDENCE_FIELDS,
-        "value_raw",
-        "unit",
-    )
-    rows = usable(measurements).select(
-        "case_id",
-        "test_code",
-        F.col("exam_date").alias("__date"),
-        entry.alias("__entry"),
-        F.xxhash64("document_id", "page_num", "line_no", "char_start").alias("__place"),
-    )
-    collected = (
-        wanted.join(rows, ["case_id", "test_code", "__date"])
-        .groupBy(*keys, "n_chunks", F.pmod("__place", "n_chunks").cast("int").alias("chunk_no"))
-        .agg(F.first("__carried").alias("__carried"), F.sort_array(F.collect_list("__entry")).alias("sources"))
+def evidence_of(groups: DataFrame, keys: list[str], dates: Column, measurements: DataFrame) -> DataFrame:
+    """Evidence of every group, one row per entry: the keys, the date it is of, its fields, stated value and unit.
+
+    ``dates`` lists the dates of a group whose measurements count; ``keys`` hold its case and test."""
+    wanted = groups.select(*keys, F.explode(dates).alias("evidence_date"))
+    entries = usable(measurements).select(
+        "case_id", "test_code", F.col("exam_date").alias("evidence_date"), *K.EVIDENCE_FIELDS, "value_raw", "unit"
     )
-    pointers = F.transform("sources", lambda s: F.struct(*[s[name].alias(name) for name in K.EVIDENCE_FIELDS]))
-    return collected.select(*keys, "__carried.*", "n_chunks", "chunk_no", "sources", pointers.alias("evidence"))
-
-
-def conflict_versions(attached: DataFrame) -> DataFrame:
-    """Conflicts with their distinct stated versions next to the evidence."""
-    versions = F.array_distinct(
-        F.transform(
-            "sources",
-            lambda s: F.struct(
-                s["value_raw"].alias("value_raw"),
-                s["unit"].alias("unit"),
-                s["document_id"].alias("document_id"),
-                s["page_num"].alias("page_num"),
-            ),
-        )
+    rows = wanted.join(entries, ["case_id", "test_code", "evidence_date"])
+    return rows.select(*keys, "evidence_date", *K.EVIDENCE_FIELDS, "value_raw", "unit")
+
+
+def comparison_evidence(comparison: DataFrame, measurements: DataFrame) -> DataFrame:
+    """Evidence of every compared pair of dates, of the earlier date and of the later one."""
+    return evidence_of(comparison, GROUP, F.array("previous_date", "exam_date"), measurements)
+
+
+def joined_versions(evidence: DataFrame, keys: list[str], text: Callable[[], Column], separator: str) -> DataFrame:
+    """``versions``: the distinct stated versions of a group as one text, in the order in which documents state them.
+
+    Versions are reduced to distinct ones, joined per document, and the documents' texts then joined in order: the last
+    step sees one text per document of the group, and the whole stands once, beside the group."""
+    stated = ["document_id", "page_num", "value_raw", "unit"]
+    first = evidence.groupBy(*keys, *stated).agg(F.min("line_no").alias("line"), F.min("char_start").alias("char"))
+    own = F.struct("page_num", "line", "char", "value_raw", "unit", text().alias("text"))
+    documents = first.groupBy(*keys, "document_id").agg(F.sort_array(F.collect_list(own)).alias("own"))
+    documents = documents.select(
+        *keys, F.struct("document_id", F.array_join(F.transform("own", lambda v: v["text"]), separator).alias("text")).alias("d")
     )
-    return attached.withColumn("versions", versions).drop("sources")
-
-
-def attach_versions(
-    groups: DataFrame, keys: list[str], dates: Column, measurements: DataFrame, chunk: int = CHUNK_ROWS
-) -> DataFrame:
-    """``attach_evidence`` with the distinct stated versions of the whole group on every row of it.
-
-    ``keys`` are not NULL.  Only the evidence of a large group is chunked: its versions are reduced to
-    distinct ones before they meet, in the order in which the sorted evidence first states them."""
-    small = attach_evidence(groups.where(F.col("n_evidence") <= chunk), keys, dates, measurements, chunk)
-    large = attach_evidence(groups.where(F.col("n_evidence") > chunk), keys, dates, measurements, chunk)
-    stated = ["value_raw", "unit", "document_id", "page_num"]
-    entries = large.select(*keys, F.explode("sources").alias("s")).groupBy(*keys, *[F.col("s")[c].alias(c) for c in stated])
-    first = entries.agg(F.min("s").alias("first")).groupBy(*keys)
-    ordered = first.agg(F.array_sort(F.collect_list(F.struct("first", F.struct(*stated).alias("version")))).alias("all"))
-    whole = ordered.select(*keys, F.transform("all", lambda x: x["version"]).alias("versions"))
-    return conflict_versions(small).unionByName(large.drop("sources").join(whole, keys))
+    whole = documents.groupBy(*keys).agg(F.sort_array(F.collect_list("d")).alias("all"))
+    return whole.select(*keys, F.array_join(F.transform("all", lambda d: d["text"]), separator).alias("versions"))
 
 
 def _gap_list(conditions: dict[str, Column]) -> Column:

@@ -1,18 +1,30 @@
-"""Findings: the four kinds of things a reviewer has to look at, with deterministic ids."""
+"""Findings: the four kinds of things a reviewer has to look at, with deterministic ids.
+
+They come as two tables: heads, one row per finding, and sources, one row per entry of its evidence."""
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sourcetrail import contract as K
 from sourcetrail.operators import evidence as E
-from sourcetrail.operators.digest import streamed_digest
-from sourcetrail.operators.quality import expect, finding_rules
+from sourcetrail.operators.digest import GATHER_LIMIT, ordered_digest
+from sourcetrail.operators.quality import expect, finding_rules, source_rules
 from sourcetrail.session import materialize
 
 KEY = ["finding_type", "finding_subtype", "case_id", "test_code", "exam_date"]
-SHAPE = [*KEY, "summary", "evidence", "n_evidence", "chunk_no", "n_chunks"]
+HEAD = [*KEY, "summary", "n_evidence"]
+
+
+class Found(NamedTuple):
+    """heads: finding_id, the key, summary, n_evidence and, where cases are known, review_id.  sources: finding_id, the
+    key and the fields of one entry of evidence."""
+
+    heads: DataFrame
+    sources: DataFrame
 
 
 def _day(column: str) -> Column:
@@ -24,10 +36,8 @@ def _or_empty(column: str) -> Column:
 
 
 def _single(df: DataFrame) -> DataFrame:
-    """Findings that rest on exactly one entry."""
-    return df.withColumns({"n_evidence": F.lit(1).cast("long"), "chunk_no": F.lit(0), "n_chunks": F.lit(1)}).select(
-        *SHAPE
-    )
+    """Findings that rest on exactly one entry, which they hold as ``evidence``."""
+    return df.withColumn("n_evidence", F.lit(1).cast("long")).select(*HEAD, "evidence")
 
 
 def range_findings(measurements: DataFrame) -> DataFrame:
@@ -68,10 +78,6 @@ def _notable(threshold_pct: float) -> Column:
     return (F.col("direction") == "UNIT_CHANGED") | large
 
 
-def flagged_variations(comparison: DataFrame, threshold_pct: float = K.VARIATION_PCT) -> DataFrame:
-    return comparison.where(_notable(threshold_pct))
-
-
 def _variation_text() -> Column:
     changed_unit = F.format_string(
         K.UNIT_CHANGE_TEXT,
@@ -95,41 +101,20 @@ def _variation_text() -> Column:
     return F.when(F.col("finding_subtype") == "UNIT_CHANGED", changed_unit).otherwise(changed_value)
 
 
+def _version_text() -> Column:
+    unit = F.coalesce("unit", F.lit(""))
+    return F.concat("value_raw", F.lit(" "), unit, F.lit(" ("), "document_id", F.lit(" p."), F.col("page_num").cast("string"), F.lit(")"))
+
+
 def _conflict_text(terms: K.Terms) -> Column:
-    stated = F.transform(
-        "versions",
-        lambda v: F.concat(
-            v["value_raw"],
-            F.lit(" "),
-            F.coalesce(v["unit"], F.lit("")),
-            F.lit(" ("),
-            v["document_id"],
-            F.lit(" p."),
-            v["page_num"].cast("string"),
-            F.lit(")"),
-        ),
-    )
-    return F.format_string(
-        K.CONFLICT_TEXT.format(system=terms.system),
-        "test_name_raw",
-        _day("exam_date"),
-        "n_versions",
-        F.array_join(stated, "; "),
-    )
+    return F.format_string(K.CONFLICT_TEXT.format(system=terms.system), "test_name_raw", _day("exam_date"), "n_versions", "versions")
 
 
-def grouped_findings(
-    measurements: DataFrame,
-    dated: DataFrame,
-    terms: K.Terms = K.DEFAULT_TERMS,
-    threshold_pct: float = K.VARIATION_PCT,
-    chunk: int = E.CHUNK_ROWS,
-) -> DataFrame:
-    """Variations and conflicts together: both fetch their evidence in the same join."""
+def flagged_groups(dated: DataFrame, threshold_pct: float = K.VARIATION_PCT) -> DataFrame:
+    """Variations and conflicts, with the dates that are evidence of them."""
     conflict = F.col("n_versions") > 1
     varied = E.has_predecessor() & _notable(threshold_pct)
-    flagged = E.paired(dated).where(conflict | varied)
-    groups = flagged.select(
+    return E.paired(dated).where(conflict | varied).select(
         F.when(conflict, "CONFLICT").otherwise("TEMPORAL_VARIATION").alias("finding_type"),
         F.when(conflict, "DIVERGENT_VALUES").otherwise(F.col("direction")).alias("finding_subtype"),
         *E.GROUP,
@@ -146,17 +131,40 @@ def grouped_findings(
         .otherwise(F.col("n_evidence") + F.col("previous_evidence"))
         .alias("n_evidence"),
     )
+
+
+def grouped_findings(
+    measurements: DataFrame,
+    terms: K.Terms = K.DEFAULT_TERMS,
+    threshold_pct: float = K.VARIATION_PCT,
+    limit: int = GATHER_LIMIT,
+) -> Found:
+    """Variations and conflicts together: both fetch their evidence in the same join.
+
+    Groups and evidence are written once, as ids, texts and sources all read them."""
+    groups = materialize(flagged_groups(E.per_date(measurements), threshold_pct), "flagged-groups")
     dates = F.array_compact(F.array("previous_date", "exam_date"))
-    attached = E.attach_versions(groups, KEY, dates, measurements, chunk)
+    entries = materialize(E.evidence_of(groups, KEY, dates, measurements), "flagged-evidence")
+    texts = E.joined_versions(entries.where(F.col("finding_type") == "CONFLICT"), KEY, _version_text, "; ")
+    frame = groups.select(*KEY, _id_prefix().alias("prefix"), F.lit("").alias("suffix"), F.col("n_evidence").alias("n_items"))
+    ids = ordered_digest(entries, KEY, pointer_of(*POINTED), ",", frame, limit).withColumnRenamed("digest", "finding_id")
+    ids = materialize(ids, "finding-ids")
     summary = F.when(F.col("finding_type") == "CONFLICT", _conflict_text(terms)).otherwise(_variation_text())
-    return attached.withColumn("summary", summary).select(*SHAPE)
+    heads = groups.join(texts, KEY, "left").withColumn("summary", summary).select(*HEAD).join(ids, KEY)
+    return Found(heads.select("finding_id", *HEAD), entries.join(ids, KEY).select("finding_id", *KEY, *K.EVIDENCE_FIELDS))
 
 
-def pointer(entry: Column) -> Column:
+POINTED = ["document_id", "page_num", "char_start"]
+
+
+def pointer_of(document: Column | str, page: Column | str, start: Column | str) -> Column:
     """document:page:offset, leaving out what is unknown."""
-    return F.concat_ws(
-        ":", entry["document_id"], entry["page_num"].cast("string"), entry["char_start"].cast("string")
-    )
+    page, start = (F.col(c) if isinstance(c, str) else c for c in (page, start))
+    return F.concat_ws(":", document, page.cast("string"), start.cast("string"))
+
+
+def pointer(entry: Column) -> Column:
+    return pointer_of(*[entry[name] for name in POINTED])
 
 
 def _id_prefix() -> Column:
@@ -172,12 +180,9 @@ def with_finding_ids(rows: DataFrame) -> DataFrame:
     return rows.withColumn("finding_id", F.sha2(F.concat(_id_prefix(), pointers), 256))
 
 
-def with_chunked_ids(rows: DataFrame) -> DataFrame:
-    """Finding id of findings whose evidence is spread over several rows."""
-    pointers = rows.select(*KEY, F.explode(F.transform("evidence", pointer)).alias("item"))
-    frame = rows.select(*KEY).distinct().withColumns({"prefix": _id_prefix(), "suffix": F.lit("")})
-    ids = streamed_digest(pointers, KEY, ",", frame).withColumnRenamed("digest", "finding_id")
-    return rows.join(ids, KEY)
+def sources_of(rows: DataFrame) -> DataFrame:
+    """Sources of findings that hold their evidence."""
+    return rows.select("finding_id", *KEY, F.inline("evidence"))
 
 
 def findings(
@@ -186,34 +191,15 @@ def findings(
     cases: DataFrame | None = None,
     terms: K.Terms = K.DEFAULT_TERMS,
     threshold_pct: float = K.VARIATION_PCT,
-    chunk: int = E.CHUNK_ROWS,
-) -> DataFrame:
-    """All findings.  A finding with more than ``chunk`` evidence entries comes as several rows
-    that share its id and split its evidence (``chunk_no`` of at most ``n_chunks``).
-
-    The grouped findings are written once, because the two ways to their ids both read them."""
-    dated = E.per_date(measurements)
-    grouped = materialize(grouped_findings(measurements, dated, terms, threshold_pct, chunk), "grouped-findings")
-    whole = range_findings(measurements).unionByName(gap_findings(gaps))
-    whole = whole.unionByName(grouped.where(F.col("n_chunks") == 1))
-    rows = with_finding_ids(whole).unionByName(with_chunked_ids(grouped.where(F.col("n_chunks") > 1)))
-    if cases is None:
-        return rows
-    return expect(rows.join(cases.select("case_id", "review_id"), "case_id", "left"), finding_rules(), "fail")
-
-
-def finding_heads(rows: DataFrame) -> DataFrame:
-    """One row per finding without its evidence: the first chunk stands for the finding.
-
-    Chunks are filled by a hash, so chunk 0 might be empty in theory; the smallest number present
-    is taken by an aggregate where a finding has several rows, and directly where it has one."""
-    plain = [c for c in rows.columns if c not in ("evidence", "chunk_no")]
-    single = rows.where(F.col("n_chunks") == 1).select(*plain)
-    several = rows.where(F.col("n_chunks") > 1)
-    first = several.groupBy("finding_id").agg(F.min(F.struct("chunk_no", *[c for c in plain if c != "finding_id"])).alias("h"))
-    return single.unionByName(first.select("finding_id", "h.*").select(*plain))
-
-
-def evidence_rows(rows: DataFrame) -> DataFrame:
-    """Evidence in long form: one row per finding and entry."""
-    return rows.select("finding_id", F.inline("evidence"))
+    limit: int = GATHER_LIMIT,
+) -> Found:
+    """All findings.  One without a source, or of an unknown kind, aborts the run.
+
+    ``limit`` is how many pointers one task gathers for an id; beyond, they are sorted over the cluster, with equal ids."""
+    single = with_finding_ids(range_findings(measurements).unionByName(gap_findings(gaps)))
+    grouped = grouped_findings(measurements, terms, threshold_pct, limit)
+    heads = single.select("finding_id", *HEAD).unionByName(grouped.heads)
+    if cases is not None:
+        heads = heads.join(cases.select("case_id", "review_id"), "case_id", "left")
+    sources = sources_of(single).unionByName(grouped.sources)
+    return Found(expect(heads, finding_rules(), "fail"), expect(sources, source_rules(), "fail"))

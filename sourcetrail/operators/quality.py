@@ -158,11 +158,15 @@ def verification_rules() -> Rules:
 
 def finding_rules() -> Rules:
     return {
-        "every_finding_has_source": (F.size("evidence") > 0) & F.col("evidence")[0]["document_id"].isNotNull(),
+        "every_finding_has_source": F.col("n_evidence") > 0,
         "known_finding_type": F.col("finding_type").isin(K.FINDING_TYPES),
     }
 
 
+def source_rules() -> Rules:
+    return {"every_finding_has_source": filled("finding_id", "document_id")}
+
+
 def finding_warnings() -> Rules:
     return {"registered_case": filled("review_id")}
 

@@ -174,10 +174,10 @@ def written_measurements(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def written_findings(spark: SparkSession, folder: str) -> SimpleNamespace:
-    """Measurements, finding rows and finding heads, written once."""
+    """Measurements and finding heads, written once; sources for those who ask."""
     measured = written_measurements(spark, folder)
-    rows = materialize(findings.findings(measured, gaps(measured), cases(spark, folder)), "findings")
-    return SimpleNamespace(measured=measured, rows=rows, heads=findings.finding_heads(rows))
+    found = findings.findings(measured, gaps(measured), cases(spark, folder))
+    return SimpleNamespace(measured=measured, heads=materialize(found.heads, "findings"), sources=found.sources)
 
 
 def classifier_decisions(heads: DataFrame) -> DataFrame:

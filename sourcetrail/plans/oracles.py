@@ -155,7 +155,7 @@ BLOCKS: dict[str, tuple[list[str], str]] = {
             string_agg(value_raw || ' ' || coalesce(unit, '') || ' (' || document_id || ' p.' || page_num || ')', '; '
               ORDER BY document_id, page_num, first_line) AS texts,
             string_agg(value_raw || '/' || coalesce(unit, '') || '/' || document_id || '/' || page_num, ','
-              ORDER BY value_raw || '/' || coalesce(unit, '') || '/' || document_id || '/' || page_num) AS versions
+              ORDER BY document_id, page_num, first_line) AS versions
         FROM stated GROUP BY ALL""",
     ),
     "sources": (
@@ -470,12 +470,22 @@ ORACLES: dict[str, str] = {
           delta_abs, delta_pct, direction, n + previous_n AS n_evidence FROM compared""",
     ),
     "conflicts": with_ctes(
-        ["days", "stated_text", "usable"],
-        """SELECT d.case_id, d.test_code, d.exam_date, d.test_name_raw, n_versions, n AS n_evidence, CAST(0 AS INTEGER) AS chunk_no,
-          versions, (SELECT string_agg(concat_ws(':', document_id, page_num, char_start), ',' ORDER BY concat_ws(':', document_id, page_num, char_start))
-            FROM usable u WHERE u.case_id = d.case_id AND u.test_code = d.test_code AND u.exam_date = d.exam_date) AS evidence
+        ["days", "stated_text"],
+        """SELECT d.case_id, d.test_code, d.exam_date, d.test_name_raw, n_versions, n AS n_evidence, versions
         FROM days d JOIN stated_text s ON d.case_id = s.case_id AND d.test_code = s.test_code AND d.exam_date = s.exam_date""",
     ),
+    "conflict_evidence": with_ctes(
+        ["days", "usable"],
+        """SELECT case_id, test_code, exam_date, exam_date AS evidence_date, document_id, page_num, line_no, char_start, char_end,
+          source_text, value_raw, unit FROM usable u
+        WHERE (SELECT n_versions FROM days d WHERE d.case_id = u.case_id AND d.test_code = u.test_code AND d.exam_date = u.exam_date) > 1""",
+    ),
+    "comparison_evidence": with_ctes(
+        ["compared", "usable"],
+        """SELECT c.case_id, c.test_code, c.exam_date, u.exam_date AS evidence_date, document_id, page_num, line_no, char_start, char_end,
+          source_text, value_raw, u.unit
+        FROM compared c JOIN usable u ON u.case_id = c.case_id AND u.test_code = c.test_code AND u.exam_date IN (c.previous_date, c.exam_date)""",
+    ),
     "measurement_gaps": with_ctes(
         ["gap_rows"],
         """SELECT case_id, gap_type, test_code, exam_date, document_id, page_num, description,
@@ -494,7 +504,7 @@ ORACLES: dict[str, str] = {
         f"SELECT finding_id, {KEYS}, summary, evidence FROM found WHERE finding_type = 'OUT_OF_DOCUMENT_RANGE'",
     ),
     "findings_all": with_ctes(
-        ["found"], f"SELECT {', '.join(FOUND_SHOWN)}, CAST(0 AS INTEGER) AS chunk_no, evidence FROM found"
+        ["found"], f"SELECT {', '.join(FOUND_SHOWN)} FROM found"
     ),
     "finding_evidence": with_ctes(
         ["found", "placed"],
@@ -594,8 +604,11 @@ ORACLES: dict[str, str] = {
     "outcome_histogram": with_ctes(["outcomes"], "SELECT outcome, count(*) AS n FROM outcomes GROUP BY 1"),
     "found_ids": with_ctes(
         ["found"],
-        f"""SELECT {KEYS}, count(*) AS n_findings, CAST(0 AS INTEGER) AS chunk_no,
-          string_agg(finding_id, ',' ORDER BY finding_id) AS finding_ids FROM found GROUP BY {KEYS}""",
+        f"SELECT {KEYS}, finding_id, count(*) OVER (PARTITION BY {KEYS}) AS n_findings FROM found",
+    ),
+    "outcome_ids": with_ctes(
+        ["outcomes", "found"],
+        f"""SELECT {", ".join(f"f.{c}" for c in KEY)}, f.finding_id, o.outcome FROM found f JOIN outcomes o ON {same("f", "o", KEY)}""",
     ),
     "review_metrics": with_ctes(["metrics"], "SELECT * FROM metrics"),
     "decode_records": with_ctes(

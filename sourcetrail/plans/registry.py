@@ -64,20 +64,31 @@ def temporal_comparison(spark, folder):
     return evidence.temporal_comparison(evidence.per_date(D.measurements(spark, folder)))
 
 
+def conflict_groups(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """Conflicts, and their evidence."""
+    measured = D.measurements(spark, folder)
+    groups = evidence.conflicts(evidence.per_date(measured))
+    return groups, evidence.evidence_of(groups, evidence.GROUP, F.array("exam_date"), measured)
+
+
 @query
 def conflicts(spark, folder):
+    groups, entries = conflict_groups(spark, folder)
+    stated = lambda: F.concat_ws("/", "value_raw", F.coalesce("unit", F.lit("")), "document_id", "page_num")
+    versions = evidence.joined_versions(entries, evidence.GROUP, stated, ",")
+    return groups.join(versions, evidence.GROUP)
+
+
+@query
+def conflict_evidence(spark, folder):
+    return conflict_groups(spark, folder)[1]
+
+
+@query
+def comparison_evidence(spark, folder):
     measured = D.measurements(spark, folder)
-    attached = evidence.attach_versions(
-        evidence.conflicts(evidence.per_date(measured)), evidence.GROUP, F.array("exam_date"), measured
-    )
-    stated = F.transform(
-        "versions",
-        lambda v: F.concat_ws("/", v["value_raw"], F.coalesce(v["unit"], F.lit("")), v["document_id"], v["page_num"].cast("string")),
-    )
-    return attached.select(
-        *evidence.GROUP, "test_name_raw", "n_versions", "n_evidence", "chunk_no",
-        F.array_join(F.sort_array(stated), ",").alias("versions"), pointers(),
-    )
+    compared = evidence.temporal_comparison(evidence.per_date(measured))
+    return evidence.comparison_evidence(compared, measured)
 
 
 @query
@@ -108,13 +119,13 @@ def out_of_range(spark, folder):
 def findings_all(spark, folder):
     measured = D.written_measurements(spark, folder)
     found = findings.findings(measured, D.gaps(measured), D.cases(spark, folder))
-    return found.select("finding_id", "review_id", *findings.KEY, "summary", "n_evidence", "chunk_no", pointers())
+    return found.heads.select("finding_id", "review_id", *findings.KEY, "summary", "n_evidence")
 
 
 @query
 def finding_evidence(spark, folder):
     measured = D.written_measurements(spark, folder)
-    return findings.evidence_rows(findings.findings(measured, D.gaps(measured)))
+    return findings.findings(measured, D.gaps(measured)).sources.select("finding_id", *K.EVIDENCE_FIELDS)
 
 
 # --- change data capture and quality -----------------------------------------------------------------
@@ -466,12 +477,12 @@ def with_status(spark, folder) -> SimpleNamespace:
 
 
 def outcomes_of(r: SimpleNamespace) -> DataFrame:
-    return evaluate.expected_vs_found(D.expected_list(r.measured), r.rows, r.heads)
+    return evaluate.expected_vs_found(D.expected_list(r.measured), r.sources, r.heads)
 
 
 @query
 def review_queue(spark, folder):
-    return with_queue(spark, folder).queue.drop("summary", "n_evidence", "n_chunks").withColumns(
+    return with_queue(spark, folder).queue.drop("summary", "n_evidence").withColumns(
         {"review_reasons": listed("review_reasons"), "safety_flags": listed("safety_flags")}
     )
 
@@ -559,7 +570,13 @@ def outcome_histogram(spark, folder):
 
 @query
 def found_ids(spark, folder):
-    return evaluate.found_ids(D.written_findings(spark, folder).heads).withColumn("finding_ids", listed("finding_ids"))
+    return evaluate.found_ids(D.written_findings(spark, folder).heads)
+
+
+@query
+def outcome_ids(spark, folder):
+    r = D.written_findings(spark, folder)
+    return evaluate.outcome_ids(outcomes_of(r), r.heads)
 
 
 @query
@@ -699,7 +716,7 @@ def serve_queue(spark, folder):
 @query
 def serve_sources(spark, folder):
     found = findings.with_finding_ids(findings.range_findings(D.measurements(spark, folder)))
-    return serve.finding_sources(found)
+    return serve.finding_sources(findings.sources_of(found))
 
 
 @query

@@ -35,8 +35,8 @@ def case_queue(queue: DataFrame, case_id: str | None = None, terms: K.Terms = K.
     return bound(queue, case_id=case_id).orderBy("priority_rank", "finding_type", "exam_date", "finding_id").select(*shown)
 
 
-def finding_sources(rows: DataFrame, finding_id: str | None = None) -> DataFrame:
-    return bound(rows, finding_id=finding_id).select(F.inline("evidence"))
+def finding_sources(sources: DataFrame, finding_id: str | None = None) -> DataFrame:
+    return bound(sources, finding_id=finding_id).select(*K.EVIDENCE_FIELDS)
 
 
 def page_text(pages: DataFrame, document_id: str | None = None, page_num: int | None = None) -> DataFrame:

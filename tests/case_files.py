@@ -122,8 +122,8 @@ def run_review(spark, files: CaseFiles) -> dict:
     )
     measured = materialize(extract.extract_measurements(pages), "measured")
     gaps = evidence.all_gaps(measured, pages, files.terms)
-    found = materialize(findings.findings(measured, gaps, cases, files.terms), "found")
-    heads = findings.finding_heads(found)
+    found = findings.findings(measured, gaps, cases, files.terms)
+    heads = materialize(found.heads, "found")
     answers = classify.stand_in_answers(classify.context_text())
     decisions = classify.decision_records(
         heads, answers, files.model, files.version, integrity.WORKFLOW_VERSION, F.lit(STAMP), files.terms

@@ -176,20 +176,30 @@ def test_directions(spark):
     assert rows["TWICE"].previous_date == dt.date(2026, 1, 1)
 
 
-def test_large_groups_are_split_and_whole(spark):
-    m = feed(spark, [("HOT", 1, float(i % 3), "g") for i in range(2500)] + [("K", 1, 1.0, "g"), ("K", 1, 2.0, "g")])
-    groups = evidence.conflicts(evidence.per_date(m))
-    rows = evidence.attach_evidence(groups, evidence.GROUP, F.array("exam_date"), m, chunk=100).collect()
-    hot = [r for r in rows if r.test_code == "HOT"]
-    assert len(hot) > 10 and max(len(r.evidence) for r in hot) < 250
-    assert len({e.document_id for r in hot for e in r.evidence}) == sum(len(r.evidence) for r in hot) == 2500
-    assert [len(r.evidence) for r in rows if r.test_code == "K"] == [2]
+def test_large_groups_are_whole_and_never_arrays(spark):
+    rows = [("HOT", 1, float(i % 3), "g") for i in range(2500)] + [("K", 1, 1.0, "g"), ("K", 1, 2.0, None)] + [("V", 1, 1.0, "g"), ("V", 2, 3.0, "g")]
+    m = feed(spark, rows)
     gaps = evidence.measurement_gaps(m).where("false")
-    ids = {}
-    for chunk in (100, 10**6):
-        found = findings.findings(m, gaps, chunk=chunk).collect()
-        ids[chunk] = {(r.finding_id, r.summary) for r in found}
-    assert ids[100] == ids[10**6] and len(ids[100]) == 2
+    seen = {}
+    for limit in (100, 10**6):
+        found = findings.findings(m, gaps, limit=limit)
+        assert not {f.dataType.typeName() for df in found for f in df.schema} & {"array", "map", "struct"}
+        seen[limit] = {(r.test_code, r.finding_id, r.summary, r.n_evidence) for r in found.heads.collect()}
+        assert found.sources.count() == 2504 and found.sources.where("test_code = 'HOT'").select("document_id").distinct().count() == 2500
+        assert found.sources.join(found.heads, "finding_id", "left_anti").count() == 0
+    assert seen[100] == seen[10**6] and sorted((t, n) for t, _, _, n in seen[100]) == [("HOT", 2500), ("K", 2), ("V", 2)]
+    text = {t: summary for t, _, summary, _ in seen[100]}
+    # one sentence of all versions, documents in order
+    order = sorted(f"D{i}" for i in range(2500))
+    assert text["HOT"].split(": ", 1)[1].startswith("; ".join(f"{float(int(d[1:]) % 3)} g ({d} p.1)" for d in order) + ". ")
+    assert "1.0 g (D2500 p.1); 2.0  (D2501 p.1)." in text["K"] and len({t for t in text}) == 3
+
+
+def test_versions_are_told_once(spark):
+    rows = [("d2", 1, 5, 50, "1", "g"), ("d2", 1, 2, 20, "1", "g"), ("d2", 1, 3, 30, "2", None), ("d10", 2, 1, 0, "9", "x"), ("d10", 1, 9, 90, "8", "x"), ("d10", 1, 9, 90, "8", "x")]
+    df = spark.createDataFrame([("K", *r) for r in rows], "k string, document_id string, page_num int, line_no int, char_start int, value_raw string, unit string")
+    got = evidence.joined_versions(df.repartition(4), ["k"], lambda: F.concat_ws("/", "value_raw", "document_id"), ",").first()
+    assert got.versions == "8/d10,9/d10,1/d2,2/d2"
 
 
 def test_unmapped_missing_and_unreadable(spark):
@@ -404,11 +414,14 @@ def test_expected_against_found(spark):
         [("C", "GAP", "A", "K", None, "f1", [(1,), (2,)]), ("C", "GAP", "A", "K", None, "f2", [(1,)]), ("C", "GAP", "X", "K", None, "f3", [(1,)]),
          ("Z", "GAP", "X", "K", None, "f4", [(1,)]), ("C", "GAP", "U", None, None, "f5", [(None,)])],
         kind + ", finding_id string, evidence array<struct<page_num:int>>")
-    rows = {r.finding_subtype: r for r in evaluate.expected_vs_found(expected, found, found).collect()}
+    rows = {r.finding_subtype: r for r in evaluate.expected_vs_found(expected, found.select("*", F.inline("evidence")), found).collect()}
     assert {k: (r.outcome, r.source_page_matches, r.n_findings) for k, r in rows.items()} == {
         "A": ("MATCHED", True, 2), "B": ("MISSED", None, None), "X": ("EXTRA", None, 1), "U": ("MATCHED", None, 1)}
-    ids = {(r.finding_subtype, tuple(r.finding_ids)) for r in evaluate.found_ids(found.where("case_id = 'C'")).collect()}
-    assert ids == {("A", ("f1", "f2")), ("X", ("f3",)), ("U", ("f5",))}
+    ids = {(r.finding_subtype, r.finding_id, r.n_findings) for r in evaluate.found_ids(found.where("case_id = 'C'")).collect()}
+    assert ids == {("A", "f1", 2), ("A", "f2", 2), ("X", "f3", 1), ("U", "f5", 1)}
+    outcomes = evaluate.expected_vs_found(expected, found.select("*", F.inline("evidence")), found)
+    assert {(r.outcome, r.finding_id) for r in evaluate.outcome_ids(outcomes, found).collect()} == {
+        ("MATCHED", "f1"), ("MATCHED", "f2"), ("EXTRA", "f3"), ("MATCHED", "f5")}
 
 
 def test_parameters_are_bound_by_name(spark):
@@ -422,10 +435,10 @@ def test_portal_queries_on_the_cases(review, cases):
     shown = serve.case_queue(review["queue"], "CASE-C", cases.terms).collect()
     assert len(shown) == 8 and [r.priority_final for r in shown] == sorted((r.priority_final for r in shown))
     some = shown[0].finding_id
-    assert serve.finding_sources(review["found"], some).count() >= 1
+    assert serve.finding_sources(review["found"].sources, some).count() >= 1
     assert serve.page_text(review["pages"], "A_lab_20260310", 1).count() == 1
     dated = [r.exam_date for r in serve.case_timeline(evidence.timeline(review["measured"]), "CASE-C").collect()]
     assert dated[-1] is None and None not in dated[:-1]
     assert serve.review_payload(review["payload"], "rev-a-0001").count() == 1
-    none = policy.apply_policy(review["found"], set())
-    assert {e.source_text for r in none.collect() for e in r.evidence} <= {K.RESTRICTED, ""}
+    none = policy.apply_policy(review["found"].sources, set())
+    assert {r.source_text for r in none.collect()} <= {K.RESTRICTED, ""}
