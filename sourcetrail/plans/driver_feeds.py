@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from sourcetrail import contract as K
 from sourcetrail.functions import text as X
 from sourcetrail.operators import classify, evidence, findings
-from sourcetrail.session import materialize, spread
+from sourcetrail.plans.review_tables import kept
+from sourcetrail.session import spread
 
 MODEL = "stand-in"
 QUESTIONS = "questions-v1"
@@ -170,14 +171,19 @@ def gaps(measured: DataFrame) -> DataFrame:
 
 def written_measurements(spark: SparkSession, folder: str) -> DataFrame:
     """Measurements as a table: several steps read it, each only the columns it needs."""
-    return materialize(measurements(spark, folder), "measurements")
+    return kept(spark, folder, lambda: {"measurements": measurements(spark, folder)}, "measurements")[0]
 
 
 def written_findings(spark: SparkSession, folder: str) -> SimpleNamespace:
-    """Measurements and finding heads, written once; sources for those who ask."""
+    """Measurements, finding heads and their sources as tables."""
     measured = written_measurements(spark, folder)
-    found = findings.findings(measured, gaps(measured), cases(spark, folder))
-    return SimpleNamespace(measured=measured, heads=materialize(found.heads, "findings"), sources=found.sources)
+
+    def build() -> dict[str, DataFrame]:
+        found = findings.findings(measured, gaps(measured), cases(spark, folder))
+        return {"findings": found.heads, "sources": found.sources}
+
+    heads, sources = kept(spark, folder, build, "findings", "sources")
+    return SimpleNamespace(measured=measured, heads=heads, sources=sources)
 
 
 def classifier_decisions(heads: DataFrame) -> DataFrame:

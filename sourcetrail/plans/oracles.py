@@ -801,3 +801,26 @@ ORACLES["aborted_runs"] = " UNION ALL ".join(
         ("documents", "has_words", "coalesce(n_chars > 0, false)"), ("events", "few_seconds", "coalesce(value < 50, false)"),
     )
 )
+
+
+# --- portal: the rows of the smallest value of a key
+def _portal(source: str, key: str, columns: str) -> str:
+    return with_ctes([source], f"SELECT {columns} FROM {source} WHERE {key} = (SELECT min({key}) FROM {source})")
+
+
+ORACLES["portal_queue"] = _portal("queue", "case_id", QUEUE_SHOWN.format(extra="summary, "))
+ORACLES["portal_timeline"] = _portal("m", "case_id", """exam_date, CAST(CASE WHEN exam_date IS NOT NULL
+    THEN dense_rank() OVER (PARTITION BY case_id ORDER BY exam_date NULLS FIRST) END AS INTEGER) AS timeline_position,
+    test_code, test_name_raw, value_raw, unit, value_status, document_id, page_num, source_text""")
+ORACLES["portal_comparison"] = _portal(
+    "compared", "case_id", "test_code, test_name_raw, previous_date, exam_date, previous_value, value, unit, delta_abs, delta_pct, direction"
+)
+ORACLES["portal_payload"] = _portal("payload", "review_id", """review_id, input_hash, analysis_hash, reviewed_hash, workflow_version,
+    model_version, target_status, reviewer_tech_id, signoff_at, ready_for_attestation""")
+ORACLES["portal_pages"] = _portal("page_rows", "document_id", f"CASE WHEN contains({folded('text')}, 'tion') THEN page END AS page_text")
+ORACLES["portal_sources"] = with_ctes(
+    ["found", "placed"],
+    f"""SELECT document_id, page_num, line_no, char_start, char_end, source_text
+    FROM placed p JOIN found f ON {same("p", "f", [*KEY, "summary"])} AND (own = '' OR own = f.evidence)
+    WHERE f.finding_id = (SELECT min(finding_id) FROM found)""",
+)

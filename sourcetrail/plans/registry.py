@@ -27,6 +27,8 @@ from sourcetrail.operators import (
 )
 from sourcetrail.plans import driver_feeds as D
 from sourcetrail.plans import serve
+from sourcetrail.plans.review_tables import case_tables as laid_out
+from sourcetrail.plans.review_tables import kept
 from sourcetrail.session import adapt, materialize, run_folder, spread
 from sourcetrail.sources import feeds
 from sourcetrail.streaming import case_tables, feed_run, latest_state
@@ -117,15 +119,13 @@ def out_of_range(spark, folder):
 
 @query
 def findings_all(spark, folder):
-    measured = D.written_measurements(spark, folder)
-    found = findings.findings(measured, D.gaps(measured), D.cases(spark, folder))
-    return found.heads.select("finding_id", "review_id", *findings.KEY, "summary", "n_evidence")
+    found = D.written_findings(spark, folder).heads
+    return found.select("finding_id", "review_id", *findings.KEY, "summary", "n_evidence")
 
 
 @query
 def finding_evidence(spark, folder):
-    measured = D.written_measurements(spark, folder)
-    return findings.findings(measured, D.gaps(measured)).sources.select("finding_id", *K.EVIDENCE_FIELDS)
+    return D.written_findings(spark, folder).sources.select("finding_id", *K.EVIDENCE_FIELDS)
 
 
 # --- change data capture and quality -----------------------------------------------------------------
@@ -454,25 +454,30 @@ def evidence_check(spark, folder):
 
 
 def with_queue(spark, folder) -> SimpleNamespace:
-    """The tables of a review up to its queue, each written once like the tables of a pipeline."""
+    """The tables of a review up to its queue."""
     r = D.written_findings(spark, folder)
     r.cases = D.cases(spark, folder)
     r.reviewed = D.review_decisions(r.heads, r.cases)
-    r.queue = materialize(queue.review_queue(r.heads, D.classifier_decisions(r.heads), r.reviewed), "queue")
+    build = lambda: {"queue": queue.review_queue(r.heads, D.classifier_decisions(r.heads), r.reviewed)}
+    (r.queue,) = kept(spark, folder, build, "queue")
     return r
 
 
 def with_payload(spark, folder) -> SimpleNamespace:
     r = with_queue(spark, folder)
-    documents = D.case_documents(spark, folder)
-    payload = integrity.attestation_payload(r.cases, documents, r.queue, r.measured, r.reviewed)
-    r.payload = materialize(payload, "payload")
+
+    def build() -> dict[str, DataFrame]:
+        documents = D.case_documents(spark, folder)
+        return {"payload": integrity.attestation_payload(r.cases, documents, r.queue, r.measured, r.reviewed)}
+
+    (r.payload,) = kept(spark, folder, build, "payload")
     return r
 
 
 def with_status(spark, folder) -> SimpleNamespace:
     r = with_payload(spark, folder)
-    r.status = integrity.review_status(r.cases, r.payload, *D.receipts(spark, folder, r.payload))
+    build = lambda: {"status": integrity.review_status(r.cases, r.payload, *D.receipts(spark, folder, r.payload))}
+    (r.status,) = kept(spark, folder, build, "status")
     return r
 
 
@@ -743,3 +748,52 @@ def serve_payload(spark, folder):
 @query
 def serve_metrics(spark, folder):
     return serve.metrics_list(review_metrics(spark, folder))
+
+
+# --- one case: tables laid out by the key a portal asks with, the value bound as a parameter -------------
+
+
+def asked(df: DataFrame, key: str) -> str:
+    """The value these queries ask for: the smallest there is."""
+    return df.agg(F.min(key)).first()[0]
+
+
+def portal(spark, folder, key: str, name: str, rows: Callable[[], DataFrame], show: Callable[..., DataFrame]) -> DataFrame:
+    tables = laid_out(spark, folder, key, {name: rows})
+    value = asked(tables.read(name), key)
+    return show(tables.read(name, case=value), **{key: value})
+
+
+@query
+def portal_queue(spark, folder):
+    shown = portal(spark, folder, "case_id", "queue", lambda: with_queue(spark, folder).queue, serve.case_queue)
+    return shown.withColumns({"review_reasons": listed("review_reasons"), "safety_flags": listed("safety_flags")})
+
+
+@query
+def portal_timeline(spark, folder):
+    return portal(spark, folder, "case_id", "timeline", lambda: timeline(spark, folder), serve.case_timeline)
+
+
+@query
+def portal_comparison(spark, folder):
+    return portal(spark, folder, "case_id", "comparison", lambda: temporal_comparison(spark, folder), serve.case_comparison)
+
+
+@query
+def portal_sources(spark, folder):
+    return portal(spark, folder, "finding_id", "sources", lambda: D.written_findings(spark, folder).sources, serve.finding_sources)
+
+
+@query
+def portal_payload(spark, folder):
+    return portal(spark, folder, "review_id", "payload", lambda: with_payload(spark, folder).payload, serve.review_payload)
+
+
+@query
+def portal_pages(spark, folder):
+    def pages() -> DataFrame:
+        documents = D.text_documents(spark, folder)
+        return extract.document_pages(documents, F.split("text", "\n", -1), marker="tion", mask=None)
+
+    return portal(spark, folder, "document_id", "pages", pages, serve.page_text)
