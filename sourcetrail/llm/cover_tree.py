@@ -4,8 +4,8 @@ A component is added to each vector so that all have the norm of the longest, wh
 (whose added component is 0) as they are and turns them into distances on a sphere.  A shard of rows becomes a cover tree:
 the rows of a node lie within its covering radius around a row of its own, radii shrink from level to level by `BASE`, and
 every row of a node is covered by a child.  The radius of a node bounds the inner products of all rows below it with an
-anchor from both sides.  A search descends to the node of the highest bound first; nodes outside the window of scores, or
-under the k-th best score so far, are skipped, and the rows at its leaves are scored exactly in integers.
+anchor from both sides.  A search descends to the nodes of the highest bounds first; nodes outside the windows of scores, or
+under the k-th best score so far, are skipped, and the rows at the leaves are scored exactly.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from __future__ import annotations
 import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +26,14 @@ from sourcetrail.session import run_folder
 SHARD_ROWS, BASE, LEAF = 4096, 1.3, 32
 #: Children with fewer rows have no node: their rows stand with their parent.
 LEAST_ROWS = 4
+#: Nodes that a search opens together.
+OPENED = 64
 #: Bytes of anchors that a task holds at a time, and anchors whose bounds are computed together.
 ANCHOR_BYTES, ANCHOR_ROWS = 4 << 20, 128
 #: Relative allowance for rounding in bounds.
 SLACK = 1e-9
-#: Inner products below are exact in doubles.
-EXACT = 2.0**52
+#: Inner products below are exact in numbers of 32 and of 64 bits.
+EXACT_32, EXACT_64 = 2.0**23, 2.0**52
 
 
 def matrix(vectors: list, width: int) -> np.ndarray:
@@ -79,10 +80,10 @@ class CoverTree:
     #: by node: place of its center, cosine of the angle around the center in which all rows below lie
     centers: np.ndarray
     cos: np.ndarray
-    first: list[int]
-    last: list[int]
-    child: list[int]
-    children: list[int]
+    first: np.ndarray
+    last: np.ndarray
+    child: np.ndarray
+    children: np.ndarray
     norm: float
 
     @classmethod
@@ -106,7 +107,8 @@ class CoverTree:
             nodes += below
         place = np.array(order, np.int64)
         centers = np.argsort(place)[[center for _, center, _ in nodes]]
-        return cls(rows[place], ids[place], labels[place], vectors[place], centers, np.array(cos), first, last, child, children, norm)
+        numbers = [np.array(x, np.int64) for x in (first, last, child, children)]
+        return cls(rows[place], ids[place], labels[place], vectors[place], centers, np.array(cos), *numbers, norm)
 
     def bounds(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Most and least inner product of each anchor with the rows of each node."""
@@ -120,30 +122,44 @@ class CoverTree:
         return size * (most + SLACK), size * (least - SLACK)
 
     def search(
-        self, anchor: np.ndarray, most: np.ndarray, least: np.ndarray, low: float, high: float, wanted: np.ndarray, best: list[tuple], k: int
-    ) -> None:
-        """Brings `best`, the k best (-score, id, row) within [low, high] so far, up to date with the rows marked in wanted."""
-        floor = max(low, -best[-1][0]) if len(best) == k else low
-        heap = [(-min(most[0], high), 0)] if most[0] >= floor and least[0] <= high else []
-        while heap:
-            bound, v = heappop(heap)
-            if -bound < floor:
-                break
-            a, b = self.first[v], self.last[v]
-            if b > a:
-                scores = self.vectors[a:b] @ anchor
-                good = np.flatnonzero((scores >= floor) & (scores <= high) & wanted[a:b])
+        self, anchor: np.ndarray, most: np.ndarray, least: np.ndarray, windows: list[tuple[float, float]], wanted: np.ndarray,
+        best: list[list[tuple]], k: int,
+    ) -> None:
+        """Brings `best`, for each window [low, high] the k best (-score, id, row) so far, up to date with the rows marked in
+        wanted.  The windows of an anchor are searched together, and the `OPENED` nodes with the highest bounds are opened
+        together; a node that is outside or too low for every window is left out with all below it."""
+        high = np.array([h for _, h in windows])
+        floor = np.array([max(low, -found[-1][0]) if len(found) == k else low for (low, _), found in zip(windows, best)])
+        nodes = np.zeros(1, np.int64)
+        while True:
+            nodes = nodes[((most[nodes, None] >= floor) & (least[nodes, None] <= high)).any(1)]
+            if not len(nodes):
+                return
+            opened, nodes = nodes, nodes[:0]
+            if len(opened) > OPENED:
+                order = np.argpartition(-np.minimum(most[opened], high.max()), OPENED)
+                opened, nodes = opened[order[:OPENED]], opened[order[OPENED:]]
+            rows = _ranges(self.first[opened], self.last[opened])
+            rows = rows[wanted[rows]]
+            scores = self.vectors[rows] @ anchor
+            for w, found in enumerate(best):
+                good = np.flatnonzero((scores >= floor[w]) & (scores <= high[w]))
                 if len(good) > 4 * k:  # only those that can be among the best, with all ties
                     good = good[scores[good] >= np.partition(scores[good], len(good) - k)[len(good) - k]]
                 if len(good):
-                    best += [(-int(scores[i]), int(self.ids[a + i]), int(self.rows[a + i])) for i in good.tolist()]
-                    best.sort()
-                    del best[k:]
-                    floor = max(low, -best[-1][0]) if len(best) == k else low
-            c = slice(self.child[v], self.child[v] + self.children[v])
-            if c.stop > c.start:
-                for child in (np.flatnonzero((most[c] >= floor) & (least[c] <= high)) + c.start).tolist():
-                    heappush(heap, (-min(most[child], high), child))
+                    at = rows[good]
+                    found += zip((-scores[good]).astype(np.int64).tolist(), self.ids[at].tolist(), self.rows[at].tolist())
+                    found.sort()
+                    del found[k:]
+                    floor[w] = max(windows[w][0], -found[-1][0]) if len(found) == k else windows[w][0]
+            nodes = np.concatenate([nodes, _ranges(self.child[opened], self.child[opened] + self.children[opened])])
+
+
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    sizes = end - begin
+    ends = np.cumsum(sizes)
+    return np.repeat(begin - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 def _trees(shard_rows: int):
@@ -172,12 +188,13 @@ def _trees(shard_rows: int):
     return run
 
 
-#: A search: number of the anchor in its block, window's number, least and most score (None: any), whether of the anchor's label.
-Search = tuple[int, int, int | None, int | None, bool]
+#: The searches of an anchor: its number in its block, whether for rows of its own label, and by window its number, least and
+#: most score (infinite: any).
+Search = tuple[int, bool, list[tuple[int, float, float]]]
 
 
 def _search(rows: np.ndarray, labels: np.ndarray, anchors: np.ndarray, searches: list[Search], k: int):
-    """The k best rows of each search, as anchor (its row), window, score, row, id."""
+    """The k best rows of each window, as anchor (its row), window, score, row, id."""
     types, names = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()], ["anchor", "window", "score", "row", "vec_id"]
     largest = float(np.sqrt((anchors.astype(np.float64) ** 2).sum(1).max(initial=0)))
     parts: dict[int, list[Search]] = {}
@@ -189,21 +206,26 @@ def _search(rows: np.ndarray, labels: np.ndarray, anchors: np.ndarray, searches:
         return anchors[:, :wide] if wide <= anchors.shape[1] else np.pad(anchors, ((0, 0), (0, wide - anchors.shape[1])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[tuple[int, int], list[tuple]] = {(s[0], s[1]): [] for s in searches}
+        best: dict[int, list[list[tuple]]] = {a: [[] for _ in windows] for a, _, windows in searches}
         for batch in batches:
             for packed in batch.column(0):
                 tree: CoverTree = pickle.loads(packed.as_py())
-                # integers, as doubles where these hold every product exactly
-                tree.vectors = tree.vectors.astype(np.float64 if largest * tree.norm < EXACT else np.int64)
-                own = fitting(tree).astype(tree.vectors.dtype)
+                # integers, as floating numbers where these hold every product exactly
+                reach = largest * tree.norm
+                tree.vectors = tree.vectors.astype(np.float32 if reach < EXACT_32 else np.float64 if reach < EXACT_64 else np.int64)
+                own = fitting(tree)
+                exact = own.astype(tree.vectors.dtype)
                 for part, wanted in parts.items():
                     begin = part * ANCHOR_ROWS
                     most, least = tree.bounds(own[begin : begin + ANCHOR_ROWS])
-                    for a, window, low, high, same in wanted:
+                    for a, same, windows in wanted:
                         fit = ((tree.labels == labels[a]) == same) & (tree.rows != rows[a])
-                        low, high = -np.inf if low is None else low, np.inf if high is None else high
-                        tree.search(own[a], most[a - begin], least[a - begin], low, high, fit, best[a, window], k)
-        found = [(int(rows[a]), w, -s, r, i) for (a, w), got in best.items() for s, i, r in got]
+                        limits = [(low, high) for _, low, high in windows]
+                        tree.search(exact[a], most[a - begin], least[a - begin], limits, fit, best[a], k)
+        found = [
+            (int(rows[a]), w, -s, r, i)
+            for a, _, windows in searches for (w, _, _), got in zip(windows, best[a], strict=True) for s, i, r in got
+        ]
         columns = list(zip(*found, strict=True)) if found else [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
@@ -266,17 +288,19 @@ def mine(
         numbers, labels = np.array([r.row for r in own]), np.array([r.label for r in own])
         queries = matrix([r.components for r in own], wide)
         place = {r.row: i for i, r in enumerate(own)}
-        first = [(i, 0, None, None, True) for i in range(len(own))]
+        first = [(i, True, [(0, -np.inf, np.inf)]) for i in range(len(own))]
         nearest = trees.mapInArrow(_search(numbers, labels, queries, first, positives), _FOUND)
-        windows, chosen = [], {}
+        windows: dict[int, list[tuple[int, float, float]]] = {}
+        chosen = {}
         for r in _ranked(nearest, positives).collect():  # `positives` rows for each anchor of the block
             i, least, most = place[r.anchor], -(-low * r.score // 100), high * r.score // 100
             if least <= most:
-                windows.append((i, r.rank, least, most, False))
+                windows.setdefault(i, []).append((r.rank, least, most))
                 chosen[r.anchor, r.rank] = (own[i].vec_id, r.vec_id, r.score)
         if not windows:
             continue
-        found = _ranked(trees.mapInArrow(_search(numbers, labels, queries, windows, negatives), _FOUND), negatives)
+        searches = [(i, False, found) for i, found in windows.items()]
+        found = _ranked(trees.mapInArrow(_search(numbers, labels, queries, searches, negatives), _FOUND), negatives)
         pairs = spark.createDataFrame([(*k, *v) for k, v in chosen.items()], "anchor long, window int, anchor_id long, positive_id long, positive_score long")
         found = found.join(pairs, ["anchor", "window"])
         found.select("anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")).write.mode("append").parquet(folder)

@@ -54,12 +54,14 @@ def test_trees_are_exact(spread, copies):
         for v, (first, last) in enumerate(zip(tree.first, tree.last)):
             assert first == last or (most[a, v] >= scores[first:last].max() and least[a, v] <= scores[first:last].min())
         top = int(scores.max())
-        for low, high in ((-np.inf, np.inf), (top * 3 // 10, top * 9 // 10), (0, 0), (top + 1, np.inf)):
-            wanted = tree.labels == labels[a]
-            best = []
-            tree.search(vectors[a], most[a], least[a], low, high, wanted, best, 10)
-            fit = wanted & (scores >= low) & (scores <= high)
-            assert best == sorted((-int(s), int(i), int(r)) for s, i, r in zip(scores[fit], tree.ids[fit], tree.rows[fit]))[:10]
+        windows = [(-np.inf, np.inf), (top * 3 // 10, top * 9 // 10), (0, 0), (top + 1, np.inf)]
+        wanted = tree.labels == labels[a]
+        for several in (windows, *([w] for w in windows)):
+            best = [[] for _ in several]
+            tree.search(vectors[a], most[a], least[a], several, wanted, best, 10)
+            for (low, high), found in zip(several, best):
+                fit = wanted & (scores >= low) & (scores <= high)
+                assert found == sorted((-int(s), int(i), int(r)) for s, i, r in zip(scores[fit], tree.ids[fit], tree.rows[fit]))[:10]
 
 
 def test_shards_and_blocks(spark):
