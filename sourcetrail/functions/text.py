@@ -4,6 +4,7 @@ batch and streaming frames, needs no shuffle and stays in the JVM."""
 from __future__ import annotations
 
 import json
+import sys
 import unicodedata
 from collections.abc import Callable
 
@@ -29,38 +30,77 @@ def fixed(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
-def _accent_tables() -> tuple[str, str]:
-    plain, accented = [], []
-    blocks = [range(0x00A0, 0x0250), range(0x1E00, 0x1F00)]
-    for char in (chr(code) for block in blocks for code in block):
-        base = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-        if len(base) == 1 and base != char:
-            accented.append(char)
-            plain.append(base)
-    return "".join(accented), "".join(plain)
+def _decompositions() -> dict[str, str]:
+    """What each character is without compatibility forms and combining marks, where that is another text.
+
+    Hangul syllables are left whole: they have no form that a name is also written in."""
+    out = {}
+    for code in range(0x80, sys.maxunicode + 1):
+        char = chr(code)
+        if unicodedata.category(char) not in ("Cs", "Cn", "Co") and not 0xAC00 <= code <= 0xD7A3:
+            base = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+            if base != char and not unicodedata.combining(char):
+                out[char] = base
+    return out
+
+
+def _class_of(chars: list[str], gap: int = 1) -> str:
+    """A pattern for one of the characters; with a larger gap also for what lies between them."""
+    codes, ranges = sorted(map(ord, chars)), []
+    for code in codes:
+        if ranges and code - ranges[-1][1] <= gap:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
+def _either(pattern: str, beyond: int) -> str:
+    """The class, or any character from a code point on."""
+    return pattern[:-1] + f"\\x{{{beyond:X}}}-\\x{{{sys.maxunicode:X}}}]"
 
 
-ACCENTED, PLAIN = _accent_tables()
+_BASES = _decompositions()
+_SINGLE = {c: b for c, b in _BASES.items() if len(b) == 1}
+_SEVERAL = {c: b for c, b in _BASES.items() if len(b) != 1}
+ACCENTED, PLAIN = "".join(_SINGLE), "".join(_SINGLE.values())
+LONGER = _class_of(list(_SEVERAL))
+# what a text is searched for first: few ranges, so that most texts are passed by quickly
+MAY_BE_LONGER = _either(_class_of([c for c in _SEVERAL if c < "\u0300"]), 0x300)
 
 
 def strip_accents(text: Column) -> Column:
-    return F.regexp_replace(F.translate(text, ACCENTED, PLAIN), r"\p{M}+", "")
+    """Letters without accents and in their plain form: full-width, ligatures, circled, super- and subscript ones too.
+
+    Characters that become several are looked up only in texts that hold one."""
+
+    single = F.translate(text, ACCENTED, PLAIN)
+    longer = rewrite_matches(single, LONGER, lambda hit: literal_lookup(hit, _SEVERAL))
+    return F.regexp_replace(F.when(text.rlike(MAY_BE_LONGER), longer).otherwise(single), r"\p{M}+", "")
 
 
 def fold_case(text: Column) -> Column:
     return F.lower(strip_accents(text))
 
 
+def folded_key(folded: Column) -> Column:
+    return F.trim(F.regexp_replace(folded, r"(?U)\s+", " "))
+
+
 def name_key(name: Column) -> Column:
-    return F.trim(F.regexp_replace(fold_case(name), r"(?U)\s+", " "))
+    return folded_key(fold_case(name))
 
 
 def strip_left(text: Column) -> Column:
     return F.regexp_replace(text, LEADING_SPACE, "")
 
 
+def strip_right(text: Column) -> Column:
+    return F.regexp_replace(text, TRAILING_SPACE, "")
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(strip_left(text), TRAILING_SPACE, "")
+    return strip_right(strip_left(text))
 
 
 def is_textual(text: Column) -> Column:

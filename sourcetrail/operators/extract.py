@@ -84,32 +84,30 @@ def page_lines(pages: DataFrame, text: str = "page_text", keep: list[str] | None
 
 
 def _dated_lines(text: Column) -> Column:
-    """Lines with offsets and the date line that governs each of them.
-
-    The governing *line* is carried, not its date: an impossible date thereby clears the date of
-    the lines below it and still stays visible as their source."""
-    zero = F.struct(
-        F.lit(0).alias("start"),
-        F.lit(0).alias("end"),
-        F.lit("").alias("text"),
-        F.lit(None).cast("string").alias("date_line"),
-        F.lit(False).alias("sets_date"),
-    )
-
-    def step(last: Column, line: Column) -> Column:
-        def described(clean: Column) -> Column:
-            sets_date = clean.rlike(K.DATE_LINE)
-            return F.struct(
-                (last["end"] + F.length(line) - F.length(X.strip_left(line))).alias("start"),
-                (last["end"] + F.length(line)).alias("end"),
-                clean.alias("text"),
-                F.when(sets_date, clean).otherwise(last["date_line"]).alias("date_line"),
-                sets_date.alias("sets_date"),
-            )
-
-        return X.let(X.strip(line), described)
+    """Lines with their end and the number and text of the date line that governs each of them, if any.
+
+    Only two numbers per line go through the fold.  The governing *line* is carried, not its date: an impossible date
+    thereby clears the date of the lines below it and still stays visible as their source."""
+
+    def dated(lines: Column) -> Column:
+        def step(line: Column, at: Column) -> Column:
+            sets_date = F.contains(line, F.lit(":")) & line.rlike(K.DATE_LINE)
+            return F.struct(F.length(line).alias("n"), F.when(sets_date, at + 1).otherwise(0).alias("at"))
+
+        def carried(last: Column, line: Column) -> Column:
+            by = F.when(line["at"] > 0, line["at"]).otherwise(last["by"])
+            return F.struct((last["end"] + line["n"]).alias("end"), by.alias("by"))
+
+        states = X.running_fold(F.transform(lines, step), F.struct(F.lit(0).alias("end"), F.lit(0).alias("by")), carried)
+        return F.zip_with(
+            lines,
+            states,
+            lambda line, s: F.struct(
+                line.alias("line"), s["end"].alias("end"), s["by"].alias("by"), F.get(lines, s["by"] - 1).alias("date_line")
+            ),
+        )
 
-    return X.running_fold(X.split_lines(text), zero, step)
+    return X.let(X.split_lines(text), dated)
 
 
 def _none_if_empty(value: Column) -> Column:
@@ -118,30 +116,55 @@ def _none_if_empty(value: Column) -> Column:
 
 def test_code_of(name: Column, synonyms: dict[str, str]) -> tuple[Column, Column]:
     key = X.name_key(name)
-    known = X.literal_lookup(key, synonyms)
+    return _code(key, X.literal_lookup(key, synonyms))
+
+
+def _code(key: Column, known: Column) -> tuple[Column, Column]:
     slug = F.regexp_replace(F.regexp_replace(F.upper(key), "[^A-Z0-9]+", "_"), "^_+|_+$", "")
     return F.coalesce(known, F.concat(F.lit("UNK_"), slug)), known.isNotNull()
 
 
+def with_test_codes(
+    named: DataFrame, synonyms: dict[str, str] | DataFrame, name: str = "test_name_raw", key: Column | None = None
+) -> DataFrame:
+    """Rows with ``test_code`` and ``test_known`` for their names.
+
+    ``synonyms`` is a dictionary, which becomes a literal, or a table of any size with ``name`` and ``test_code``, which is
+    joined; a stream is joined to it as it stands.  Names are compared by their key, which the caller may have at hand; of a
+    name's codes the smallest counts."""
+    keyed = named.select("*", X.fixed(X.name_key(F.col(name)) if key is None else key).alias("__key"))
+    if isinstance(synonyms, dict):
+        code, known = _code(F.col("__key"), X.literal_lookup(F.col("__key"), synonyms))
+        both = X.fixed(F.struct(code.alias("test_code"), known.alias("test_known")))
+        return keyed.select("*", both.alias("__test")).select(*named.columns, "__test.*")
+    table = synonyms.select(X.name_key(F.col("name")).alias("__key"), F.col("test_code").alias("__code"))
+    table = table.groupBy("__key").agg(F.min("__code").alias("__code"))
+    keyed = keyed.join(table, "__key", "left")
+    code, known = _code(F.col("__key"), F.col("__code"))
+    return keyed.select(*named.columns, code.alias("test_code"), known.alias("test_known"))
+
+
 def measurement_id() -> Column:
     return F.sha2(F.concat_ws("|", "document_id", "page_num", "char_start"), 256)
 
 
-def extract_measurements(pages: DataFrame, synonyms: dict[str, str] | None = None) -> DataFrame:
+def extract_measurements(pages: DataFrame, synonyms: dict[str, str] | DataFrame | None = None) -> DataFrame:
     """Results found on readable pages, each with the exact place it came from."""
     synonyms = K.TEST_SYNONYMS if synonyms is None else synonyms
     place = ["case_id", "document_id", "page_num", "ingested_at"]
     lines = (
         pages.where(F.col("is_textual") & F.col("synthetic_declared"))
         .select(*place, F.posexplode(_dated_lines(F.col("page_text"))).alias("__at", "__row"))
-        .where(~F.col("__row.sets_date") & F.contains(F.col("__row.text"), F.lit(":")))
+        .where((F.col("__row.by") != F.col("__at") + 1) & F.contains(F.col("__row.line"), F.lit(":")))
+        .select("*", X.fixed(X.strip_left(F.col("__row.line"))).alias("__left"))
+        .select("*", X.fixed(X.strip_right(F.col("__left"))).alias("source_text"))
         .select(
             *place,
             (F.col("__at") + 1).cast("int").alias("line_no"),
-            F.col("__row.start").alias("char_start"),
-            (F.col("__row.start") + F.length("__row.text")).alias("char_end"),
-            F.col("__row.text").alias("source_text"),
-            F.col("__row.date_line").alias("date_source_text"),
+            (F.col("__row.end") - F.length("__left")).alias("char_start"),
+            (F.col("__row.end") - F.length("__left") + F.length("source_text")).alias("char_end"),
+            "source_text",
+            F.col("__row.date_line").alias("__date_line"),
         )
     )
     source = F.col("source_text")
@@ -150,9 +173,10 @@ def extract_measurements(pages: DataFrame, synonyms: dict[str, str] | None = Non
         lines.select("*", X.fixed(X.match_groups(source, K.RESULT_LINE, 5)).alias("__strict"))
         .select("*", X.fixed(F.when(strict.isNull(), X.match_groups(source, K.LOOSE_LINE, 2))).alias("__loose"))
         .where(strict.isNotNull() | loose.isNotNull())
+        .withColumn("date_source_text", X.strip(F.col("__date_line")))
     )
     value_raw = F.coalesce(strict[1], loose[1])
-    token = X.fold_case(value_raw)
+    token = F.col("__token")
     status = (
         F.when(strict.isNull(), "AMBIGUOUS")
         .when(token.isin(K.ILLEGIBLE_TOKENS), "ILLEGIBLE")
@@ -162,13 +186,13 @@ def extract_measurements(pages: DataFrame, synonyms: dict[str, str] | None = Non
     named = matched.select(
         "*",
         X.fixed(X.strip(F.coalesce(strict[0], loose[0]))).alias("test_name_raw"),
-    ).select("*", value_raw.alias("value_raw"), status.alias("value_status"))
-    code, known = test_code_of(F.col("test_name_raw"), synonyms)
-    coded = named.select(
-        "*", X.fixed(F.struct(code.alias("test_code"), known.alias("test_known"))).alias("__test")
-    ).where(
-        (strict.isNotNull() | F.col("__test.test_known"))
-        & ~X.fold_case(F.col("test_name_raw")).isin(K.NON_RESULT_NAMES)
+    ).select("*", X.fixed(X.fold_case(value_raw)).alias("__token")).select(
+        "*", value_raw.alias("value_raw"), status.alias("value_status"),
+        X.fixed(X.fold_case(F.col("test_name_raw"))).alias("__folded"),
+    )
+    coded = with_test_codes(named, synonyms, key=X.folded_key(F.col("__folded"))).where(
+        (strict.isNotNull() | F.col("test_known"))
+        & ~F.col("__folded").isin(K.NON_RESULT_NAMES)
     )
 
     def group(number: int) -> Column:
@@ -183,8 +207,8 @@ def extract_measurements(pages: DataFrame, synonyms: dict[str, str] | None = Non
         X.calendar_date(F.regexp_extract("date_source_text", K.DATE_LINE, 1)).alias("exam_date"),
         "date_source_text",
         "test_name_raw",
-        "__test.test_code",
-        "__test.test_known",
+        "test_code",
+        "test_known",
         "value_raw",
         F.when(F.col("value_status") == "OK", X.decimal_comma(F.col("value_raw"))).alias("value"),
         "value_status",

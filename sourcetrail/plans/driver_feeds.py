@@ -347,3 +347,18 @@ def feed_lines(spark: SparkSession, folder: str, name: str) -> DataFrame:
         quoted = F.concat(F.lit(f'"{number}":"'), k.cast("string"), F.lit('"'))
         line = F.when(k % 19 == 0, F.replace(line, bare, quoted)).otherwise(line)
     return events.select(F.when(F.col("event_id") % 29 == 0, F.concat(F.lit("#"), line)).otherwise(line).alias("value"))
+
+
+def planted_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """A note per event, each with one identifier or secret of a kind that its type decides."""
+    number = F.lpad(F.col("event_id").cast("string"), 9, "0")
+    digits = F.concat(F.lit("4"), number, F.lit("7"))
+    key = F.upper(F.substring(F.translate(F.sha2(number, 256), "0189", "ABCD"), 1, 16))
+    text = (
+        F.when(F.col("event_type") == "click", F.concat(F.lit("CPF "), F.regexp_replace(digits, r"^(\d{3})(\d{3})(\d{3})(\d{2})$", "$1.$2.$3-$4"), F.lit(" ok")))
+        .when(F.col("event_type") == "view", F.concat(F.lit("cns 7"), F.substring(digits, 1, 2), F.lit(" 1234 5678 "), F.substring(number, 6, 4)))
+        .when(F.col("event_type") == "purchase", F.concat(F.lit("fone (11) 9"), F.substring(number, 6, 4), F.lit("-4321, id "), key))
+        .when(F.col("event_type") == "signup", F.concat(F.lit("-----BEGIN RSA PRIVATE KEY----- "), number))
+        .otherwise(F.concat(F.lit("AKIA"), key, F.lit(" eyJ"), key, F.lit(".eyJ"), key, F.lit("."), key))
+    )
+    return table(spark, folder, "events").select("event_id", "event_type", text.alias("text"))

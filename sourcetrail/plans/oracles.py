@@ -824,3 +824,46 @@ ORACLES["portal_sources"] = with_ctes(
     FROM placed p JOIN found f ON {same("p", "f", [*KEY, "summary"])} AND (own = '' OR own = f.evidence)
     WHERE f.finding_id = (SELECT min(finding_id) FROM found)""",
 )
+
+# --- each rule is met and broken by some rows
+ORACLES["due_without_answer"] = with_ctes(
+    ["queue", "status"],
+    "SELECT finding_id, review_id FROM queue WHERE exam_date IS NULL AND review_id IN (SELECT review_id FROM status WHERE NOT is_finalized)",
+)
+ORACLES["policy_restricted_documents"] = """SELECT doc_id, true AS content_hidden,
+    CASE WHEN text = '' THEN '' WHEN text IS NOT NULL THEN '[restrito]' END AS page_text FROM documents"""
+ORACLES["mask_functions"] = """SELECT doc_id, CASE WHEN text = '' THEN '' WHEN text IS NOT NULL THEN '[restrito]' END AS hidden, md5(text) AS shown_md5,
+    true AS raw_hidden, md5(text) AS raw_md5 FROM documents"""
+_NOTES = """SELECT event_id, event_type, lpad(CAST(event_id AS VARCHAR), 9, '0') AS n,
+    upper(left(translate(sha256(lpad(CAST(event_id AS VARCHAR), 9, '0')), '0189', 'ABCD'), 16)) AS key FROM events"""
+ORACLES["mask_notes"] = f"""SELECT event_id, CASE event_type WHEN 'click' THEN 'CPF ***.***.***-** ok' WHEN 'view' THEN 'cns *** **** **** ****'
+    WHEN 'purchase' THEN 'fone (**) *****-****, id ' || key WHEN 'signup' THEN '-----BEGIN RSA PRIVATE KEY----- ' || n
+    ELSE 'AKIA' || key || ' eyJ' || key || '.eyJ' || key || '.' || key END AS masked FROM ({_NOTES})"""
+ORACLES["residual_notes"] = " UNION ALL ".join(
+    f"SELECT '{column}' AS column_name, '{kind}' AS kind, {count} AS n_texts FROM events"
+    for column in ("text", "masked")
+    for kind, event_type in (("cpf", "click"), ("cns", "view"), ("email", None), ("phone", "purchase"))
+    for count in ["count(*) FILTER (event_type = '%s')" % event_type if event_type and column == "text" else "CAST(0 AS BIGINT) * count(*)"]
+)
+ORACLES["secret_scan_notes"] = """SELECT event_id, unnest(CASE event_type WHEN 'signup' THEN ['signing_key_block']
+    ELSE ['cloud_access_key', 'web_token'] END) AS kind FROM events WHERE event_type IN ('signup', 'error')"""
+ORACLES["decision_contract"] = with_ctes(["e"], """SELECT event_id, concat_ws(',',
+    CASE WHEN k % 29 = 0 THEN 'review_id' END, CASE WHEN scope = 'PAGE' THEN 'scope' END, CASE WHEN k % 5 = 4 THEN 'action' END,
+    CASE WHEN k % 7 = 1 THEN 'corrected_unit' END, CASE WHEN k % 37 = 0 THEN 'reviewer_tech_id' END,
+    CASE WHEN scope = 'FINDING' AND k % 4 = 0 THEN 'finding_scope_names_finding' END,
+    CASE WHEN scope = 'FINDING' AND k % 5 = 3 THEN 'finding_scope_no_signoff' END,
+    CASE WHEN scope = 'FINDING' AND k % 5 = 1 AND value <= 20 AND k % 7 > 1 THEN 'correction_has_value' END,
+    CASE WHEN scope = 'REVIEW' AND (k % 5 <> 3 OR k % 4 <> 0) THEN 'review_scope_signoff_only' END) AS violations
+  FROM (SELECT *, CASE WHEN k % 3 = 0 THEN 'REVIEW' WHEN k % 31 = 0 THEN 'PAGE' ELSE 'FINDING' END AS scope FROM e)""")
+ORACLES["attestation_contract"] = with_ctes(["e"], """SELECT event_id, concat_ws(',',
+    CASE WHEN k % 11 = 0 THEN 'cluster' END, CASE WHEN k % 13 = 0 THEN 'program_id' END, CASE WHEN k % 17 = 0 THEN 'pda_address' END,
+    CASE WHEN k % 19 = 0 THEN 'tx_signature' END, CASE WHEN k % 23 = 0 THEN 'input_hash' END, CASE WHEN k % 29 = 0 THEN 'reviewed_hash' END,
+    CASE WHEN k % 7 = 0 THEN 'model_version' END, CASE WHEN k % 5 = 0 THEN 'status' END) AS violations FROM e""")
+_SHEET_ROWS = ORACLES["extract_measurements"]
+ORACLES["misplaced_evidence"] = f"""SELECT document_id, CAST(CASE WHEN event_id % 7 = 0 THEN 2 ELSE 1 END AS INTEGER) AS page_num,
+    CAST(char_start + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS INTEGER) AS char_start, source_text
+  FROM (SELECT *, CAST(substr(document_id, 2) AS BIGINT) AS event_id FROM ({_SHEET_ROWS})) WHERE event_id % 5 = 0 OR event_id % 7 = 0"""
+ORACLES["test_codes_from_table"] = """WITH names AS (SELECT *, lower(p_name || ' a ' || p_type) AS key FROM part),
+  codes AS (SELECT key, min('T' || p_size) AS code FROM names WHERE p_partkey % 3 > 0 GROUP BY key)
+  SELECT p_partkey, coalesce(code, 'UNK_' || regexp_replace(regexp_replace(upper(n.key), '[^A-Z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')) AS test_code,
+    code IS NOT NULL AS test_known FROM names n LEFT JOIN codes c ON c.key = n.key"""

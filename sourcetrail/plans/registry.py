@@ -269,6 +269,42 @@ def contract_validation(spark, folder):
     return checked.select("page_id", "case_id", listed("violations"))
 
 
+@query
+def decision_contract(spark, folder):
+    """Reviewer actions as they come in, with the rules of the contract that each breaks."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    records = D.table(spark, folder, "events").select(
+        "event_id",
+        F.when(k % 29 == 0, "../R").otherwise(D.review_of(F.col("user_id"))).alias("review_id"),
+        F.when(k % 3 == 0, "REVIEW").when(k % 31 == 0, "PAGE").otherwise("FINDING").alias("scope"),
+        F.when(k % 4 != 0, F.concat(F.lit("f"), k.cast("string"))).alias("finding_id"),
+        F.element_at(F.array(*map(F.lit, ("CONFIRM", "CORRECT", "REJECT", "SIGNOFF", "HOLD"))), k % 5 + 1).alias("action"),
+        F.when(F.col("value") > 20, F.col("value")).alias("corrected_value"),
+        F.when(k % 7 == 0, "mg/dL").when(k % 7 == 1, "free text").alias("corrected_unit"),
+        F.when(k % 37 != 0, "reviewer-1").otherwise("").alias("reviewer_tech_id"),
+    )
+    return quality.validate(records, quality.review_decision_contract()).select("event_id", listed("violations"))
+
+
+@query
+def attestation_contract(spark, folder):
+    """Receipts as they come in, with the rules of the contract that each breaks."""
+    k, key = F.get_json_object("props", "$.k").cast("int"), F.translate(F.sha2(F.col("event_id").cast("string"), 256), "0", "z")
+    digest = F.sha2(F.col("event_id").cast("string"), 256)
+    records = D.table(spark, folder, "events").select(
+        "event_id", D.review_of(F.col("user_id")).alias("review_id"),
+        F.when(k % 11 == 0, "mainnet").otherwise("devnet").alias("cluster"),
+        F.when(k % 13 == 0, F.lit("0" * 40)).otherwise(F.substring(key, 1, 40)).alias("program_id"),
+        F.when(k % 17 == 0, F.substring(key, 1, 20)).otherwise(F.substring(key, 1, 32)).alias("pda_address"),
+        F.when(k % 19 == 0, F.substring(key, 1, 63)).otherwise(key).alias("tx_signature"),
+        F.when(k % 23 == 0, F.upper(digest)).otherwise(digest).alias("input_hash"), digest.alias("analysis_hash"),
+        F.when(k % 29 != 0, digest).alias("reviewed_hash"), F.lit(D.WORKFLOW).alias("workflow_version"),
+        F.when(k % 7 == 0, F.lit("x" * 33)).otherwise("extract+m1").alias("model_version"),
+        F.when(k % 5 == 0, "ATTESTED").otherwise("SUBMITTED").alias("status"), F.lit("reviewer-1").alias("reviewer_tech_id"),
+    )
+    return quality.validate(records, quality.attestation_contract()).select("event_id", listed("violations"))
+
+
 @query
 def upload_gate(spark, folder):
     documents = D.table(spark, folder, "documents")
@@ -450,6 +486,28 @@ def evidence_check(spark, folder):
     )
 
 
+@query
+def misplaced_evidence(spark, folder):
+    """Measurements of which some state another place than the one they came from, and those that are found out."""
+    pages = materialize(extract.document_pages(D.result_pages(spark, folder), F.array("text")), "pages")
+    measured = extract.extract_measurements(pages)
+    event = F.substring("document_id", 2, 20).cast("long")
+    moved = measured.withColumns(
+        {"char_start": F.col("char_start") + F.when(event % 5 == 0, 1).otherwise(0), "page_num": F.when(event % 7 == 0, 2).otherwise(F.col("page_num"))}
+    )
+    return extract.misplaced_evidence(moved, pages).select("document_id", "page_num", "char_start", "source_text")
+
+
+@query
+def test_codes_from_table(spark, folder):
+    """Names coded by a dictionary table: the parts' own names, folded, as many as there are."""
+    names = D.table(spark, folder, "part").select("p_partkey", F.concat("p_name", F.lit("  Á "), "p_type").alias("name"))
+    table = D.table(spark, folder, "part").where("p_partkey % 3 > 0").select(
+        F.upper(F.concat("p_name", F.lit(" a "), "p_type")).alias("name"), F.concat(F.lit("T"), "p_size").alias("test_code")
+    )
+    return extract.with_test_codes(names, table, "name").select("p_partkey", "test_code", "test_known")
+
+
 # --- review ------------------------------------------------------------------------------------------
 
 
@@ -506,6 +564,13 @@ def due_for_classification(spark, folder):
     return classify.due_for_classification(r.queue, r.status, "questions-v2").select("finding_id", "review_id")
 
 
+@query
+def due_without_answer(spark, folder):
+    """Findings of open reviews that the current questions were not answered for."""
+    r = with_status(spark, folder)
+    return classify.due_for_classification(r.queue, r.status, D.QUESTIONS).select("finding_id", "review_id")
+
+
 @query
 def answer_normalisation(spark, folder):
     """Replies in all shapes the classifier is known to use, read back."""
@@ -668,6 +733,29 @@ def policy_masked_findings(spark, folder):
     return seen.select("finding_id", F.inline("evidence"))
 
 
+@query
+def policy_restricted_documents(spark, folder):
+    """What a viewer without any group sees."""
+    documents = D.table(spark, folder, "documents").select(
+        "doc_id", F.col("text").cast("binary").alias("content"), F.col("text").alias("page_text")
+    )
+    seen = policy.apply_policy(documents, set())
+    return seen.select("doc_id", F.col("content").isNull().alias("content_hidden"), "page_text")
+
+
+@query
+def mask_functions(spark, folder):
+    """The masks as SQL functions, for viewers with and without each group."""
+    policy.register_mask_functions(spark)
+    return spark.sql(
+        """SELECT doc_id, mask_document_text(text, array()) AS hidden, md5(mask_document_text(text, array(:texts))) AS shown_md5,
+          mask_raw_document(CAST(text AS BINARY), array(:texts)) IS NULL AS raw_hidden,
+          md5(mask_raw_document(CAST(text AS BINARY), array(:raw))) AS raw_md5 FROM {documents}""",
+        args={"texts": policy.TEXT_READERS, "raw": policy.RAW_READERS},
+        documents=D.table(spark, folder, "documents"),
+    )
+
+
 @query
 def policy_masked_documents(spark, folder):
     documents = D.table(spark, folder, "documents").select(
@@ -678,15 +766,29 @@ def policy_masked_documents(spark, folder):
     )
 
 
+SECRETS = {
+    "signing_key_block": r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----",
+    "cloud_access_key": r"\b(?:AKIA|ASIA)[A-Z2-7]{16}\b",
+    "web_token": r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+    "token_literal": r"token\s*=\s*\"[0-9a-f]{16,}",
+}
+
+
 @query
 def secret_scan(spark, folder):
-    patterns = {
-        "signing_key_block": r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----",
-        "cloud_access_key": r"\b(?:AKIA|ASIA)[A-Z2-7]{16}\b",
-        "web_token": r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
-        "token_literal": r"token\s*=\s*\"[0-9a-f]{16,}",
-    }
-    return scans.secret_scan(D.texts(spark, folder), ["doc_id"], "text", patterns)
+    return scans.secret_scan(D.texts(spark, folder), ["doc_id"], "text", SECRETS)
+
+
+@query
+def secret_scan_notes(spark, folder):
+    """Notes of events, many of which hold a key or a token."""
+    return scans.secret_scan(D.planted_texts(spark, folder), ["event_id"], "text", SECRETS)
+
+
+@query
+def mask_notes(spark, folder):
+    """Notes of events, many of which hold a personal number or a telephone number, with these hidden."""
+    return D.planted_texts(spark, folder).select("event_id", X.fixed(X.mask_identifiers(F.col("text"))).alias("masked"))
 
 
 @query
@@ -696,6 +798,13 @@ def claim_scan(spark, folder):
     )
 
 
+@query
+def residual_notes(spark, folder):
+    """Notes that show an identifier, before and after masking."""
+    notes = D.planted_texts(spark, folder).select("text", X.fixed(X.mask_identifiers(F.col("text"))).alias("masked"))
+    return scans.residual_identifiers(notes, ["text", "masked"], K.INLINE_IDENTIFIERS)
+
+
 @query
 def residual_identifiers(spark, folder):
     patterns = {"cpf": K.INLINE_IDENTIFIERS["cpf"], "email": K.INLINE_IDENTIFIERS["email"], "us_phone": D.US_PHONE}

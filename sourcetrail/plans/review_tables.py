@@ -45,8 +45,9 @@ def kept(spark: SparkSession, folder: str, build: Callable[[], dict[str, DataFra
     """The named tables; ``build`` gives them where one is not there yet."""
     paths = {name: f"{root_of(spark, folder)}/{name}" for name in names}
     if not all(is_built(spark, path) for path in paths.values()):
-        for name, df in build().items():
-            df.write.mode("overwrite").parquet(paths[name])
+        built = build()
+        for name, path in paths.items():
+            built[name].write.mode("overwrite").parquet(path)
     return [spark.read.parquet(path) for path in paths.values()]
 
 

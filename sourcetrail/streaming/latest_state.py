@@ -37,28 +37,42 @@ def sort_key(value):
     return (1, value)
 
 
-def newest_in_batch(keys: list[str], sequence_by: str):
-    """Reduces the events of an Arrow batch to the newest of each key, so a hot key crosses the network as one row
-    per batch and not as all its events."""
+#: Keys of which a task holds the newest row at a time, before rows go on to the state.
+HELD_KEYS = 50_000
+
+
+def newest_in_task(keys: list[str], sequence_by: str, held_keys: int = HELD_KEYS):
+    """Reduces the events of a task to the newest of each key, so a hot key crosses the network as one row per task and
+    not as all its events.  Memory follows `held_keys` and one Arrow batch."""
+
+    def newest(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rest = [n for n in batch.schema.names if n not in keys and n != sequence_by]
+        of = {n: batch.column(batch.schema.get_field_index(n)) for n in batch.schema.names}
+        places: dict[tuple, int] = {}
+        sequence = of[sequence_by]
+        if pa.types.is_timestamp(sequence.type):
+            sequence = sequence.cast(pa.int64())
+        when = [sort_key(v) for v in sequence.to_pylist()]
+
+        def others(i: int):
+            return [sort_key(of[n][i].as_py()) for n in rest]
+
+        for i, key in enumerate(zip(*(of[k].to_pylist() for k in keys), strict=True)):
+            j = places.setdefault(key, i)
+            if j != i and (when[i] > when[j] or (when[i] == when[j] and others(i) > others(j))):
+                places[key] = i
+        return batch.take(pa.array(sorted(places.values()), pa.int64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            rest = [n for n in batch.schema.names if n not in keys and n != sequence_by]
-            of = {n: batch.column(batch.schema.get_field_index(n)) for n in batch.schema.names}
-            places: dict[tuple, int] = {}
-            sequence = of[sequence_by]
-            if pa.types.is_timestamp(sequence.type):
-                sequence = sequence.cast(pa.int64())
-            when = [sort_key(v) for v in sequence.to_pylist()]
-
-            def others(i: int):
-                return [sort_key(of[n][i].as_py()) for n in rest]
-
-            for i, key in enumerate(zip(*(of[k].to_pylist() for k in keys), strict=True)):
-                j = places.setdefault(key, i)
-                if j != i and (when[i] > when[j] or (when[i] == when[j] and others(i) > others(j))):
-                    places[key] = i
-            yield batch.take(pa.array(sorted(places.values()), pa.int64()))
+            reduced = newest(batch)
+            held = reduced if held is None else newest(pa.concat_batches([held, reduced]))
+            if held.num_rows > held_keys:
+                yield held
+                held = None
+        if held is not None:
+            yield held
 
     return run
 
@@ -76,7 +90,8 @@ class LatestRow(StatefulProcessor):
         self.newest = handle.getValueState("newest", self.fields)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        before = tuple(self.newest.get()) if self.newest.exists() else None
+        before = self.newest.get()
+        before = None if before is None else tuple(before)
         best, best_key = before, sort_key(before) if before is not None else ()
         for row in rows:
             own = tuple(row[n] for n in self.held)
@@ -98,7 +113,7 @@ def changed_rows(events: DataFrame, keys: list[str], sequence_by: str) -> DataFr
     Instants are kept as microseconds, as state and rows give them back in different time zones."""
     instants = {f.name for f in events.schema if isinstance(f.dataType, T.TimestampType)}
     plain = events.withColumns({n: F.unix_micros(n) for n in instants})
-    reduced = plain.mapInArrow(newest_in_batch(keys, sequence_by), plain.schema)
+    reduced = plain.mapInArrow(newest_in_task(keys, sequence_by), plain.schema)
     changed = reduced.groupBy(*keys).transformWithState(
         statefulProcessor=LatestRow(plain.schema, keys, sequence_by), outputStructType=plain.schema, outputMode="Update", timeMode="None"
     )
