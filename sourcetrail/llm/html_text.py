@@ -29,7 +29,13 @@ _BLOCK = frozenset(
     " thead tr ul".split()
 )
 _CONTAINER = frozenset("article main section div td body".split())
-_DROPPED = frozenset("nav aside footer form button menu dialog head fieldset".split())
+_DROPPED = frozenset("nav aside footer button menu dialog head fieldset".split())
+#: Elements that are the article or hold it, whatever their class says.
+_WHOLE = frozenset("html body main article".split())
+#: Beginnings of a class that says how a page is laid out, or that belongs to the article.
+_LAYOUT, _OWN = ("with", "no", "has", "without"), ("entry", "post", "article", "story", "content")
+#: A page of which so little text is left without its doubtful elements has its text in one of them.
+_LITTLE = 0.05
 #: Whole words in a class, id or role that mark what is not the article.
 _NAMES = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer dropdown"
@@ -37,6 +43,11 @@ _NAMES = frozenset(
     " promotion recommended related reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe tags"
     " toolbar widget".split()
 )
+#: Of these, what no text of an article stands in, however much it holds.
+_FIRM = frozenset(
+    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies gdpr menu nav navbar"
+    " navigation newsletter pagination pager reply replies respond signup".split()
+)
 _WORDS = re.compile(r"[a-z]+")
 #: What a start tag closes, if open: li closes li, and so on.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -45,33 +56,80 @@ _SCOPES = frozenset("ul ol dl table body html article div section".split())
 
 @dataclass
 class Block:
-    """A run of text within one block element: its text, the characters in links, the open containers around it."""
+    """A run of text within one block element: its text, the characters in links, the open containers around it, and the
+    open elements that are doubtful: their class, or their being a form, says that they are not part of an article."""
 
     text: str
     linked: int
     around: tuple[int, ...]
     dropped: bool
+    doubtful: tuple[int, ...] = ()
+
+    def worth(self) -> float:
+        return max(0.0, len(self.text) - 2.0 * self.linked)
 
 
 @dataclass
 class Page:
+    """Containers by number: their paths, the articles or mains, the containers around each."""
+
     paths: list[str] = field(default_factory=list)
+    tags: list[str] = field(default_factory=list)
+    parents: list[int] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
+    #: doubtful elements that hold an article or a main, and those that hold nothing of one unless they do
+    cleared: set[int] = field(default_factory=set)
+    firm: set[int] = field(default_factory=set)
+
+    def settle(self) -> Page:
+        """Drop the blocks in doubtful elements, but for those that hold the article: an article or main element, or
+        nearly all text there is."""
+        worth: dict[int, float] = {}
+        total = left = 0.0
+        for b in self.blocks:
+            if not b.dropped:
+                open_doubts = [i for i in b.doubtful if i not in self.cleared]
+                total += b.worth()
+                left += 0.0 if open_doubts else b.worth()
+                for i in open_doubts if self.firm.isdisjoint(open_doubts) else ():
+                    worth[i] = worth.get(i, 0.0) + b.worth()
+        while worth and left <= _LITTLE * total and max(worth.values()) > left:
+            best = max(worth, key=lambda i: (worth[i], -i))  # the outermost of those that hold the same
+            left += worth.pop(best)
+            self.cleared.add(best)
+            for i in worth:  # what holds it, or lies within it, keeps its own doubt
+                worth[i] = sum(b.worth() for b in self.blocks if not b.dropped and i in b.doubtful and best in b.doubtful)
+            worth = {i: w for i, w in worth.items() if w and left <= _LITTLE * total}
+        for b in self.blocks:
+            b.dropped = b.dropped or any(i not in self.cleared for i in b.doubtful)
+        return self
+
+
+def _names(text: str, within: bool) -> set[str]:
+    """Words of classes, ids or roles that speak of what an element is; within an article a header is its own."""
+    found: set[str] = set()
+    for token in text.lower().split():
+        words = _WORDS.findall(token)
+        if words and not (len(words) > 1 and words[0] in _LAYOUT):
+            found.update(w for w in words if w != "header" or not (within or words[0] in _OWN))
+    return found
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """Generalised step of a path, and whether the element is not part of an article."""
+def _label(tag: str, attributes: str, within: bool) -> tuple[str, bool, bool, bool]:
+    """Generalised step of a path, whether the element is not part of an article, whether that is doubtful, and firmly so."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
     classes = sorted({re.sub(r"\d+", "", c.lower()) for c in found.get("class", "").split()} - {""})
-    names = set(_WORDS.findall(f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}".lower()))
+    names = _names(f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}", within)
     hidden = "hidden" in attributes.lower().split() or "display:none" in found.get("style", "").replace(" ", "").lower()
-    return ".".join([tag, *classes]), tag in _DROPPED or hidden or bool(names & _NAMES)
+    doubtful = tag not in _WHOLE and (tag == "form" or bool(names & _NAMES))
+    return ".".join([tag, *classes]), tag in _DROPPED or hidden, doubtful, bool(names & _FIRM)
 
 
 def parse(source: str | None) -> Page:
     """Blocks of text in page order.  Unclosed and stray tags, raw texts and comments are dealt with as browsers do."""
     page, text = Page(), source or ""
-    stack: list[tuple[str, str, bool, int]] = []  # tag, path, dropped, number of the container or -1
+    stack: list[tuple[str, str, bool, int, int]] = []  # tag, path, dropped, number of the container or -1, of the doubt or -1
+    doubts = 0
     parts: list[str] = []
     linked, links_open, end, at = 0, 0, len(text), 0
 
@@ -81,7 +139,8 @@ def parse(source: str | None) -> Page:
             words = " ".join(html.unescape("".join(parts)).split())
             if words:
                 around = tuple(x[3] for x in stack if x[3] >= 0)
-                page.blocks.append(Block(words, linked, around, any(x[2] for x in stack)))
+                doubtful = tuple(x[4] for x in stack if x[4] >= 0)
+                page.blocks.append(Block(words, linked, around, any(x[2] for x in stack), doubtful))
             parts.clear()
         linked = 0
 
@@ -141,17 +200,25 @@ def parse(source: str | None) -> Page:
             continue
         if tag in _BLOCK:
             flush()
-        step, dropped = _label(tag, m[3])
-        dropped = dropped or (tag == "header" and not any(x[0] in ("article", "main") for x in stack))
+        within = any(x[0] in ("article", "main") for x in stack)
+        step, dropped, doubtful, firm = _label(tag, m[3], within)
+        dropped = dropped or (tag == "header" and not within)
+        if tag in ("article", "main") and not within:
+            page.cleared.update(x[4] for x in stack)
         path = f"{stack[-1][1]}>{step}" if stack and tag in _BLOCK else stack[-1][1] if stack else step
         number = -1
         if tag in _CONTAINER:
             number = len(page.paths)
             page.paths.append(path)
-        stack.append((tag, path, dropped, number))
+            page.tags.append(tag)
+            page.parents.append(next((x[3] for x in reversed(stack) if x[3] >= 0), -1))
+        stack.append((tag, path, dropped, number, doubts if doubtful else -1))
+        if doubtful and firm:
+            page.firm.add(doubts)
+        doubts += doubtful
         links_open += tag == "a"
     flush()
-    return page
+    return page.settle()
 
 
 def best_container(page: Page) -> int:
@@ -161,21 +228,39 @@ def best_container(page: Page) -> int:
     for b in page.blocks:
         if b.dropped:
             continue
-        worth = max(0.0, len(b.text) - 2.0 * b.linked)
+        worth = b.worth()
         for number in reversed(b.around):
             scores[number] = scores.get(number, 0.0) + worth
             worth /= 2
     return max(scores, key=lambda i: (scores[i], i)) if scores else -1
 
 
+def whole_of(page: Page, number: int) -> int:
+    """The outermost article around a container, else the main around it, else the container itself."""
+    around, found = number, {}
+    while around >= 0:
+        found[page.tags[around]] = around
+        around = page.parents[around]
+    return found.get("article", found.get("main", number))
+
+
 def extract(page: Page, path: str | None) -> str:
-    """Text of the containers with the path; of the page's own best container where there is none."""
+    """Text of the containers with the path, of the page's own best container where there is none.
+
+    A container within an article or main stands for all of it.  Elsewhere the text that stands beside it, directly in the
+    container around it and not mostly links, belongs to it too."""
     chosen = {i for i, p in enumerate(page.paths) if p == path} if path else set()
-    texts = [b.text for b in page.blocks if not b.dropped and chosen.intersection(b.around)] if chosen else []
-    if not texts:
-        own = best_container(page)
-        texts = [b.text for b in page.blocks if not b.dropped and (own in b.around or (own < 0 and not b.around))]
-    return "\n".join(texts)
+    if not any(not b.dropped and chosen.intersection(b.around) for b in page.blocks):
+        chosen = {best_container(page)} - {-1}
+    whole = {whole_of(page, i) for i in chosen}
+    beside = {page.parents[i] for i in whole if page.tags[i] not in ("article", "main", "body")} - {-1}
+
+    def belongs(b: Block) -> bool:
+        if not chosen:
+            return not b.around
+        return bool(whole.intersection(b.around)) or (b.around[-1:] and b.around[-1] in beside and 2 * b.linked <= len(b.text))
+
+    return "\n".join(b.text for b in page.blocks if not b.dropped and belongs(b))
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
