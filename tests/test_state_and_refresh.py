@@ -45,6 +45,26 @@ def test_fifty_batches_leave_few_runs(spark, tmp_path):
     assert len(seen) == 51 and sum(n for _, n in seen) == changed
 
 
+def test_state_has_a_store_per_core_at_most_and_runs_no_python(spark, tmp_path):
+    source, state, check = (str(tmp_path / n) for n in ("in", "state", "check"))
+    rows = [("a", 1.0, "x", None), ("a", 2.0, "y", (1, [2])), (None, None, None, None), (None, float("nan"), "z", None)]
+    spark.createDataFrame(rows, EVENTS).coalesce(1).write.parquet(source)
+    events = spark.readStream.schema(EVENTS).parquet(source)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        latest_state.start_latest_state(events, ["k"], "s", state, check).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    stores = [n for n in os.listdir(f"{check}/state/0") if n.isdigit()]
+    assert 0 < len(stores) <= spark.sparkContext.defaultParallelism
+    plan = latest_state.changed_rows(events, ["k"], "s")._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" not in plan and "TransformWithState" not in plan
+    got = latest_state.read_latest_state(spark, state, spark.read.parquet(source).schema, ["k"], "s").collect()
+    assert sorted((str(r.k), r.v) for r in got) == [("None", "z"), ("a", "y")]
+
+
 def test_runs_are_replaced_whole(spark, tmp_path):
     schema = "k int, s int"
     table = RunFolders(spark, str(tmp_path / "t"), schema, ["k"], "s")
