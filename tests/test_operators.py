@@ -195,6 +195,14 @@ def test_large_groups_are_whole_and_never_arrays(spark):
     assert "1.0 g (D2500 p.1); 2.0  (D2501 p.1)." in text["K"] and len({t for t in text}) == 3
 
 
+def test_conflicts_and_findings_show_their_evidence(spark):
+    from sourcetrail.plans.registry import REGISTRY
+
+    for name in ("conflicts",):
+        rows = REGISTRY[name](spark, "/root/testdata/sf0.001").select("n_evidence", "evidence").collect()
+        assert rows and all(len(r.evidence.split(",")) == r.n_evidence for r in rows)
+
+
 def test_versions_are_told_once(spark):
     rows = [("d2", 1, 5, 50, "1", "g"), ("d2", 1, 2, 20, "1", "g"), ("d2", 1, 3, 30, "2", None), ("d10", 2, 1, 0, "9", "x"), ("d10", 1, 9, 90, "8", "x"), ("d10", 1, 9, 90, "8", "x")]
     df = spark.createDataFrame([("K", *r) for r in rows], "k string, document_id string, page_num int, line_no int, char_start int, value_raw string, unit string")
