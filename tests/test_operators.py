@@ -195,10 +195,22 @@ def test_large_groups_are_whole_and_never_arrays(spark):
     assert "1.0 g (D2500 p.1); 2.0  (D2501 p.1)." in text["K"] and len({t for t in text}) == 3
 
 
+def test_heads_point_to_all_their_evidence(spark):
+    rows = [("HOT", 1, float(i % 3), "g") for i in range(1200)] + [("V", 1, 1.0, "g"), ("V", 2, 300.0, "g")]
+    m = feed(spark, rows)
+    found = findings.findings(m.union(m.where("test_code = 'V' and value = 300")), evidence.measurement_gaps(m).where("false"))
+    got = findings.with_pointers(found.heads, found.sources).collect()
+    assert len(got) == found.heads.count()
+    for r in got:
+        places = r.evidence.split(",")
+        assert places == sorted(places) and len(places) == r.n_evidence
+    assert max(r.n_evidence for r in got) == 1200
+
+
 def test_conflicts_and_findings_show_their_evidence(spark):
     from sourcetrail.plans.registry import REGISTRY
 
-    for name in ("conflicts",):
+    for name in ("conflicts", "findings_all"):
         rows = REGISTRY[name](spark, "/root/testdata/sf0.001").select("n_evidence", "evidence").collect()
         assert rows and all(len(r.evidence.split(",")) == r.n_evidence for r in rows)
 
