@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +59,11 @@ def review_feeds(terms: K.Terms = K.DEFAULT_TERMS) -> dict[str, Feed]:
     }
 
 
+def _packed(df: DataFrame) -> DataFrameWriter:
+    """Events repeat most of what they hold; their tables are written with a closer compression than usual."""
+    return df.write.mode("overwrite").option("compression", "zstd")
+
+
 class FeedRun:
     """The tables of a run below ``root``."""
 
@@ -82,7 +87,7 @@ class FeedRun:
 
     def _take(self, batch: DataFrame, number: int) -> None:
         folder = f"{self.root}/lines/batch={number}"
-        batch.write.mode("overwrite").partitionBy("feed").parquet(folder)  # written once, read by feed
+        _packed(batch).partitionBy("feed").parquet(folder)  # written once, read by feed
         lines = self.spark.read.schema(batch.schema).parquet(folder)
         counts = BatchCounts(number)
         for name in sorted(r.feed for r in lines.select("feed").distinct().collect()):  # one of a few folders
@@ -94,14 +99,14 @@ class FeedRun:
             normal = counts.observe(normal, name, feed.rules, "drop")
             checked = normal.withColumn("broken_rules", quality.broken_rules(feed.rules))
             checked = checked.withColumn("accepted", F.size("broken_rules") == 0)
-            checked.write.mode("overwrite").partitionBy("accepted").parquet(f"{self.path('checked', name)}/batch={number}")
+            _packed(checked).partitionBy("accepted").parquet(f"{self.path('checked', name)}/batch={number}")
         table = counts.table(self.spark).coalesce(1)
         table.write.mode("overwrite").parquet(f"{self.root}/counts/batch={number}")
         self._remove(folder)
 
     def _written(self, df: DataFrame, table: str, feed: str, number: int) -> DataFrame:
         path = f"{self.path(table, feed)}/batch={number}"
-        df.write.mode("overwrite").parquet(path)
+        _packed(df).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def schema_of(self, feed: Feed):

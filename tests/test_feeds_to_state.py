@@ -104,3 +104,17 @@ def test_streams_and_batches_count_alike(spark, tmp_path):
         spark.streams.removeListener(seen)
     with pytest.raises(PySparkException, match="expectation failed: positive"):
         quality.expect(df.where("k is not null and n is null"), rules, "fail").count()
+
+
+def test_landed_lines_and_tables_of_a_run_are_compressed(spark):
+    from sourcetrail.plans import registry
+
+    run = registry.feed_run_of(spark, "/root/testdata/sf0.001", ["cases"])
+    run.ingest("*.txt.snappy")
+    root = run.root.removeprefix("file://")
+    landed = [n for n in os.listdir(f"{root}/landing/cases") if n.startswith("part-")]
+    assert landed and all(n.endswith(".txt.snappy") for n in landed)
+    tables = [n for table in ("raw", "checked") for _, _, names in os.walk(f"{root}/{table}/cases") for n in names if n.endswith(".parquet")]
+    assert tables and all(n.endswith(".zstd.parquet") for n in tables)
+    seen = {r.rule: r.n_rows for r in run.counts().collect()}
+    assert set(seen.values()) == {spark.read.text(f"{run.landing}/cases").count()}
