@@ -91,7 +91,7 @@ def _dated_lines(text: Column) -> Column:
 
     def dated(lines: Column) -> Column:
         def step(line: Column, at: Column) -> Column:
-            sets_date = F.contains(line, F.lit(":")) & line.rlike(K.DATE_LINE)
+            sets_date = F.contains(line, F.lit(":")) & line.rlike(K.DATE_LINE_NEEDS) & line.rlike(K.DATE_LINE)
             return F.struct(F.length(line).alias("n"), F.when(sets_date, at + 1).otherwise(0).alias("at"))
 
         def carried(last: Column, line: Column) -> Column:
