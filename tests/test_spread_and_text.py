@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from sourcetrail import contract as K
 from sourcetrail import session
 from sourcetrail.functions import text as X
+from sourcetrail.operators import digest
 from sourcetrail.plans import driver_feeds as D
 
 
@@ -57,3 +59,23 @@ def test_a_text_with_the_mark_is_split_like_any_other(spark):
     masked = [r.masked for r in got]
     assert masked[4] == "CPF: 1\nx\x01 ***.***.***-** e ***********"
     assert masked[5] == "fone (**) *****-****" and masked[6] == texts[6] and masked[:4] == texts[:4]
+
+
+def test_tree_digest_sends_bytes_and_is_the_digest_of_the_definition(spark):
+    items = [("a", str(i % 700)) for i in range(1500)] + [(None, "ã"), (None, "ã"), ("b", None), ("c", "")]
+    rows = spark.createDataFrame(items, "k string, v string")
+    for digits in (1, 3, 4):
+        tree = digest.tree_digest(rows, ["k"], F.col("v"), digits)
+        leaves: dict = {}
+        for key, value in items:
+            if value is not None:
+                h = hashlib.sha256(value.encode()).hexdigest()
+                leaves.setdefault(key, {}).setdefault(h[:digits], []).append(h)
+        sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+        wanted = {
+            key: (sha("".join(leaf + sha("".join(sorted(own[leaf]))) for leaf in sorted(own))), sum(map(len, own.values())))
+            for key, own in leaves.items()
+        }
+        assert {r.k: (r.digest, r.n_items) for r in tree.collect()} == wanted
+    plan = tree._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("RepartitionByExpression") == 2  # rows of bytes, no aggregates of text
