@@ -79,3 +79,16 @@ def test_tree_digest_sends_bytes_and_is_the_digest_of_the_definition(spark):
         assert {r.k: (r.digest, r.n_items) for r in tree.collect()} == wanted
     plan = tree._jdf.queryExecution().optimizedPlan()
     assert plan.toString().count("RepartitionByExpression") == 2  # rows of bytes, no aggregates of text
+
+
+def test_tasks_behind_an_exchange_are_small(spark):
+    session.adapt(spark)
+    wide = spark.range(3_000_000).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    parts = wide.groupBy("h").agg(F.count("*").alias("n")).groupBy(F.spark_partition_id().alias("p")).count()
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert parts.count() > 8  # one task per core before
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
