@@ -30,6 +30,8 @@ LEAST_ITEM = 5
 OVERLAP, AGREE = 12, 0.75
 #: Bits of the scanning filter, a fixed 2 MB whatever the benchmark's size; a fuller filter only passes more to the join.
 FILTER_BITS = 1 << 24
+#: Tokens (or documents, where they are empty) that are scanned at once.
+BLOCK = 1 << 14
 
 #: Scripts that put no spaces between words: South-East Asian ones and Tibetan, kana, bopomofo, yi, Han.
 _UNSPACED = (
@@ -102,26 +104,54 @@ def _scan(bitmap: np.ndarray, masks: tuple[str, ...]):
     names = ["doc_id", "text_hash", "tokens", "seeds", "places"]
     types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())]
 
+    def found(block: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Document of the block, seed and place of all that passes, by document, mask and place."""
+        t, ends = np.concatenate(block), np.cumsum([len(own) for own in block])
+        owners, seeds, places = [], [], []
+        for mask in masks:
+            h = seed_hashes(t, mask)
+            hit = passes(h)
+            owner = np.searchsorted(ends, hit, side="right")
+            inside = hit + len(mask) <= ends[owner]  # else the mask would reach into the next document
+            hit, owner = hit[inside], owner[inside]
+            if len(mask) < LEAST_ITEM - 1:  # whole items: the first occurrence is the one that counts
+                order = np.lexsort((hit, h[hit], owner))
+                again = (np.diff(owner[order]) == 0) & (np.diff(h[hit[order]]) == 0)
+                first = np.sort(order[np.concatenate([[True], ~again])[: len(order)]])
+                hit, owner = hit[first], owner[first]
+            owners.append(owner)
+            seeds.append(h[hit])
+            places.append(hit)
+        owner, at = np.concatenate(owners), np.concatenate(places)
+        order = np.argsort(owner, kind="stable")
+        starts = np.concatenate([[0], ends])[owner]
+        return owner[order], np.concatenate(seeds)[order].view(np.int64), (at - starts)[order].astype(np.int32)
+
+    def passed(docs: list[tuple]) -> pa.RecordBatch:
+        owner, seeds, places = found([t for _, _, t in docs])
+        rows = []
+        for d, n in zip(*(x.tolist() for x in np.unique(owner, return_counts=True)), strict=True):
+            doc_id, text_hash, t = docs[d]
+            rows.append((doc_id, text_hash, t.view(np.int64), seeds[:n], places[:n]))
+            seeds, places = seeds[n:], places[n:]
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
+        cache, docs, n = WordHashes(), [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 cache.trim()
-                rows = []
                 for doc_id, text_hash, text in zip(*(c.to_pylist() for c in batch.slice(at, 1000).columns), strict=True):
                     t = tokens(text, cache)
-                    seeds, places = [], []
-                    for mask in masks:
-                        h = seed_hashes(t, mask)
-                        hit = passes(h)
-                        if len(mask) < LEAST_ITEM - 1:  # whole items: the first occurrence is the one that counts
-                            hit = hit[np.sort(np.unique(h[hit], return_index=True)[1])]
-                        seeds += h[hit].view(np.int64).tolist()
-                        places += hit.tolist()
-                    if seeds:
-                        rows.append((doc_id, text_hash, t.view(np.int64), seeds, places))
-                columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+                    docs.append((doc_id, text_hash, t))
+                    n += len(t)
+                    if n >= BLOCK or len(docs) >= BLOCK:
+                        if masks:
+                            yield passed(docs)
+                        docs, n = [], 0
+        if docs and masks:
+            yield passed(docs)
 
     return run
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from sourcetrail.llm import decontamination
 from tests.llm import helpers
@@ -79,3 +80,31 @@ def test_short_items_and_scripts_without_spaces(spark):
     table = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
     found = decontamination.leaks(helpers.documents(spark, texts), table).collect()
     assert {(x.doc_id, x.item_id) for x in found} == truth
+
+
+def test_documents_are_scanned_in_blocks_and_seeds_stay_within_their_document(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(6)]
+    texts = [" ".join(rng.choice(words, n)) for n in rng.integers(0, 30, 300)] + [None, "", "w1", "w1 w1 w2 w1"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array(texts)], ["a", "b", "c"])
+    masks = tuple(sorted({m for n in (1, 2, 3, 5, 12) for m in decontamination.masks_of(n)}))
+    everything = np.full(decontamination.FILTER_BITS // 8, 255, np.uint8)
+    own, calls = decontamination.seed_hashes, []
+    wanted, cache = [], decontamination.WordHashes()
+    for i, text in enumerate(texts):
+        pairs, t = [], decontamination.tokens(text, cache)
+        for mask in masks:
+            seen = set()
+            for place, h in enumerate(own(t, mask).view(np.int64).tolist()):
+                if len(mask) >= decontamination.LEAST_ITEM - 1 or h not in seen:
+                    pairs.append((h, place))
+                seen.add(h)
+        if pairs:
+            wanted.append((i, t.view(np.int64).tolist(), pairs))
+
+    monkeypatch.setattr(decontamination, "seed_hashes", lambda t, mask: calls.append(mask) or own(t, mask))
+    for block in (1 << 14, 100, 1):
+        monkeypatch.setattr(decontamination, "BLOCK", block, raising=False)
+        out = [r for b in decontamination._scan(everything, masks)(iter([batch])) for r in b.to_pylist()]
+        assert [(r["doc_id"], r["tokens"], list(zip(r["seeds"], r["places"], strict=True))) for r in out] == wanted
+        assert block != 1 << 14 or len(calls) == len(masks)  # once for all documents, not once for each
