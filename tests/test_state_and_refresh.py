@@ -6,7 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sourcetrail import session
 from sourcetrail.operators import cdc
+from sourcetrail.plans import driver_feeds as D
+from sourcetrail.plans import registry
 from sourcetrail.streaming import case_tables, latest_state
 from sourcetrail.streaming.run_folders import RunFolders
 
@@ -133,3 +136,23 @@ def test_one_case_reads_one_bucket(spark, tmp_path):
     assert "case_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
     some = tables.read("t", cases=spark.createDataFrame([("c1",), ("c2",)], "case_id string"))
     assert some.count() == 10
+
+
+def test_a_batch_of_a_refresh_is_dealt_out(spark, tmp_path, monkeypatch):
+    """However large a batch is, its files and with them its tasks stay of one size."""
+    monkeypatch.setattr(session, "DEALT_BYTES", 2 << 10)
+    events = spark.range(6000).selectExpr(
+        "id % 5900 AS event_id", "timestamp_seconds(id % 5900 * 1000) AS ts", "id % 5900 % 7 AS user_id", "'click' AS event_type",
+        "rand(1) AS value", "concat('{\"k\": ', id % 5900, '}') AS props",
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    tables = registry.refreshed_tables(spark, str(tmp_path), ["comparison"])
+    changes = tables.path("measurements") + "_changes"
+    read = spark.read.parquet(changes)
+    assert read.select("batch").distinct().count() == 3
+    landed = spark.read.parquet(os.path.dirname(tables.root.removeprefix("file://")) + "/events")
+    files = landed.groupBy(F.input_file_name().alias("f")).count().collect()
+    assert len(files) > 3 * 4 and max(r["count"] for r in files) < 1000
+    ids = D.measurements(spark, str(tmp_path)).select("measurement_id").distinct()
+    assert tables.read("measurements").select("measurement_id").exceptAll(ids).count() == 0
+    assert tables.read("measurements").count() == ids.count() == 5900
