@@ -1,8 +1,10 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
+from sourcetrail.llm import repeats
 from sourcetrail.llm.repeats import merged, without_repeats
 from tests.llm import helpers
 
@@ -52,3 +54,23 @@ def test_rows_that_share_an_id(spark):
 
 def test_merged():
     assert merged([(5, 9), (0, 3), (3, 4), (8, 12)]) == [[0, 4], [5, 12]]
+
+
+def test_a_context_at_the_end_of_a_text_is_compared_like_any_other(spark, monkeypatch):
+    """It has a hash in each stretch it has windows in, equal to that of all contexts that share one of them."""
+    r, least = random.Random(8), 120
+    reach = least - repeats.anchor_length(least)
+    text = r.randbytes(reach + least)
+    whole, cut_left, cut_right = (reach, text), (reach - 31, text[31:]), (reach, text[:-31])
+    rows = [(1, c1, 0, lead, data) for c1, (lead, data) in enumerate((whole, cut_left, cut_right))]
+    names = ["bucket", "c1", "c2", "lead", "context"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=names)
+    got = {(x["stretch"], x["c1"]): x["shared"] for b in repeats._shared(least)(iter([batch])) for x in b.to_pylist()}
+    stretches = repeats._stretches(least)
+    assert {c for _, c in got} == {0, 1, 2} and len(got) > 2 * len(stretches)
+    assert all(h is not None and h == got[i, 0] for (i, _), h in got.items())
+    texts = [t.hex() for t in (text, text[31:], text[:-31], b"")]
+    want = helpers.without_repeats(texts, least)
+    assert cut(spark, texts, least, bucket_rows=1) == want
+    monkeypatch.setattr(repeats, "SENT_ROWS", 0)
+    assert cut(spark, texts, least, bucket_rows=1) == want
