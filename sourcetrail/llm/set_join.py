@@ -233,18 +233,20 @@ def classes_of_rows(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         _profiles(k, percent), "doc_id long, text_hash long, n long, mark binary, sigs array<long>, second_hash long"
     )
     scratch = Scratch()
-    profiles = scratch.written(profiles.select(F.monotonically_increasing_id().alias("row"), "*"), "set-profiles")
+    signed = scratch.written(profiles.select(F.monotonically_increasing_id().alias("row"), "*"), "set-signatures")
+    profiles = scratch.written(signed.drop("sigs"), "set-profiles")
     # equal sets are one: the row with the smallest number stands for all
     heads = profiles.where("mark is not null").groupBy("mark").agg(F.min("row").alias("rid"), F.min("n").alias("n"))
     heads = scratch.written(heads, "set-heads")
     own = ["row", "doc_id", "text_hash", "second_hash", "n"]
     members = profiles.select(*own, "mark").join(heads.select("mark", "rid"), "mark", "left").select(*own, "rid")
     # first the signatures that stand more than once, then without those of equal sets
-    entries = profiles.select(F.col("row").alias("rid"), F.explode("sigs").alias("sig"))
+    entries = signed.select(F.col("row").alias("rid"), F.explode("sigs").alias("sig"))
     shared = entries.groupBy("sig").agg(F.count("*").alias("length")).where("length > 1").select("sig")
-    lists = scratch.written(entries.join(shared, "sig").join(heads.select("rid", "n"), "rid"), "set-entries")
-    shared = lists.groupBy("sig").agg(F.count("*").alias("length")).where("length > 1")
-    lists = scratch.written(lists.join(shared, "sig"), "set-lists")
+    repeated = scratch.written(entries.join(shared, "sig").join(heads.select("rid", "n"), "rid"), "set-entries")
+    shared = repeated.groupBy("sig").agg(F.count("*").alias("length")).where("length > 1")
+    lists = scratch.written(repeated.join(shared, "sig"), "set-lists")
+    scratch.drop(signed, repeated)  # most of what is on disk so far; the lists hold all that is used of it
 
     if is_empty(lists):
         labelled = members.withColumn("component", F.col("rid"))

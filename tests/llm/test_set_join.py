@@ -65,3 +65,22 @@ def test_components(spark):
                 least[u] = least[v] = min(least[u], least[v])
     got = components(spark.createDataFrame(edges, "u long, v long")).collect()
     assert {x.node: x.component for x in got} == least
+
+
+def test_signatures_are_gone_when_pairs_are_compared(spark, monkeypatch):
+    """They are by far the largest table; the pairs' sets need the disk."""
+    seen, links = [], set_join._links
+
+    def looked(docs, profiles, lists, k, percent, scratch):
+        assert "sigs" not in profiles.columns
+        seen.append([t for t in scratch.tables if "sigs" in t.columns])
+        return links(docs, profiles, lists, k, percent, scratch)
+
+    monkeypatch.setattr(set_join, "_links", looked)
+    rng = random.Random(3)
+    text = [f"w{rng.randrange(500)}" for _ in range(300)]
+    texts = [" ".join(text), " ".join(text[1:]), " ".join(text), " ".join(reversed(text)), None]
+    rows = set_join.jaccard_classes(helpers.documents(spark, texts)).orderBy("doc_id").collect()
+    assert seen == [[]]
+    ids = [r.doc_id for r in rows]
+    assert [r.component_id for r in rows] == [ids[0]] * 3 + ids[3:]
