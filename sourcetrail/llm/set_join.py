@@ -12,8 +12,10 @@ most a + b - 2 o elements are in one of them only.
 * **The boundary** is the first size at which listing subsets costs more than keeping and scanning slices.
 
 Lists are then scanned in rounds.  A parity sketch of 1,024 bits stands beside each entry and rules most pairs out at
-once (it can only ever rule out pairs that differ in too many elements).  A round compares the members of a list with one centre of the list, verifies these
-pairs on the whole sets, and labels what they connect; lists with one label are left out from then on.  What remains
+once (it can only ever rule out pairs that differ in too many elements).  Sets may differ in more elements than such a
+sketch can show when they are large, so pairs of large sets then go through sketches that follow their size.  A round
+compares the members of a list with one centre of the list, verifies the pairs that are left
+on the whole sets, and labels what they connect; lists with one label are left out from then on.  What remains
 after the rounds is compared pair by pair across labels, so no link is lost and a group of many near copies costs a
 few comparisons per member, not all pairs.
 """
@@ -174,14 +176,36 @@ def _profiles(k: int, percent: int):
     return run
 
 
-def sketch(s: np.ndarray) -> np.ndarray:
-    """Parity of the number of elements in each of 64 * SKETCH cells.  Two sketches differ in at most as many bits as
+def sketch(s: np.ndarray, bits: int = 64 * SKETCH) -> np.ndarray:
+    """Parity of the number of elements in each of so many cells.  Two sketches differ in at most as many bits as
     elements are in one of the sets only, so a pair can be ruled out, never ruled in, without its sets."""
-    cells = np.bincount((mix(s + _U(7)) % _U(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    cells = np.bincount((mix(s + _U(7)) % _U(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(cells.astype(np.uint8)).view(np.uint64)
 
 
-def _whole_sets(k: int):
+def wide_bits(n: int) -> int:
+    """Cells of the wide sketch of a set of size n: a power of two, two cells for each element or more."""
+    return max(64 * SKETCH, 1 << (2 * n - 1).bit_length())
+
+
+def folded(wide: np.ndarray, length: int) -> np.ndarray:
+    """The sketch of fewer cells, a divisor of the wide one's."""
+    return np.bitwise_xor.reduce(wide.reshape(-1, length), axis=0)
+
+
+def may_link(a: int, b: int, left: bytes | None, right: bytes | None, percent: int) -> bool:
+    """Whether sets of sizes a and b with these wide sketches can link; without one the narrow sketch has spoken."""
+    if left is None or right is None:
+        return True
+    x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+    length = min(len(x), len(y))
+    differ = int(np.bitwise_count(folded(x, length) ^ folded(y, length)).sum())
+    return differ <= a + b - 2 * overlap(a, b, percent)
+
+
+def _each_set(k: int, names: list[str], columns):
+    """Columns of the sets whose mark is the row's, from (rid, text, mark)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, last = WordHashes(), None
         for batch in batches:
@@ -197,8 +221,24 @@ def _whole_sets(k: int):
                         last = rid
                         rids.append(rid)
                         sets.append(s)
-                columns = [pa.array(rids, pa.int64()), _lists(sets), _lists([sketch(s) for s in sets])]
-                yield pa.RecordBatch.from_arrays(columns, names=["rid", "elements", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), *columns(sets)], names=["rid", *names])
+
+    return run
+
+
+def _sketches(sets: list[np.ndarray]) -> list[pa.Array]:
+    wide = [sketch(s, wide_bits(len(s))) for s in sets]
+    beyond = pa.array([w.tobytes() if len(w) > SKETCH else None for w in wide], pa.binary())
+    return [_lists([folded(w, SKETCH) for w in wide]), beyond]
+
+
+def _near_pairs(percent: int):
+    """Of pairs with sizes and wide sketches (u, v, n, wide, n2, wide2) those that can link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("n", "n2", "wide", "wide2")), strict=True)
+            yield batch.select(["u", "v"]).filter(pa.array([may_link(*row, percent) for row in rows], pa.bool_()))
 
     return run
 
@@ -240,9 +280,11 @@ def classes_of_rows(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     heads = scratch.written(heads, "set-heads")
     own = ["row", "doc_id", "text_hash", "second_hash", "n"]
     members = profiles.select(*own, "mark").join(heads.select("mark", "rid"), "mark", "left").select(*own, "rid")
-    # first the signatures that stand more than once, then without those of equal sets
+    # first the signatures that stand more than once, then without those of equal sets; one exchange serves the counts
+    # and the entries that are joined with them, as both read the same rows and columns
     entries = signed.select(F.col("row").alias("rid"), F.explode("sigs").alias("sig"))
-    shared = entries.groupBy("sig").agg(F.count("*").alias("length")).where("length > 1").select("sig")
+    entries = entries.where("rid is not null and sig is not null").repartition("sig")
+    shared = entries.groupBy("sig").agg(F.count("rid").alias("length")).where("length > 1").select("sig")
     repeated = scratch.written(entries.join(shared, "sig").join(heads.select("rid", "n"), "rid"), "set-entries")
     shared = repeated.groupBy("sig").agg(F.count("*").alias("length")).where("length > 1")
     lists = scratch.written(repeated.join(shared, "sig"), "set-lists")
@@ -276,21 +318,34 @@ def classes_of_rows(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 def _links(docs: DataFrame, profiles: DataFrame, lists: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
     """Verified links between the sets in the lists, enough to connect what any link connects."""
-    spark = docs.sparkSession
     # the texts of listed sets, found again by the row's mark
     listed = profiles.join(lists.select(F.col("rid").alias("row")).distinct(), "row")
-    named = listed.select("doc_id", "text_hash", F.col("row").alias("rid"), "mark")
-    sets = scratch.written(_sets_of(docs, named, k), "set-elements")
+    named = listed.select("doc_id", "text_hash", F.col("row").alias("rid"), "mark", "n")
+    sketched = _texts_of(docs, named).mapInArrow(_each_set(k, ["sketch", "wide"], _sketches), "rid long, sketch array<long>, wide binary")
+    sets = scratch.written(sketched.dropDuplicates(["rid"]), "set-sketches")
+    wides = sets.join(named.select("rid", "n"), "rid").select("rid", "n", "wide")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("rid").alias("u"), F.col("elements").alias("a"))
-        right = sets.select(F.col("rid").alias("v"), F.col("elements").alias("b"))
+        left = wides.withColumnRenamed("rid", "u")
+        right = wides.select(F.col("rid").alias("v"), F.col("n").alias("n2"), F.col("wide").alias("wide2"))
+        rest = pairs.join(left, "u").join(right, "v").select("u", "v", "n", "wide", "n2", "wide2")
+        rest = scratch.written(rest.mapInArrow(_near_pairs(percent), "u long, v long"), "set-near-pairs")
+        # whole sets are made and moved for these pairs only
+        ends = rest.select(F.col("u").alias("rid")).union(rest.select(F.col("v").alias("rid"))).distinct()
+        texts = _texts_of(docs, named.join(ends, "rid"))
+        whole = texts.mapInArrow(_each_set(k, ["elements"], lambda sets: [_lists(sets)]), "rid long, elements array<long>")
+        whole = scratch.written(whole, "set-elements")
+        left = whole.select(F.col("rid").alias("u"), F.col("elements").alias("a"))
+        right = whole.select(F.col("rid").alias("v"), F.col("elements").alias("b"))
         both = F.size(F.array_intersect("a", "b"))
         union = F.size("a") + F.size("b") - both
-        return pairs.join(left, "u").join(right, "v").where(100 * both >= percent * union).select("u", "v")
+        found = rest.join(left, "u").join(right, "v").where(100 * both >= percent * union).select("u", "v")
+        found = scratch.written(found, "set-links")
+        scratch.drop(rest, whole)
+        return found
 
     bits = [f"b{i}_" for i in range(SKETCH)]
-    sketches = sets.dropDuplicates(["rid"]).select("rid", *[F.col("sketch")[i].alias(b) for i, b in enumerate(bits)])
+    sketches = sets.select("rid", *[F.col("sketch")[i].alias(b) for i, b in enumerate(bits)])
     # a set in many long lists is close to many: those are the centres
     weights = lists.groupBy("rid").agg(F.sum("length").alias("weight")).join(sketches, "rid")
     whole_lists = scratch.written(lists.join(weights, "rid"), "set-open-lists")
@@ -318,7 +373,7 @@ def _links(docs: DataFrame, profiles: DataFrame, lists: DataFrame, k: int, perce
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = scratch.written(pairs, "set-pairs")
-        found = scratch.written(verified(pairs), "set-links")
+        found = verified(pairs)
         links = found if links is None else links.union(found)
         if turn == ROUNDS:
             break
@@ -337,9 +392,8 @@ def _links(docs: DataFrame, profiles: DataFrame, lists: DataFrame, k: int, perce
     return links
 
 
-def _sets_of(docs: DataFrame, named: DataFrame, k: int) -> DataFrame:
-    """(rid, elements, sketch) of the listed sets, from the texts.  A doc_id may be null or stand on several rows."""
+def _texts_of(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """(rid, text, mark) of the named sets.  A doc_id may be null or stand on several rows."""
     keys = [F.coalesce("doc_id", F.lit(-1)).alias("key"), "text_hash"]
     texts = docs.select("text", F.xxhash64("text").alias("text_hash"), "doc_id").select("text", *keys)
-    texts = texts.join(named.select("rid", "mark", *keys), ["key", "text_hash"])
-    return texts.select("rid", "text", "mark").mapInArrow(_whole_sets(k), "rid long, elements array<long>, sketch array<long>")
+    return texts.join(named.select("rid", "mark", *keys), ["key", "text_hash"]).select("rid", "text", "mark")

@@ -84,3 +84,40 @@ def test_signatures_are_gone_when_pairs_are_compared(spark, monkeypatch):
     assert seen == [[]]
     ids = [r.doc_id for r in rows]
     assert [r.component_id for r in rows] == [ids[0]] * 3 + ids[3:]
+
+
+def test_wide_sketches_rule_out_no_link():
+    rng, ruled_out = np.random.default_rng(1), 0
+    for _ in range(100):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(600, 4000))).astype(np.uint64))
+        kept = a[int(rng.integers(0, len(a) // 3)) :]
+        b = np.unique(np.r_[kept, rng.integers(0, 2**63, int(rng.integers(0, 1 + len(a) // 4))).astype(np.uint64)])
+        left, right = (set_join.sketch(s, set_join.wide_bits(len(s))).tobytes() for s in (a, b))
+        both = len(np.intersect1d(a, b))
+        links = 100 * both >= 80 * (len(a) + len(b) - both)
+        may = set_join.may_link(len(a), len(b), left, right, 80)
+        assert may or not links
+        ruled_out += not may
+    assert ruled_out > 20
+
+
+def test_whole_sets_are_made_for_pairs_that_can_link_only(spark, monkeypatch):
+    """Long texts that share a passage agree in slices, and a sketch of 1,024 bits rules no pair of them out."""
+    made, plain = [], set_join.Scratch.written
+
+    def noted(self, df, label):
+        out = plain(self, df, label)
+        if label == "set-elements":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(set_join.Scratch, "written", noted)
+    r = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    # 65 % of the words are the same
+    common = [r.choice(vocabulary) for _ in range(5200)]
+    texts = [" ".join(common + [r.choice(vocabulary) for _ in range(2800)]) for _ in range(6)]
+    texts += [texts[0] + " more", " ".join(common)]
+    got = set_join.jaccard_classes(helpers.documents(spark, texts)).orderBy("doc_id").collect()
+    assert [(x.n_shingles, x.component_id) for x in got] == helpers.jaccard_classes(texts, 5, 80)
+    assert sum(made) == 2
