@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,49 +29,146 @@ from sourcetrail.llm.tables import ship, written
 CACHED_WORDS = 800_000
 #: Longer stretches are encoded each time they occur.
 LONGEST_WORD = 64
+#: New words that are encoded in one call, characters of text and rows that are encoded together.
+JOINED_WORDS, CHUNK_CHARS, CHUNK_ROWS = 500, 4 << 20, 2048
 #: Combinations of three lengths for each smallest length.
 TRIPLES = 16
 
-_SPACES = re.compile(r"\s ")
+#: White space as Python's \s knows it, before a space.
+_SPACES = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 _CUTS = re.compile(r"(?<=\S)(?= )")
 
 
 class Encoder:
     """Token ids of whole texts.  A byte-level vocabulary never merges over a space that follows a non-space, so texts are
-    encoded in stretches between such spaces, and stretches that occur again are remembered, in two generations."""
+    encoded in stretches between such spaces.  A chunk's stretches are told apart by Arrow; the ids of those that occur
+    again are remembered, one flat array for all with the place and number of each.  New ones are encoded joined, and
+    the lengths of the tokens in bytes say where each ends."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def stretches(self, text: str) -> list[str]:
-        if _SPACES.search(text):
-            return _CUTS.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.known) > CACHED_WORDS // 2:
-            self.known, self.older = {}, self.known
-        parts = [self.stretches(t) if t else [] for t in texts]
-        known, older, new = self.known, self.older, []
-        for s in set().union(*parts).difference(known):
-            ids = older.get(s)
-            if ids is None:
-                new.append(s)
+        added = self.tokenizer.get_added_tokens_decoder()
+        names = self.tokenizer.get_vocab()
+        self.token_bytes = np.zeros(max(names.values(), default=0) + 1, np.int64)
+        for name, i in names.items():  # a byte-level name has one character for each byte
+            self.token_bytes[i] = len(added[i].content.encode()) if i in added else len(name)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+        self.begins, self.counts = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.slots = 0
+
+    def _remember(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Ids of more stretches, which get the next slots."""
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while self.slots + len(counts) > len(self.counts):
+            self.begins, self.counts = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begins, self.counts))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.counts[self.slots : self.slots + len(counts)] = counts
+        self.begins[self.slots : self.slots + len(counts)] = self.used + np.cumsum(counts) - counts
+        self.used, self.slots = self.used + len(ids), self.slots + len(counts)
+
+    def _one_by_one(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
+        flat = np.fromiter((i for ids in found for i in ids), np.uint32, sum(map(len, found)))
+        return flat, np.fromiter(map(len, found), np.int64, len(found))
+
+    def _encoded(self, stretches: list[str], joined: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches that begin with a space, and how many each has; so many at the start end in no white space."""
+        flats, counts = [], []
+        sizes = pc.binary_length(pa.array(stretches, pa.large_string())).to_numpy(zero_copy_only=False)
+        for at in range(0, joined, JOINED_WORDS):
+            part = stretches[at : min(joined, at + JOINED_WORDS)]
+            ends = np.cumsum(sizes[at : at + len(part)])
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            reached = np.cumsum(self.token_bytes[ids])
+            last = np.searchsorted(reached, ends)
+            # a vocabulary without some byte leaves it out
+            if not len(ids) or reached[-1] != ends[-1] or (reached[last] != ends).any():
+                ids, n = self._one_by_one(part)
             else:
-                known[s] = ids
-        for s, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[s] = array("I", e.ids).tobytes()
-        out = [np.frombuffer(b"".join(map(known.__getitem__, p)), np.uint32) for p in parts]
-        for s in new:
-            if len(s) > LONGEST_WORD:
-                del known[s]
-        return out
+                n = np.diff(last + 1, prepend=0)
+            flats.append(ids)
+            counts.append(n)
+        ids, n = self._one_by_one(stretches[joined:])
+        return np.concatenate([*flats, ids]), np.concatenate([*counts, n])
+
+    def _stretches(self, texts: pa.Array) -> tuple[list[str], pa.Array, np.ndarray]:
+        """First stretch of each text, the others of all texts without the space they begin with, how many each text has."""
+        parts = pc.split_pattern(texts, " ")
+        odd = np.flatnonzero(pc.match_substring_regex(texts, _SPACES).to_numpy(zero_copy_only=False))
+        if len(odd):
+            lists = parts.to_pylist()
+            for i in odd.tolist():
+                first, *rest = _CUTS.split(texts[i].as_py())
+                lists[i] = [first, *[s[1:] for s in rest]]
+            parts = pa.array(lists, pa.large_list(pa.large_string()))
+        values, ends = parts.flatten(), np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64))
+        counts = np.diff(ends, prepend=0)
+        first = ends - counts
+        others = np.ones(len(values), bool)
+        others[first] = False
+        return values.take(pa.array(first)).to_pylist(), values.filter(pa.array(others)), counts - 1
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())).cast(pa.large_string()).fill_null("")
+        if not len(texts):
+            return []
+        if len(self.known) > CACHED_WORDS:
+            self.forget()
+        firsts, others, many = self._stretches(texts)
+        coded = others.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        slots = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(slots < 0)
+        apart = np.fromiter((not words[i] or words[i][-1].isspace() for i in new.tolist()), bool, len(new))
+        new = new[np.argsort(apart, kind="stable")]
+        fresh = [words[i] for i in new.tolist()]
+        slots[new] = np.arange(self.slots, self.slots + len(new))
+        kept_used, kept_slots = self.used, self.slots
+        self._remember(*self._encoded([" " + w for w in fresh], len(fresh) - int(apart.sum())))
+        # each text's stretches in order, the first one's ids in slots of their own
+        first_slots = np.arange(self.slots, self.slots + len(firsts))
+        self._remember(*self._one_by_one(firsts))
+        order = np.empty(len(others) + len(firsts), np.int64)
+        starts = np.cumsum(many + 1) - (many + 1)
+        at_first = np.zeros(len(order), bool)
+        at_first[starts] = True
+        order[at_first] = first_slots
+        order[~at_first] = slots[coded.indices.to_numpy()]
+        counts = self.counts[order]
+        ends = np.cumsum(counts)
+        flat = self.ids[np.arange(int(ends[-1])) + np.repeat(self.begins[order] - (ends - counts), counts)]
+        long = [len(w) > LONGEST_WORD for w in fresh]
+        if any(long):  # long ones and first stretches are not remembered; the others move up
+            short = ~np.array(long)
+            n, begin = self.counts[kept_slots : kept_slots + len(fresh)][short], self.begins[kept_slots : kept_slots + len(fresh)][short]
+            ids = self.ids[np.arange(int(n.sum())) + np.repeat(begin - (np.cumsum(n) - n), n)]
+            self.used, self.slots = kept_used, kept_slots
+            self._remember(ids, n)
+            fresh = [w for w, x in zip(fresh, long, strict=True) if not x]
+        else:
+            self.used, self.slots = int(self.begins[first_slots[0]]), int(first_slots[0])
+        self.known.update(zip(fresh, range(kept_slots, kept_slots + len(fresh)), strict=True))
+        return np.split(flat, ends[np.cumsum(many + 1) - 1][:-1])
+
+
+def chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Begin and length of runs of rows of about CHUNK_CHARS bytes of text."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(sizes):
+        before = int(sizes[at - 1]) if at else 0
+        end = min(max(at + 1, int(np.searchsorted(sizes, before + CHUNK_CHARS, side="right"))), at + CHUNK_ROWS)
+        yield at, end - at
+        at = end
 
 
 _encoders: dict[str, Encoder] = {}
@@ -196,10 +294,10 @@ def _pieces(path: str, window: int, end_id: int):
         encoder, part, seen, end = encoder_for(path), TaskContext.get().partitionId(), Counter(), np.array([end_id], np.uint32)
         narrow = encoder.tokenizer.get_vocab_size() <= 2**16
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
+            for at, n in chunks(batch.column(1)):
+                piece = batch.slice(at, n)
                 rows = []
-                for doc_id, ids in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1).to_pylist()), strict=True):
+                for doc_id, ids in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1)), strict=True):
                     ids = np.append(ids, end)
                     kept = ids.astype(np.uint16) if narrow else ids
                     for start in range(0, len(ids), window):

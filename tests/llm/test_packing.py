@@ -18,6 +18,36 @@ def test_stretches_have_the_tokenizers_ids():
         assert ids.tolist() == (encoder.tokenizer.encode(text, add_special_tokens=False).ids if text else [])
 
 
+def test_a_word_that_comes_again_is_not_encoded_again():
+    encoder, asked = packing.Encoder(PATH), []
+    tokenizer = encoder.tokenizer
+
+    class Noted:
+        def encode_batch_fast(self, texts, **how):
+            asked.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **how)
+
+    encoder.tokenizer = Noted()
+    texts = [f"one w{i} w{i % 7}, é\u3000x" + " " * (i % 3) + "tail" * (i % 5 * 9) for i in range(300)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        assert [x.tolist() for x in encoder.encode(texts)] == want
+    assert sum("w299" in t for t in asked) == 1 and sum(" w0," in t for t in asked) == 1
+    # new words are encoded together: firsts and words beyond LONGEST_WORD come again, the 300 others do not come singly
+    assert len(asked) < 2 * (300 + 10)
+    encoder.forget()
+    assert [x.tolist() for x in encoder.encode(texts)] == want
+
+
+def test_white_space_before_a_space_is_found_as_by_python():
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    spaces = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    assert all(pc.match_substring_regex(pa.array([f"a{c} b" for c in spaces]), packing._SPACES).to_pylist())
+    assert not pc.match_substring_regex(pa.array(["a b"]), packing._SPACES)[0].as_py()
+
+
 @pytest.mark.parametrize("counts", [{}, {1: 3}, {2048: 7}, {1500: 5, 548: 9, 3: 1}, {i: 3000 // i for i in range(1, 2048)}])
 def test_plan_places_every_piece_once(counts):
     plan, filled = packing.plan_for(counts, 2048), {}
